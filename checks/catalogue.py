@@ -19,7 +19,7 @@ from slicecheck.operators import batches, compare, keys, lookup, members
 from slicecheck.operators.typing import cast_failures, typed_projection
 from slicecheck.plans import tasks as task_plans
 from slicecheck.plans.batch import Batch, reconcile_batch
-from slicecheck.plans.summary import summarize
+from slicecheck.plans.summary import report_details, summarize
 from slicecheck.settings import IDS_PER_CHUNK, SLICE
 from slicecheck.sinks import packed
 from slicecheck.sources.tables import slice_scan
@@ -289,13 +289,8 @@ _BAD = "x_{k} IS NOT NULL AND y_{k} IS NOT NULL AND NOT abs(x_{k} - y_{k}) <= 0.
 
 
 def _reported(spark: SparkSession, sf_dir: str, old: Callable, always: bool) -> DataFrame:
-    """Details of a slice, if its verdict or ``always`` asks for them."""
     cmp = compare.compare_wide(fx.orders_new(spark, sf_dir), old(spark, sf_dir), KEY, KPIS)
-    details = compare.mismatch_detail(cmp, KEY)
-    if always:
-        return details
-    verdict = summarize(cmp, [], len(KPIS)).where("status = -1").select(F.lit(1).alias("reported"))
-    return details.withColumn("reported", F.lit(1)).join(verdict, "reported", "left_semi").drop("reported")
+    return report_details(cmp, [], len(KPIS), always=always)
 
 
 @query(_detail_sql("orders_old_fail", _BAD), ["pairs_orders_old_fail"])

@@ -11,7 +11,7 @@ _N_IDS = len(LOGICAL_MODEL_IDS)
 def _orders_old(shift_every: int) -> str:
     return f"""
         SELECT mo,
-               CASE WHEN mo % {shift_every} = 0 THEN i1 + CAST(1.0 AS DOUBLE)
+               CASE WHEN mo % {shift_every} = 0 OR mo % 97 = 0 THEN i1 + CAST(1.0 AS DOUBLE)
                     WHEN mo % 89 = 0 THEN i1 + CAST(0.005 AS DOUBLE) ELSE i1 END AS i1,
                CASE WHEN mo % 83 <> 0 THEN i2 END AS i2,
                CASE WHEN mo % 101 = 0 THEN i3 * CAST(1.1 AS DOUBLE) ELSE i3 END AS i3,

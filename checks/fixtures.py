@@ -45,12 +45,13 @@ def orders_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_old(spark: SparkSession, sf_dir: str, shift_every: int = 97) -> DataFrame:
     mo = F.col("mo")
+    shifted = (mo % shift_every == 0) | (mo % 97 == 0)
     return (
         orders_new(spark, sf_dir)
         .where(mo % 50 != 0)
         .select(
             "mo",
-            F.when(mo % shift_every == 0, F.col("i1") + 1.0)
+            F.when(shifted, F.col("i1") + 1.0)
             .when(mo % 89 == 0, F.col("i1") + 0.005)
             .otherwise(F.col("i1"))
             .alias("i1"),

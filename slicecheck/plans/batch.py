@@ -46,8 +46,8 @@ from slicecheck.settings import (
 from slicecheck.sinks.tables import append
 
 # Up to this many slices (some 20 MB) the task list is sent to all executors to
-# prune the fact scans. With more, facts are read whole: pruning is no part of
-# the result, and a shuffle of the facts by slice would cost more than it saves.
+# prune the fact scans. With more, only the range of days is pruned: pruning is no
+# part of the result, and shuffling the facts by slice would cost more than it saves.
 PRUNING_SLICES = 200_000
 
 
@@ -72,15 +72,18 @@ def reconcile_batch(
 ) -> Batch:
     """Checks every slice the tasks name. ``new`` and ``old`` hold ``SLICE, mo`` and
     ``kpis``. ``catalog`` gives the KPIs of each model if they differ; without it
-    every model has all of ``kpis``. ``materialize`` writes the tally once, for
-    callers that use both outputs.
+    every model has all of ``kpis``. ``materialize`` writes the tally and the
+    results once, for callers that use both outputs.
     """
-    groups = check_plans(tasks, kpis, catalog)
-    new, old = prune(new, groups), prune(old, groups)
+    # Used in several places below: one small row per slice, fixed once.
+    groups = checkpointed(check_plans(tasks, kpis, catalog))
+    new, old = prune([new, old], groups)
     tally = tally_slices(new, old, kpis, listed_entities(groups), tol)
     if materialize:
         tally = checkpointed(tally)
     results = judge(groups, tally, kpis, threshold)
+    if materialize:
+        results = checkpointed(results)
     return Batch(results, mismatch_details(results, groups, tally, kpis, always))
 
 
@@ -110,12 +113,25 @@ def check_plans(
     )
 
 
-def prune(facts: DataFrame, groups: DataFrame, limit: int = PRUNING_SLICES) -> DataFrame:
-    """Drops facts of slices nobody asked for, if the task list is short enough."""
-    slices = groups.select(*SLICE)
-    if slices.limit(limit + 1).count() > limit:
+def prune(
+    facts: Sequence[DataFrame], groups: DataFrame, limit: int = PRUNING_SLICES
+) -> list[DataFrame]:
+    """Drops facts no task asks for: days outside the tasks' range always, other
+    slices if the task list is short enough. Facts partitioned by day are then
+    read for the wanted days only.
+    """
+    size = groups.agg(F.count("*").alias("n"), F.min("sd").alias("lo"), F.max("sd").alias("hi"))
+    n, first_day, last_day = size.first()
+    if n == 0:
+        return list(facts)
+    wanted_days = F.col("sd").between(first_day, last_day)
+    facts = [side.where(wanted_days) for side in facts]
+    if n > limit:
         return facts
-    return facts.join(F.broadcast(slices), SLICE, "left_semi")
+    # The range is true for every slice here. Only with a filter on the small side
+    # does Spark hand its days to the scan of the large one.
+    slices = F.broadcast(groups.select(*SLICE).where(wanted_days))
+    return [side.join(slices, SLICE, "left_semi") for side in facts]
 
 
 def tally_slices(

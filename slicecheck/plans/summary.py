@@ -7,8 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slicecheck.operators.compare import mismatch_detail
 from slicecheck.operators.pairs import is_duplicated, is_matched
-from slicecheck.settings import STATUS_FAILED, STATUS_MISMATCH, STATUS_PASS, THRESHOLD
+from slicecheck.settings import (
+    ENTITY,
+    STATUS_FAILED,
+    STATUS_MISMATCH,
+    STATUS_PASS,
+    THRESHOLD,
+)
 
 
 def summarize(
@@ -27,6 +34,26 @@ def summarize(
     )
 
 
+def report_details(
+    cmp: DataFrame,
+    by: Sequence[str],
+    n_kpis: int,
+    threshold: float = THRESHOLD,
+    always: bool = False,
+) -> DataFrame:
+    """The differing KPIs of each entity, where the verdict is a mismatch or with
+    ``always`` everywhere. Without slice columns the verdict is one value, which
+    filters as a subquery.
+    """
+    details = mismatch_detail(cmp, [*by, ENTITY])
+    if always:
+        return details
+    verdict = summarize(cmp, by, n_kpis, threshold).where(F.col("status") == STATUS_MISMATCH)
+    if by:
+        return details.join(verdict.select(*by), list(by), "left_semi")
+    return details.where(verdict.exists())
+
+
 def verdicts(counted: DataFrame, broken: Column, threshold: float = THRESHOLD) -> DataFrame:
     """Adds ``right_n, rate, status`` to rows with ``matched, all_n, error_n``.
 
