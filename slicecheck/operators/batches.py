@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slicecheck.settings import ENTITY, KEYS_PER_BATCH, checkpointed
+from slicecheck.settings import ENTITY, KEYS_PER_BATCH, written
 
 
 def sorted_slice(df: DataFrame, entity: str = ENTITY) -> DataFrame:
@@ -32,35 +32,39 @@ def number_rows(
     ones: it then takes ``copies`` positions and ``name`` is the first of them.
     """
     by = list(by)
-    weight = F.col(copies) if copies else F.lit(1).cast("bigint")
     # The range limits are sampled anew by every run of a plan. Both branches
-    # below have to see the same ones, hence the checkpoint.
-    ranged = checkpointed(
-        df.repartitionByRange(*[F.col(c) for c in by], *order).withColumn(
-            "_range", F.spark_partition_id()
+    # below have to see the same ones, hence the written table.
+    ranged = written(
+        df.repartitionByRange(*[F.col(c) for c in by], *order)
+        .sortWithinPartitions(*by, *order)
+        .select(
+            "*",
+            F.spark_partition_id().alias("_range"),
+            F.monotonically_increasing_id().alias("_row"),
         )
     )
+    size = F.sum(copies) if copies else F.count("*")
     earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (
+    # Small, and written so that its size decides how it is joined.
+    ranges = written(
         ranged.groupBy(*by, "_range")
-        .agg(F.sum(weight).alias("_size"))
+        .agg(size.alias("_size"), F.min("_row").alias("_first"))
         .select(
             *[F.col(c).alias(f"_of_{c}") for c in by],
             F.col("_range").alias("_of_range"),
+            "_first",
             F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
         )
     )
     same_range = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
-    inside = (
-        Window.partitionBy(*by, "_range")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        ranged.withColumn("_before", F.sum(weight).over(inside) - weight)
-        .join(ranges, [*same_range, F.col("_range") == F.col("_of_range")])
-        .select(*df.columns, (F.col("_start") + F.col("_before")).alias(name))
-    )
+    placed = ranged.join(ranges, [*same_range, F.col("_range") == F.col("_of_range")])
+    if copies:
+        before = Window.partitionBy(*by, "_range").orderBy("_row")
+        before = F.sum(copies).over(before.rowsBetween(Window.unboundedPreceding, -1))
+    else:
+        before = F.col("_row") - F.col("_first")
+    position = F.col("_start") + F.coalesce(before, F.lit(0))
+    return placed.select(*df.columns, position.cast("bigint").alias(name))
 
 
 def key_batches(

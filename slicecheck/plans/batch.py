@@ -3,8 +3,8 @@
 The two fact tables are paired by (slice, entity) once. What any task needs to
 know about a slice is then folded into the *tally*: clean entities collapse into
 one row per slice, map-side, and only entities with a finding keep a row. The
-tasks' KPI lists are applied to that small table, so no fact row is ever joined
-with the task list, and a slice with most of the rows is no special case.
+tasks' KPI lists are applied to that small table. Facts are never shuffled by slice
+alone, so a slice with most of the rows is no special case.
 """
 
 from __future__ import annotations
@@ -41,14 +41,14 @@ from slicecheck.settings import (
     STATUS_MISMATCH,
     THRESHOLD,
     TOLERANCE,
-    checkpointed,
+    written,
 )
 from slicecheck.sinks.tables import append
 
-# Up to this many slices (some 20 MB) the task list is sent to all executors to
-# prune the fact scans. With more, only the range of days is pruned: pruning is no
-# part of the result, and shuffling the facts by slice would cost more than it saves.
-PRUNING_SLICES = 200_000
+# Up to this many slices (some 20 MB) the task list is sent to all executors.
+ROUTED_SLICES = 200_000
+
+RESULT = [*SLICE, "matched", "all_n", "right_n", "error_n", "null_n", "rate", "status"]
 
 
 @dataclass(frozen=True)
@@ -73,25 +73,25 @@ def reconcile_batch(
     """Checks every slice the tasks name. ``new`` and ``old`` hold ``SLICE, mo`` and
     ``kpis``. ``catalog`` gives the KPIs of each model if they differ; without it
     every model has all of ``kpis``. ``materialize`` writes the tally and the
-    results once, for callers that use both outputs.
+    judgement once, for callers that use both outputs.
     """
     # Used in several places below: one small row per slice, fixed once.
-    groups = checkpointed(check_plans(tasks, kpis, catalog))
-    new, old = prune([new, old], groups)
-    tally = tally_slices(new, old, kpis, listed_entities(groups), tol)
+    groups = written(check_plans(tasks, kpis, catalog))
+    new, old, by = route([new, old], groups, kpis)
+    tally = tally_slices(new, old, kpis, listed_entities(groups, by), by, tol)
     if materialize:
-        tally = checkpointed(tally)
-    results = judge(groups, tally, kpis, threshold)
+        tally = written(tally)
+    judged = judge(groups, tally, kpis, by, threshold)
     if materialize:
-        results = checkpointed(results)
-    return Batch(results, mismatch_details(results, groups, tally, kpis, always))
+        judged = written(judged)
+    return Batch(judged.select(*RESULT), mismatch_details(judged, tally, kpis, by, always))
 
 
 def check_plans(
     tasks: DataFrame, kpis: Sequence[str], catalog: DataFrame | None = None
 ) -> DataFrame:
-    """One row per slice: ``labels`` of the KPIs to check as listed, ``names`` of
-    their columns, and whether the slice is ``known`` and ``restricted``.
+    """One row per slice: its number, ``labels`` of the KPIs to check as listed,
+    ``names`` of their columns, and whether the slice is ``known`` and ``restricted``.
     """
     groups = task_groups(tasks)
     if catalog is None:
@@ -105,6 +105,7 @@ def check_plans(
     unknown = F.exists("names", lambda name: ~F.array_contains("kpis", name))
     return named.select(
         *SLICE,
+        F.monotonically_increasing_id().alias("slice_no"),
         "labels",
         "names",
         F.coalesce(~unknown, F.lit(False)).alias("known"),
@@ -113,25 +114,32 @@ def check_plans(
     )
 
 
-def prune(
-    facts: Sequence[DataFrame], groups: DataFrame, limit: int = PRUNING_SLICES
-) -> list[DataFrame]:
-    """Drops facts no task asks for: days outside the tasks' range always, other
-    slices if the task list is short enough. Facts partitioned by day are then
-    read for the wanted days only.
+def route(
+    facts: Sequence[DataFrame],
+    groups: DataFrame,
+    kpis: Sequence[str],
+    limit: int = ROUTED_SLICES,
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The facts that tasks ask for, and the columns that tell their slice.
+
+    Days outside the tasks' range are always dropped. If the task list is short
+    enough it is broadcast: facts of other slices are dropped, too, facts stored by
+    day are read for the wanted days only, and the slice is carried as one number,
+    which makes the rows to be shuffled shorter. Otherwise facts keep the columns of
+    their slice; a slice that nobody asked for is dropped with the tally.
     """
     size = groups.agg(F.count("*").alias("n"), F.min("sd").alias("lo"), F.max("sd").alias("hi"))
     n, first_day, last_day = size.first()
-    if n == 0:
-        return list(facts)
-    wanted_days = F.col("sd").between(first_day, last_day)
-    facts = [side.where(wanted_days) for side in facts]
-    if n > limit:
-        return facts
-    # The range is true for every slice here. Only with a filter on the small side
-    # does Spark hand its days to the scan of the large one.
-    slices = F.broadcast(groups.select(*SLICE).where(wanted_days))
-    return [side.join(slices, SLICE, "left_semi") for side in facts]
+    wanted_days = F.col("sd").between(first_day, last_day) if n else F.lit(False)
+    by = SLICE
+    facts = [side.where(wanted_days).select(*SLICE, ENTITY, *kpis) for side in facts]
+    if n <= limit:
+        # The range holds for every slice here. Only with a filter on the small side
+        # does Spark hand its days to the scan of the large one.
+        slices = F.broadcast(groups.where(wanted_days).select(*SLICE, "slice_no"))
+        by = ["slice_no"]
+        facts = [side.join(slices, SLICE).select(*by, ENTITY, *kpis) for side in facts]
+    return (*facts, by)
 
 
 def tally_slices(
@@ -139,13 +147,14 @@ def tally_slices(
     old: DataFrame,
     kpis: Sequence[str],
     listed: DataFrame,
+    by: Sequence[str] = SLICE,
     tol: float = TOLERANCE,
 ) -> DataFrame:
-    """``SLICE, is_listed, mo`` with ``matched``, ``duplicated`` and per KPI ``err_``,
+    """``by, is_listed, mo`` with ``matched``, ``duplicated`` and per KPI ``err_``,
     ``null_`` and ``fail_`` counts. ``mo`` is null in the one row that stands for
     all entities without a mismatch.
     """
-    pairs = pair_rows(new, old, [*SLICE, ENTITY], kpis, listed)
+    pairs = pair_rows(new, old, [*by, ENTITY], kpis, listed)
     bad = [is_matched() & kpi_mismatch(k, tol) for k in kpis]
     found = pairs.where(F.col(ENTITY).isNotNull() & (F.col("n_new") + F.col("n_old") > 0))
     counts = {
@@ -157,29 +166,39 @@ def tally_slices(
     }
     any_bad = reduce(lambda a, b: a | b, bad, F.lit(False))
     return found.groupBy(
-        *SLICE,
+        *by,
         (F.col("n_listed") > 0).alias("is_listed"),
         F.when(any_bad, F.col(ENTITY)).alias(ENTITY),
     ).agg(*[F.count_if(condition).alias(name) for name, condition in counts.items()])
 
 
 def judge(
-    groups: DataFrame, tally: DataFrame, kpis: Sequence[str], threshold: float = THRESHOLD
+    groups: DataFrame,
+    tally: DataFrame,
+    kpis: Sequence[str],
+    by: Sequence[str] = SLICE,
+    threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """One row per slice, also for slices without any data."""
-    sums = [c for c in tally.columns if c not in (*SLICE, "is_listed", ENTITY)]
-    slices = tally.groupBy(*SLICE, "is_listed").agg(*[F.sum(c).alias(c) for c in sums])
-    # At most two rows per slice: the listed entities and the others.
-    wanted = slices.join(groups.where("restricted").select(*SLICE, F.lit(True).alias("cut")), SLICE, "left")
-    totals = (
-        wanted.where(F.col("is_listed") | F.col("cut").isNull())
-        .groupBy(*SLICE)
-        .agg(*[F.sum(c).alias(c) for c in sums])
+    """One row per slice, also for slices without any data: the columns of its check
+    plan, its counts, rate and status.
+    """
+    counts = [c for c in tally.columns if c not in (*by, "is_listed", ENTITY)]
+    # Counts over all entities and over the listed ones; restricted slices use the latter.
+    totals = tally.groupBy(*by).agg(
+        *[F.sum(c).alias(c) for c in counts],
+        *[F.sum(F.when(F.col("is_listed"), F.col(c))).alias(f"listed_{c}") for c in counts],
     )
-    joined = groups.join(totals, SLICE, "left").fillna(0, subset=sums)
-    counted = joined.select(
-        *SLICE,
-        "known",
+    chosen = groups.join(totals, list(by), "left").select(
+        *groups.columns,
+        *[
+            F.coalesce(
+                F.when(F.col("restricted"), F.col(f"listed_{c}")).otherwise(F.col(c)), F.lit(0)
+            ).alias(c)
+            for c in counts
+        ],
+    )
+    counted = chosen.select(
+        *groups.columns,
         "matched",
         "duplicated",
         _over_list("fail_", kpis).alias("failed"),
@@ -188,30 +207,25 @@ def judge(
         _over_list("err_", kpis).alias("error_n"),
     )
     broken = ~F.col("known") | (F.col("duplicated") > 0) | (F.col("failed") > 0)
-    return verdicts(counted, broken, threshold).select(
-        *SLICE, "matched", "all_n", "right_n", "error_n", "null_n", "rate", "status"
-    )
+    return verdicts(counted, broken, threshold)
 
 
 def mismatch_details(
-    results: DataFrame,
-    groups: DataFrame,
+    judged: DataFrame,
     tally: DataFrame,
     kpis: Sequence[str],
+    by: Sequence[str] = SLICE,
     always: bool = False,
 ) -> DataFrame:
     """The differing KPIs of each entity, in the order of the slice's KPI list; for
     slices judged as mismatching, or with ``always`` for all that could be judged.
     """
     reported = F.col("status") != STATUS_FAILED if always else F.col("status") == STATUS_MISMATCH
-    lists = groups.select(*SLICE, "labels", "restricted").join(
-        results.where(reported).select(*SLICE), SLICE
-    )
-    flags = _per_kpi("err_", kpis)
+    slices = judged.where(reported).select(*{*SLICE, *by}, "labels", "restricted")
     rows = (
         tally.where(F.col(ENTITY).isNotNull())
-        .select(*SLICE, "is_listed", ENTITY, flags.alias("flags"))
-        .join(lists, SLICE)
+        .select(*by, "is_listed", ENTITY, _per_kpi("err_", kpis).alias("flags"))
+        .join(slices, list(by))
         .where(~F.col("restricted") | F.col("is_listed"))
     )
     bad = F.filter("labels", lambda label: F.element_at("flags", kpi_name(label)) > 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,12 +102,12 @@ def task_kpi_list(tasks: DataFrame, kpis: list[str]) -> DataFrame:
     return tasks.select("task_id", F.posexplode(labels).alias("pos", "kpi"))
 
 
-def listed_entities(groups: DataFrame) -> DataFrame:
-    """``SLICE, mo`` of all slices restricted to some entities."""
+def listed_entities(groups: DataFrame, by: Sequence[str] = SLICE) -> DataFrame:
+    """``by, mo`` of all slices restricted to some entities."""
     items = groups.where(F.col("moentities").isNotNull()).select(
-        *SLICE, F.explode(split_list(F.col("moentities"))).alias("item")
+        *by, F.explode(split_list(F.col("moentities"))).alias("item")
     )
-    return items.select(*SLICE, F.trim("item").try_cast("bigint").alias(ENTITY)).dropna(
+    return items.select(*by, F.trim("item").try_cast("bigint").alias(ENTITY)).dropna(
         subset=[ENTITY]
     )
 

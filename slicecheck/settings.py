@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,12 +23,14 @@ STATUS_RUNNING = 3
 SLICE = ["motype", "period", "sd", "st"]
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder, so that every plan
-    built on it reads the same rows even after executors are lost.
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read from there, so that
+    every plan built on it sees the same rows, also after executors are lost. Being
+    a table, it is read by column and its size is known to the planner.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from slicecheck.functions.names import kpi_columns, table_name
 from slicecheck.operators.typing import typed_projection
@@ -64,17 +64,21 @@ def load_models(
     catalog = spark.createDataFrame([(m, p, k) for (m, p), k in found.items()], CATALOG_SCHEMA)
     every_kpi = list(dict.fromkeys(k for kpis in found.values() for k in kpis))
 
-    facts = _no_facts(spark, every_kpi)
-    for (motype, period), kpis in found.items():
-        table = kpi_table(spark, motype, period, database).withColumns(
-            {
-                "motype": F.lit(motype),
-                "period": F.lit(period),
-                **{k: F.lit(None).cast("double") for k in every_kpi if k not in kpis},
-            }
+    facts = [
+        typed_projection(
+            kpi_table(spark, motype, period, database).withColumns(
+                {
+                    "motype": F.lit(motype),
+                    "period": F.lit(period),
+                    **{k: F.lit(None).cast("double") for k in every_kpi if k not in kpis},
+                }
+            ),
+            every_kpi,
+            SLICE,
         )
-        facts = facts.unionAll(typed_projection(table, every_kpi, SLICE))
-    return facts, catalog
+        for (motype, period), kpis in found.items()
+    ]
+    return (reduce(DataFrame.unionAll, facts) if facts else _no_facts(spark)), catalog
 
 
 def named_view(df: DataFrame, purpose: str) -> str:
@@ -86,15 +90,5 @@ def named_view(df: DataFrame, purpose: str) -> str:
     return name
 
 
-def _no_facts(spark: SparkSession, kpis: Sequence[str]) -> DataFrame:
-    schema = T.StructType(
-        [
-            T.StructField("motype", T.StringType()),
-            T.StructField("period", T.StringType()),
-            T.StructField("sd", T.IntegerType()),
-            T.StructField("st", T.IntegerType()),
-            T.StructField(ENTITY, T.LongType()),
-            *[T.StructField(k, T.DoubleType()) for k in kpis],
-        ]
-    )
-    return spark.createDataFrame([], schema)
+def _no_facts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], f"motype string, period string, sd int, st int, {ENTITY} bigint")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from slicecheck.plans import tasks as task_plans
-from slicecheck.plans.batch import check_plans, prune, reconcile_batch, run_batch
+from slicecheck.plans.batch import check_plans, reconcile_batch, route, run_batch
+from slicecheck.settings import SLICE, written
 from slicecheck.sources.tasks import TASK_SCHEMA, pending_tasks
 
 KPIS = ["i1", "i2"]
@@ -142,14 +143,20 @@ def test_junk_fails_its_own_slice_only(spark, sides):
     assert results["m", 1]["status"] == -1  # the KPI with junk is not checked
 
 
-def test_pruning_changes_no_result(spark, sides, monkeypatch):
-    asked = [task(1, 1), task(2, 5, "i2", "1,2")]
-    pruned = run(spark, sides, *asked)
-    monkeypatch.setattr(prune, "__defaults__", (1,))
-    assert run(spark, sides, *asked) == pruned
-    groups = check_plans(spark.createDataFrame(asked, TASK_SCHEMA), KPIS)
-    assert prune(sides, groups, limit=1)[0].count() == sides[0].count()
-    assert prune(sides, groups, limit=2)[0].count() == 6
+def test_long_task_lists_give_the_same(spark, sides, monkeypatch):
+    asked = [task(1, 1), task(2, 5, "i2", "1,2"), task(3, 6)]
+    routed = run(spark, sides, *asked)
+    monkeypatch.setattr(route, "__defaults__", (1,))
+    assert run(spark, sides, *asked) == routed
+    groups = written(check_plans(spark.createDataFrame(asked, TASK_SCHEMA), KPIS))
+    assert route(sides, groups, KPIS)[2] == SLICE
+    new, _, by = route(sides, groups, KPIS, limit=3)
+    assert by == ["slice_no"] and new.count() == 6
+
+
+def test_no_tasks(spark, sides):
+    batch = reconcile_batch(spark.createDataFrame([], TASK_SCHEMA), *sides, KPIS)
+    assert batch.results.isEmpty() and batch.details.isEmpty()
 
 
 def test_outputs_are_appended(spark, sides, tmp_path):

@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from slicecheck.plans.batch import check_plans, prune, reconcile_batch
+from slicecheck.plans.batch import check_plans, reconcile_batch, route
+from slicecheck.settings import written
 from slicecheck.sources import tables
 from slicecheck.sources.old_store import jdbc_options
 from slicecheck.sources.tasks import TASK_SCHEMA, read_models, read_tasks
@@ -65,14 +66,22 @@ def test_models_with_tables_of_their_own(spark, database):
 
 
 def test_tasks_prune_days(spark, database):
-    facts, _ = tables.load_models(spark, [("m", "h"), ("n", "h")], database)
-    tasks = spark.createDataFrame([(1, "m", "h", 20240101, 1, None, None)], TASK_SCHEMA)
-    pruned = prune([facts], check_plans(tasks, ["i1"]))[0]
-    assert pruned.count() == 50
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    days = spark.range(300).select(
+        F.col("id").alias("mo"),
+        (F.col("id") * 1.0).alias("i1"),
+        F.lit(0).alias("st"),
+        (20240101 + F.col("id") % 5).cast("int").alias("sd"),
+    )
+    days.write.partitionBy("sd").saveAsTable("kpi.t_d_h")
+    facts, _ = tables.load_models(spark, [("d", "h")], database)
+    asked = [(day, "d", "h", day, 0, None, None) for day in (20240102, 20240104)]
+    groups = written(check_plans(spark.createDataFrame(asked, TASK_SCHEMA), ["i1"]))
+    routed = route([facts, facts], groups, ["i1"])[0]
+    assert routed.count() == 120
+    plan = routed._jdf.queryExecution().executedPlan().toString()
     # The range of days prunes when the query is planned, the days of the tasks when it runs.
-    assert "sd" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert "dynamicpruning" in plan.lower()
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "20240102" in filters and "dynamicpruning" in filters
 
 
 def test_no_table_at_all(spark, database):
