@@ -80,15 +80,11 @@ def model_objects(models: DataFrame, hashes: DataFrame, texts: DataFrame) -> Dat
     sequences = hash_entries(hashes, MODEL_SEQUENCES).select(
         F.col("field").alias("motype"), F.col("value").alias("sequence")
     )
-    keyed = (
-        object_ids(models, texts)
-        .join(sequences, "motype")
-        .select(
-            "motype",
-            F.concat(F.lit(OBJECT), "sequence", F.lit(":"), "object_id").alias("key"),
-            F.struct("list_no", "item_no").alias("position"),
-        )
-    )
+    # An id may be listed very often: only its last place counts.
+    position = F.shiftleft(F.col("list_no").cast("bigint"), 32) + F.col("item_no")
+    ids = object_ids(models, texts).groupBy("motype", "object_id").agg(F.max(position).alias("position"))
+    key = F.concat(F.lit(OBJECT), "sequence", F.lit(":"), "object_id")
+    keyed = ids.join(sequences, "motype").select("motype", key.alias("key"), "position")
     entities = hashes.where(
         (F.col("field") == OBJECT_KEY_FIELD)
         & F.col("value").isNotNull()

@@ -44,6 +44,7 @@ from slicecheck.settings import (
     written,
 )
 from slicecheck.sinks.tables import append
+from slicecheck.sources.tables import Catalog
 
 # Up to this many slices (some 20 MB) the task list is sent to all executors.
 ROUTED_SLICES = 200_000
@@ -64,15 +65,16 @@ def reconcile_batch(
     new: DataFrame,
     old: DataFrame,
     kpis: Sequence[str],
-    catalog: DataFrame | None = None,
+    catalog: Catalog | None = None,
     tol: float = TOLERANCE,
     threshold: float = THRESHOLD,
     always: bool = False,
     materialize: bool = False,
 ) -> Batch:
     """Checks every slice the tasks name. ``new`` and ``old`` hold ``SLICE, mo`` and
-    ``kpis``. ``catalog`` gives the KPIs of each model if they differ; without it
-    every model has all of ``kpis``. ``materialize`` writes the tally and the
+    ``kpis``. Models that differ in their KPIs share these columns: ``catalog`` tells
+    the KPI that each model keeps in the first, the second and so on. Without it the
+    columns are the KPIs, for every model. ``materialize`` writes the tally and the
     judgement once, for callers that use both outputs.
     """
     # Used in several places below: one small row per slice, fixed once.
@@ -88,27 +90,31 @@ def reconcile_batch(
 
 
 def check_plans(
-    tasks: DataFrame, kpis: Sequence[str], catalog: DataFrame | None = None
+    tasks: DataFrame, kpis: Sequence[str], catalog: Catalog | None = None
 ) -> DataFrame:
     """One row per slice: its number, ``labels`` of the KPIs to check as listed,
-    ``names`` of their columns, and whether the slice is ``known`` and ``restricted``.
+    their ``places`` among the value columns, and whether the slice is ``known`` (has
+    a model with all these KPIs) and ``restricted`` (to listed entities).
     """
     groups = task_groups(tasks)
     if catalog is None:
         groups = groups.withColumn("kpis", F.array(*[F.lit(k) for k in kpis]).cast("array<string>"))
     else:
-        groups = groups.join(catalog, ["motype", "period"], "left")
-    labels = listed_kpis(F.col("indicators"), F.col("kpis"))
-    named = groups.withColumn("labels", labels).withColumn(
-        "names", F.transform("labels", kpi_name)
+        models = tasks.sparkSession.createDataFrame(
+            [(*model, names) for model, names in catalog.items()],
+            "motype string, period string, kpis array<string>",
+        )
+        groups = groups.join(models, ["motype", "period"], "left")
+    planned = groups.withColumn("labels", listed_kpis(F.col("indicators"), F.col("kpis")))
+    place = F.transform(
+        "labels", lambda label: (F.array_position("kpis", kpi_name(label)) - 1).cast("int")
     )
-    unknown = F.exists("names", lambda name: ~F.array_contains("kpis", name))
-    return named.select(
+    return planned.withColumn("places", place).select(
         *SLICE,
         F.monotonically_increasing_id().alias("slice_no"),
         "labels",
-        "names",
-        F.coalesce(~unknown, F.lit(False)).alias("known"),
+        "places",
+        F.coalesce(F.forall("places", lambda p: p >= 0), F.lit(False)).alias("known"),
         F.col("moentities").isNotNull().alias("restricted"),
         "moentities",
     )
@@ -203,7 +209,7 @@ def judge(
         "duplicated",
         _over_list("fail_", kpis).alias("failed"),
         _over_list("null_", kpis).alias("null_n"),
-        (F.col("matched") * F.coalesce(F.size("names"), F.lit(0))).alias("all_n"),
+        (F.col("matched") * F.coalesce(F.size("labels"), F.lit(0))).alias("all_n"),
         _over_list("err_", kpis).alias("error_n"),
     )
     broken = ~F.col("known") | (F.col("duplicated") > 0) | (F.col("failed") > 0)
@@ -221,14 +227,14 @@ def mismatch_details(
     slices judged as mismatching, or with ``always`` for all that could be judged.
     """
     reported = F.col("status") != STATUS_FAILED if always else F.col("status") == STATUS_MISMATCH
-    slices = judged.where(reported).select(*{*SLICE, *by}, "labels", "restricted")
+    slices = judged.where(reported).select(*{*SLICE, *by}, "labels", "places", "restricted")
     rows = (
         tally.where(F.col(ENTITY).isNotNull())
-        .select(*by, "is_listed", ENTITY, _per_kpi("err_", kpis).alias("flags"))
+        .select(*by, "is_listed", ENTITY, _per_kpi("err_", kpis).alias("errors"))
         .join(slices, list(by))
         .where(~F.col("restricted") | F.col("is_listed"))
     )
-    bad = F.filter("labels", lambda label: F.element_at("flags", kpi_name(label)) > 0)
+    bad = F.filter("labels", lambda _, n: F.get("errors", F.get("places", n)) > 0)
     return (
         rows.withColumn("bad", bad)
         .where(F.size("bad") > 0)
@@ -258,18 +264,15 @@ def run_batch(
 
 
 def _per_kpi(prefix: str, kpis: Sequence[str]) -> Column:
-    entries = [part for k in kpis for part in (F.lit(k), F.col(f"{prefix}{k}"))]
-    return F.create_map(*entries).cast("map<string,bigint>")
+    return F.array(*[F.col(f"{prefix}{k}") for k in kpis]).cast("array<bigint>")
 
 
 def _over_list(prefix: str, kpis: Sequence[str]) -> Column:
     """Sum of a count over the slice's KPI list; a KPI listed twice counts twice."""
     counts = _per_kpi(prefix, kpis)
-    return F.coalesce(
-        F.aggregate(
-            "names",
-            F.lit(0).cast("bigint"),
-            lambda total, name: total + F.coalesce(F.element_at(counts, name), F.lit(0)),
-        ),
-        F.lit(0),
-    ).cast("bigint")
+    total = F.aggregate(
+        "places",
+        F.lit(0).cast("bigint"),
+        lambda total, place: total + F.coalesce(F.get(counts, place), F.lit(0)),
+    )
+    return F.coalesce(total, F.lit(0)).cast("bigint")

@@ -13,7 +13,8 @@ from slicecheck.functions.names import kpi_columns, table_name
 from slicecheck.operators.typing import typed_projection
 from slicecheck.settings import ENTITY, SLICE
 
-CATALOG_SCHEMA = "motype string, period string, kpis array<string>"
+# (model, period) to the KPIs of its table, in their order.
+Catalog = dict[tuple[str, str], list[str]]
 
 
 def use_database(spark: SparkSession, name: str) -> None:
@@ -48,37 +49,44 @@ def slice_scan(df: DataFrame, start_day: int, start_time: int, kpis: Sequence[st
     return df.where(slot).select(ENTITY, *kpis)
 
 
-def load_models(
+def model_catalog(
     spark: SparkSession, models: Iterable[tuple[str, str]], database: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """All tables of ``models`` (model, period) as one fact table ``SLICE, mo, kpis``,
-    with the KPI catalog ``motype, period, kpis``. A KPI that a model lacks is
-    null there; a model without a table is in neither, so that checks on it fail
-    while all others run.
+) -> Catalog:
+    """The KPIs of each (model, period); one without a table is left out."""
+    found = {(m, p.lower()): table_kpis(spark, m, p, database) for m, p in models}
+    return {model: kpis for model, kpis in found.items() if kpis is not None}
+
+
+def value_columns(catalog: Catalog) -> list[str]:
+    return [f"v{n + 1}" for n in range(max(map(len, catalog.values()), default=0))]
+
+
+def load_models(spark: SparkSession, catalog: Catalog, database: str | None = None) -> DataFrame:
+    """The tables of a catalog as one fact table ``SLICE, mo`` and value columns.
+
+    Models have different KPIs, often without any in common. Each model's first KPI
+    is put into ``v1`` and so on, so that the table is as wide as the widest model
+    and not as all KPIs together. Both copies must be loaded by one catalog; a KPI
+    that this copy lacks is null, and a model without a table here has no rows.
     """
-    found = {}
-    for motype, period in dict.fromkeys((m, p.lower()) for m, p in models):
-        kpis = table_kpis(spark, motype, period, database)
-        if kpis is not None:
-            found[motype, period] = kpis
-    catalog = spark.createDataFrame([(m, p, k) for (m, p), k in found.items()], CATALOG_SCHEMA)
-    every_kpi = list(dict.fromkeys(k for kpis in found.values() for k in kpis))
-
-    facts = [
-        typed_projection(
-            kpi_table(spark, motype, period, database).withColumns(
-                {
-                    "motype": F.lit(motype),
-                    "period": F.lit(period),
-                    **{k: F.lit(None).cast("double") for k in every_kpi if k not in kpis},
-                }
-            ),
-            every_kpi,
-            SLICE,
+    columns = value_columns(catalog)
+    facts = []
+    for (motype, period), kpis in catalog.items():
+        present = table_kpis(spark, motype, period, database)
+        if present is None:
+            continue
+        values = [F.col(k) if k in present else F.lit(None) for k in kpis]
+        values += [F.lit(None)] * (len(columns) - len(kpis))
+        table = kpi_table(spark, motype, period, database).select(
+            F.lit(motype).alias("motype"),
+            F.lit(period).alias("period"),
+            F.col("sd").cast("int").alias("sd"),
+            F.col("st").cast("int").alias("st"),
+            ENTITY,
+            *[value.alias(column) for value, column in zip(values, columns)],
         )
-        for (motype, period), kpis in found.items()
-    ]
-    return (reduce(DataFrame.unionAll, facts) if facts else _no_facts(spark)), catalog
+        facts.append(typed_projection(table, columns, SLICE))
+    return reduce(DataFrame.unionAll, facts) if facts else _no_facts(spark, columns)
 
 
 def named_view(df: DataFrame, purpose: str) -> str:
@@ -90,5 +98,6 @@ def named_view(df: DataFrame, purpose: str) -> str:
     return name
 
 
-def _no_facts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], f"motype string, period string, sd int, st int, {ENTITY} bigint")
+def _no_facts(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
+    schema = f"motype string, period string, sd int, st int, {ENTITY} bigint"
+    return spark.createDataFrame([], ", ".join([schema, *[f"{c} double" for c in columns]]))

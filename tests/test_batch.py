@@ -122,9 +122,7 @@ def test_first_task_of_a_slice_decides_and_all_get_its_result(spark, sides):
 
 
 def test_catalog_of_models(spark, sides):
-    catalog = spark.createDataFrame(
-        [("m", "h", ["i1"])], "motype string, period string, kpis array<string>"
-    )
+    catalog = {("m", "h"): ["i1"]}
     asked = [task(1, 1), task(2, 5, "i1,i2"), task(3, 0, motype="n")]
     results, _ = run(spark, sides, *asked, catalog=catalog)
     assert (results["m", 1]["all_n"], results["m", 1]["status"]) == (3, -1)

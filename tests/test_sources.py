@@ -48,21 +48,26 @@ def test_slice_scan_reaches_the_files(spark, database):
 
 
 def test_models_with_tables_of_their_own(spark, database):
-    models = [("m", "h"), ("n", "H"), ("none", "h")]
-    facts, catalog = tables.load_models(spark, models, database)
-    assert facts.columns == ["motype", "period", "sd", "st", "mo", "i1", "i2", "i3"]
+    catalog = tables.model_catalog(spark, [("m", "h"), ("n", "H"), ("none", "h")], database)
+    assert catalog == {("m", "h"): ["i1", "i2"], ("n", "h"): ["i1", "i3"]}
+    facts = tables.load_models(spark, catalog, database)
+    assert facts.columns == ["motype", "period", "sd", "st", "mo", "v1", "v2"]
     assert facts.count() == 200
-    assert {r["motype"]: r["kpis"] for r in catalog.collect()} == {
-        "m": ["i1", "i2"],
-        "n": ["i1", "i3"],
-    }
+    asked = [("m", None), ("n", None), ("none", None)]
     tasks = spark.createDataFrame(
-        [(i, m, "h", 20240101, 1, None, None) for i, m in enumerate(("m", "n", "none"))], TASK_SCHEMA
+        [(i, m, "h", 20240101, 1, kpis, None) for i, (m, kpis) in enumerate(asked)], TASK_SCHEMA
     )
-    off = facts.withColumn("i3", F.col("i3") + 1)
-    results = reconcile_batch(tasks, facts, off, ["i1", "i2", "i3"], catalog=catalog).results
-    found = {r["motype"]: (r["all_n"], r["error_n"], r["status"]) for r in results.collect()}
+    off = facts.withColumn("v2", F.when(F.col("motype") == "n", 9.0).otherwise(F.col("v2")))
+    batch = reconcile_batch(tasks, facts, off, ["v1", "v2"], catalog)
+    found = {r["motype"]: (r["all_n"], r["error_n"], r["status"]) for r in batch.results.collect()}
     assert found == {"m": (100, 0, 1), "n": (100, 50, -1), "none": (0, 0, 2)}
+    assert {(r["motype"], r["fields"]) for r in batch.details.collect()} == {("n", "[i3]")}
+
+
+def test_old_side_may_lack_tables_and_kpis(spark, database):
+    catalog = {("m", "h"): ["i1", "i2", "i9"], ("none", "h"): ["i1"]}
+    facts = tables.load_models(spark, catalog, database)
+    assert facts.count() == 100 and facts.where("v3 is not null").isEmpty()
 
 
 def test_tasks_prune_days(spark, database):
@@ -73,10 +78,10 @@ def test_tasks_prune_days(spark, database):
         (20240101 + F.col("id") % 5).cast("int").alias("sd"),
     )
     days.write.partitionBy("sd").saveAsTable("kpi.t_d_h")
-    facts, _ = tables.load_models(spark, [("d", "h")], database)
+    facts = tables.load_models(spark, {("d", "h"): ["i1"]}, database)
     asked = [(day, "d", "h", day, 0, None, None) for day in (20240102, 20240104)]
-    groups = written(check_plans(spark.createDataFrame(asked, TASK_SCHEMA), ["i1"]))
-    routed = route([facts, facts], groups, ["i1"])[0]
+    groups = written(check_plans(spark.createDataFrame(asked, TASK_SCHEMA), ["v1"]))
+    routed = route([facts, facts], groups, ["v1"])[0]
     assert routed.count() == 120
     plan = routed._jdf.queryExecution().executedPlan().toString()
     # The range of days prunes when the query is planned, the days of the tasks when it runs.
@@ -85,8 +90,9 @@ def test_tasks_prune_days(spark, database):
 
 
 def test_no_table_at_all(spark, database):
-    facts, catalog = tables.load_models(spark, [("none", "h")], database)
-    assert facts.isEmpty() and catalog.isEmpty()
+    assert tables.model_catalog(spark, [("none", "h")], database) == {}
+    assert tables.load_models(spark, {("none", "h"): ["i1"]}, database).isEmpty()
+    assert tables.load_models(spark, {}, database).isEmpty()
 
 
 def test_views_do_not_clash(spark):
