@@ -217,10 +217,9 @@ def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comma lists: object lists of at most LIST_WIDTH ids, lists of lists, and columns."""
-    key = F.col("c_custkey")
     lists = (
         table(spark, sf_dir, "customer")
-        .groupBy(_model().alias("motype"), F.floor(key / LIST_WIDTH).cast("bigint").alias("n"))
+        .groupBy(_model().alias("motype"), F.expr(f"c_custkey div {LIST_WIDTH}").alias("n"))
         .agg(F.array_sort(F.collect_list("c_custkey")).alias("ids"))
         .withColumn("list_key", F.concat(F.lit("LIST:"), "motype", F.lit(":"), "n"))
     )
@@ -310,7 +309,7 @@ def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model() -> Column:
-    block = F.floor(F.col("c_custkey") / MODEL_WIDTH).cast("bigint")
+    block = F.expr(f"c_custkey div {MODEL_WIDTH}")
     return F.concat_ws("_", F.col("c_nationkey"), block)
 
 

@@ -73,4 +73,4 @@ def key_batches(
     """The distinct keys of each slice with the number of their batch, largest keys first."""
     keys = df.select(*by, entity).where(F.col(entity).isNotNull()).distinct()
     numbered = number_rows(keys, by, [F.desc(entity)])
-    return numbered.select(*by, entity, F.floor(F.col("pos") / size).cast("bigint").alias("batch"))
+    return numbered.select(*by, entity, F.expr(f"pos div {size}").alias("batch"))

@@ -78,7 +78,7 @@ def group_task_ids(tasks: DataFrame, size: int = KEYS_PER_BATCH) -> DataFrame:
     numbered = number_rows(
         by_slice(tasks).select(*SLICE, "task_id").distinct(), SLICE, [F.col("task_id")]
     )
-    chunk = F.floor(F.col("pos") / size).cast("bigint").alias("chunk")
+    chunk = F.expr(f"pos div {size}").alias("chunk")
     return numbered.groupBy(*SLICE, chunk).agg(
         F.array_sort(F.collect_list("task_id")).alias("task_ids")
     )

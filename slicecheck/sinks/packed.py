@@ -107,12 +107,14 @@ def packed_blobs(
         .groupBy(*by, "_order", "line")
         .agg(F.count("*").alias("copies"))
     )
-    first = F.col("pos")
-    end = first + F.col("copies")
+    # A row and its copies may reach over several parts.
+    reached = F.expr(f"sequence(pos div {size}, (pos + copies - 1) div {size})")
     placed = number_rows(rows, by, [F.col("_order"), F.col("line")], "copies").select(
-        "*", F.explode(F.sequence(F.floor(first / size), F.floor((end - 1) / size))).alias("part")
+        "*", F.explode(reached).alias("part")
+    )
+    inside = F.least(F.col("pos") + F.col("copies"), (F.col("part") + 1) * size) - F.greatest(
+        F.col("pos"), F.col("part") * size
     )
-    inside = F.least(end, (F.col("part") + 1) * size) - F.greatest(first, F.col("part") * size)
     parts = placed.groupBy(*by, "part").agg(
         F.array_sort(
             F.collect_list(F.struct("pos", F.col("line"), inside.cast("int").alias("n")))
