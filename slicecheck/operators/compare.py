@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slicecheck.functions.text import bracket_list
-from slicecheck.operators.pairs import (
-    is_matched,
-    kpi_failure,
-    kpi_mismatch,
-    kpi_null,
-    mismatch,
-    pair_rows,
-)
+from slicecheck.operators.pairs import exceeds, is_matched, pair_differences, pair_rows
 from slicecheck.operators.typing import long_counts
 from slicecheck.settings import ENTITY, TOLERANCE
 
@@ -40,21 +33,22 @@ def compare_wide(
     """One row per key. ``n_bad``, ``null_pairs`` and ``n_failed`` count KPIs of
     matched keys; ``bad`` names the mismatching ones in the order of ``kpis``.
     """
-    pairs = pair_rows(new, old, keys, kpis)
-    return pairs.select(
+    off = {k: exceeds(F.col(f"diff_{k}"), tol) for k in kpis}
+    return pair_differences(new, old, keys, kpis).select(
         *keys,
         "n_new",
         "n_old",
-        _count_kpis(kpi_mismatch(k, tol) for k in kpis).alias("n_bad"),
-        _count_kpis(kpi_null(pairs, k) for k in kpis).alias("null_pairs"),
-        _count_kpis(kpi_failure(pairs, k) for k in kpis).alias("n_failed"),
-        named_kpis((kpi_mismatch(k, tol), k) for k in kpis).alias("bad"),
+        _count_kpis(off.values()).alias("n_bad"),
+        _count_kpis(F.col(f"null_{k}") for k in kpis).alias("null_pairs"),
+        _count_kpis(F.col(f"fail_{k}") for k in kpis).alias("n_failed"),
+        named_kpis(off).alias("bad"),
     )
 
 
-def named_kpis(conditions) -> Column:
+def named_kpis(conditions: dict[str, Column]) -> Column:
     """Array of the names whose condition holds."""
-    return F.array_remove(F.array(*[F.when(c, k).otherwise("") for c, k in conditions]), "")
+    names = [F.when(condition, k).otherwise("") for k, condition in conditions.items()]
+    return F.array_remove(F.array(*names), "")
 
 
 def mismatch_detail(cmp: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -74,17 +68,20 @@ def field_mismatches(
     after the wide comparison, so the shuffle carries one row per key.
     """
     pairs = pair_rows(new, old, keys, kpis).where(is_matched())
+    diff = {k: F.col(f"x_{k}") - F.col(f"y_{k}") for k in kpis}
     entries = [
         F.struct(
-            F.lit(k).alias("kpi"), F.col(f"x_{k}").alias("x"), F.col(f"y_{k}").alias("y")
+            F.lit(k).alias("kpi"),
+            F.col(f"x_{k}").alias("x"),
+            F.col(f"y_{k}").alias("y"),
+            diff[k].alias("diff"),
         )
         for k in kpis
     ]
     return (
-        pairs.where(reduce(lambda a, b: a | b, [kpi_mismatch(k, tol) for k in kpis]))
+        pairs.where(reduce(or_, [exceeds(d, tol) for d in diff.values()]))
         .select(*keys, F.inline(F.array(*entries)))
-        .where(mismatch(F.col("x"), F.col("y"), tol))
-        .withColumn("diff", F.col("x") - F.col("y"))
+        .where(exceeds(F.col("diff"), tol))
     )
 
 
@@ -108,7 +105,7 @@ def compare_long(
         x.alias("x"),
         y.alias("y"),
         (x - y).alias("diff"),
-        mismatch(x, y, tol).alias("is_bad"),
+        exceeds(x - y, tol).alias("is_bad"),
     )
 
 
@@ -120,16 +117,16 @@ def errors_by_kpi(
     tol: float = TOLERANCE,
 ) -> DataFrame:
     """Number of mismatches per KPI, and per slice if there are keys before the entity."""
-    pairs = pair_rows(new, old, keys, kpis).where(is_matched())
-    return _counts_by_kpi(pairs, keys, {k: kpi_mismatch(k, tol) for k in kpis})
+    pairs = pair_differences(new, old, keys, kpis).where(is_matched())
+    return _counts_by_kpi(pairs, keys, {k: exceeds(F.col(f"diff_{k}"), tol) for k in kpis})
 
 
 def null_pairs(
     new: DataFrame, old: DataFrame, keys: Sequence[str], kpis: Sequence[str]
 ) -> DataFrame:
     """Number of matched values per KPI that were not compared since a side is null."""
-    pairs = pair_rows(new, old, keys, kpis).where(is_matched())
-    return _counts_by_kpi(pairs, keys, {k: kpi_null(pairs, k) for k in kpis})
+    pairs = pair_differences(new, old, keys, kpis).where(is_matched())
+    return _counts_by_kpi(pairs, keys, {k: F.col(f"null_{k}") for k in kpis})
 
 
 def exact_row_diff(new: DataFrame, old: DataFrame) -> DataFrame:
@@ -150,13 +147,11 @@ def exact_field_diff(
     """The KPIs of each matched entity that are not exactly equal; null equals null only."""
     pairs = pair_rows(new, old, keys, kpis).where(is_matched())
     differs = {k: ~F.col(f"x_{k}").eqNullSafe(F.col(f"y_{k}")) for k in kpis}
-    return (
-        pairs.where(reduce(lambda a, b: a | b, differs.values()))
-        .select(*keys, bracket_list(named_kpis((c, k) for k, c in differs.items())).alias("fields"))
-    )
+    fields = bracket_list(named_kpis(differs)).alias("fields")
+    return pairs.where(reduce(or_, differs.values())).select(*keys, fields)
 
 
-def _count_kpis(conditions) -> Column:
+def _count_kpis(conditions: Iterable[Column]) -> Column:
     """Number of conditions that hold, for matched rows; 0 for others."""
     total = reduce(add, [c.cast("int") for c in conditions], F.lit(0))
     return F.when(is_matched(), total).otherwise(0)

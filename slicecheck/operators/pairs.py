@@ -9,47 +9,98 @@ out of the same pass; and no side needs sorting.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slicecheck.operators.typing import not_castable
 from slicecheck.settings import ENTITY, TOLERANCE
 
+# Flags of this many KPIs share one bigint.
+WORD = 63
+
 
 def pair_rows(
+    new: DataFrame, old: DataFrame, keys: Sequence[str], kpis: Sequence[str]
+) -> DataFrame:
+    """One row per key: ``n_new``, ``n_old``, and per KPI ``x_`` (new) and ``y_`` (old).
+    Rows without an entity key stay visible under the null key.
+    """
+    sides = [
+        side.select(
+            *_keys(keys),
+            F.lit(1).alias(f"in_{mark}"),
+            *[_number(k).alias(f"{mark}_{k}") for k in kpis],
+        )
+        for side, mark in ((new, "x"), (old, "y"))
+    ]
+    stacked = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    # A matched key has one row per side, so max is that row's value.
+    values = [F.max(f"{mark}_{k}").alias(f"{mark}_{k}") for mark in "xy" for k in kpis]
+    return stacked.groupBy(*keys).agg(*_counts(), *values)
+
+
+def pair_differences(
     new: DataFrame,
     old: DataFrame,
     keys: Sequence[str],
     kpis: Sequence[str],
     listed: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per key: ``n_new``, ``n_old``, and per KPI ``x_`` (new) and ``y_`` (old).
-
-    ``listed`` holds keys a check is restricted to; they come in through the same
-    grouping and are marked by ``n_listed``. Rows without an entity key stay
-    visible under the null key. For KPIs that arrive as text, ``xf_`` / ``yf_``
-    tell that a value is there but is no number.
+    """One row per key: ``n_new``, ``n_old``, and per KPI ``diff_`` (new - old, if both
+    are numbers), ``null_`` (a side has no value) and ``fail_`` (both have one, but
+    not both a number). The KPI columns mean something for matched keys only.
+
+    Half as wide in the shuffle as both values: a matched key has one row per side,
+    so the sum of the new and the negated old value is their exact difference, and
+    which values are there fits into bits. ``listed`` holds keys a check is
+    restricted to; they come in through the same grouping, counted by ``n_listed``.
     """
-    text = {
-        k for k in kpis for side in (new, old) if isinstance(side.schema[k].dataType, T.StringType)
-    }
-    sides = _side(new, keys, kpis, text, "x").unionByName(
-        _side(old, keys, kpis, text, "y"), allowMissingColumns=True
-    )
-    counts = [
-        F.count("in_x").alias("n_new"),
-        F.count("in_y").alias("n_old"),
+    flags = {"num": lambda k: _number(k).isNotNull()}
+    # Only text can hold a value that is no number.
+    if any(isinstance(side.schema[k].dataType, T.StringType) for side in (new, old) for k in kpis):
+        flags["set"] = lambda k: F.col(k).isNotNull()
+    words = [kpis[start : start + WORD] for start in range(0, len(kpis), WORD)]
+    bits = [(f"{flag}_{w}", test, names) for flag, test in flags.items() for w, names in enumerate(words)]
+
+    sides = [
+        side.select(
+            *_keys(keys),
+            F.lit(1).alias(f"in_{mark}"),
+            *[(sign * _number(k)).alias(f"d_{k}") for k in kpis],
+            *[_bits(test, names).alias(f"{name}_{mark}") for name, test, names in bits],
+        )
+        for side, mark, sign in ((new, "x", 1), (old, "y", -1))
     ]
+    counts = _counts()
     if listed is not None:
-        marks = listed.select(*_keys(keys), F.lit(1).alias("in_list"))
-        sides = sides.unionByName(marks, allowMissingColumns=True)
+        sides.append(listed.select(*_keys(keys), F.lit(1).alias("in_list")))
         counts.append(F.count("in_list").alias("n_listed"))
-    # A matched key has one row per side, so max is that row's value.
-    values = [F.max(c).alias(c) for c in sides.columns if c not in keys and not c.startswith("in_")]
-    return sides.groupBy(*keys).agg(*counts, *values)
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    grouped = stacked.groupBy(*keys).agg(
+        *counts,
+        *[F.sum(f"d_{k}").alias(f"d_{k}") for k in kpis],
+        *[F.bit_or(f"{name}_{mark}").alias(f"{name}_{mark}") for name, _, _ in bits for mark in "xy"],
+    )
+
+    def on_both(flag: str, n: int) -> Column:
+        word = f"{flag}_{n // WORD}"
+        found = F.col(f"{word}_x").bitwiseAND(F.col(f"{word}_y"))
+        return F.coalesce(found.bitwiseAND(_bit(n % WORD)) != 0, F.lit(False))
+
+    numbers = [on_both("num", n) for n in range(len(kpis))]
+    values = [on_both("set", n) for n in range(len(kpis))] if "set" in flags else numbers
+    return grouped.select(
+        *keys,
+        "n_new",
+        "n_old",
+        *(["n_listed"] if listed is not None else []),
+        *[F.when(number, F.col(f"d_{k}")).alias(f"diff_{k}") for k, number in zip(kpis, numbers)],
+        *[(~value).alias(f"null_{k}") for k, value in zip(kpis, values)],
+        *[(v & ~n).alias(f"fail_{k}") for k, v, n in zip(kpis, values, numbers)],
+    )
 
 
 def is_matched() -> Column:
@@ -60,44 +111,31 @@ def is_duplicated() -> Column:
     return F.col(ENTITY).isNotNull() & ((F.col("n_new") > 1) | (F.col("n_old") > 1))
 
 
-def mismatch(x: Column, y: Column, tol: float = TOLERANCE) -> Column:
-    """Both values are there and lie further apart than ``tol``. The comparison is
-    negated, not turned round, so that NaN counts as a mismatch.
+def exceeds(difference: Column, tol: float = TOLERANCE) -> Column:
+    """The difference is there and larger than ``tol``. The comparison is negated, not
+    turned round, so that NaN counts as a mismatch.
     """
-    return x.isNotNull() & y.isNotNull() & ~(F.abs(x - y) <= F.lit(tol))
+    return difference.isNotNull() & ~(F.abs(difference) <= F.lit(tol))
 
 
-def kpi_mismatch(kpi: str, tol: float = TOLERANCE) -> Column:
-    return mismatch(F.col(f"x_{kpi}"), F.col(f"y_{kpi}"), tol)
+def _counts() -> list[Column]:
+    return [F.count("in_x").alias("n_new"), F.count("in_y").alias("n_old")]
 
 
-def kpi_null(pairs: DataFrame, kpi: str) -> Column:
-    """The KPI is missing on a side; text that is no number is not missing."""
-    return _absent(pairs, "x", kpi) | _absent(pairs, "y", kpi)
-
-
-def kpi_failure(pairs: DataFrame, kpi: str) -> Column:
-    """Both sides hold a value for the KPI and one of them is no number."""
-    if f"xf_{kpi}" not in pairs.columns:
-        return F.lit(False)
-    return ~kpi_null(pairs, kpi) & (F.col(f"xf_{kpi}") | F.col(f"yf_{kpi}"))
+def _keys(keys: Sequence[str]) -> list[Column]:
+    return [F.col(k).try_cast("bigint").alias(k) if k == ENTITY else F.col(k) for k in keys]
 
 
-def _absent(pairs: DataFrame, side: str, kpi: str) -> Column:
-    absent = F.col(f"{side}_{kpi}").isNull()
-    return absent & ~F.col(f"{side}f_{kpi}") if f"{side}f_{kpi}" in pairs.columns else absent
+def _number(kpi: str) -> Column:
+    return F.col(kpi).try_cast("double")
 
 
-def _keys(keys: Sequence[str]) -> list[Column]:
-    return [F.col(k).try_cast("bigint").alias(k) if k == ENTITY else F.col(k) for k in keys]
+def _bit(n: int) -> Column:
+    return F.lit(1 << n).cast("bigint")
 
 
-def _side(
-    df: DataFrame, keys: Sequence[str], kpis: Sequence[str], text: set[str], side: str
-) -> DataFrame:
-    return df.select(
-        *_keys(keys),
-        F.lit(1).alias(f"in_{side}"),
-        *[F.col(k).try_cast("double").alias(f"{side}_{k}") for k in kpis],
-        *[not_castable(F.col(k), "double").alias(f"{side}f_{k}") for k in kpis if k in text],
-    )
+def _bits(test: Callable[[str], Column], kpis: Sequence[str]) -> Column:
+    """One bit per KPI for which the test holds."""
+    zero = F.lit(0).cast("bigint")
+    bits = [F.when(test(k), _bit(n)).otherwise(zero) for n, k in enumerate(kpis)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)

@@ -12,19 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slicecheck.functions.text import bracket_list, kpi_name
-from slicecheck.operators.pairs import (
-    is_duplicated,
-    is_matched,
-    kpi_failure,
-    kpi_mismatch,
-    kpi_null,
-    pair_rows,
-)
+from slicecheck.operators.pairs import exceeds, is_duplicated, is_matched, pair_differences
 from slicecheck.plans.summary import verdicts
 from slicecheck.plans.tasks import (
     listed_entities,
@@ -160,17 +154,16 @@ def tally_slices(
     ``null_`` and ``fail_`` counts. ``mo`` is null in the one row that stands for
     all entities without a mismatch.
     """
-    pairs = pair_rows(new, old, [*by, ENTITY], kpis, listed)
-    bad = [is_matched() & kpi_mismatch(k, tol) for k in kpis]
+    pairs = pair_differences(new, old, [*by, ENTITY], kpis, listed)
+    bad = {k: is_matched() & exceeds(F.col(f"diff_{k}"), tol) for k in kpis}
     found = pairs.where(F.col(ENTITY).isNotNull() & (F.col("n_new") + F.col("n_old") > 0))
     counts = {
         "matched": is_matched(),
         "duplicated": is_duplicated(),
-        **{f"err_{k}": condition for k, condition in zip(kpis, bad)},
-        **{f"null_{k}": is_matched() & kpi_null(pairs, k) for k in kpis},
-        **{f"fail_{k}": is_matched() & kpi_failure(pairs, k) for k in kpis},
+        **{f"err_{k}": condition for k, condition in bad.items()},
+        **{f"{flag}_{k}": is_matched() & F.col(f"{flag}_{k}") for flag in ("null", "fail") for k in kpis},
     }
-    any_bad = reduce(lambda a, b: a | b, bad, F.lit(False))
+    any_bad = reduce(or_, bad.values(), F.lit(False))
     return found.groupBy(
         *by,
         (F.col("n_listed") > 0).alias("is_listed"),
