@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -38,7 +37,6 @@ def session() -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="slicecheck-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -99,7 +99,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                             WHEN start_time = 15 THEN 'mo, I3'
                             WHEN start_time % 4 = 1 THEN 'i1,i3'
                             WHEN start_time % 4 = 3 THEN 'i3,i2,i1' END AS indicators,
-                       CASE WHEN start_time % 8 = 7 THEN
+                       CASE WHEN start_time % 8 = 7 AND start_day % 2 = 0 THEN
                             start_time || ',' || (start_time + 24) || ',' || (start_time + 48)
                             || ',' || (start_day % 100) || ',x' END AS moentities
                 FROM hours)

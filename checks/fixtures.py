@@ -144,7 +144,7 @@ def event_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(st % 4 == 1, "i1,i3")
         .when(st % 4 == 3, "i3,i2,i1")
         .alias("indicators"),
-        F.when(st % 8 == 7, entities).alias("moentities"),
+        F.when((st % 8 == 7) & (F.col("start_day") % 2 == 0), entities).alias("moentities"),
     )
     second = first.where(st % 6 == 0).select(
         (F.col("task_id") + 10_000_000_000).alias("task_id"),

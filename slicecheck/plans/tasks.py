@@ -85,8 +85,13 @@ def group_task_ids(tasks: DataFrame, size: int = KEYS_PER_BATCH) -> DataFrame:
 
 
 def fan_out(results: DataFrame, tasks: DataFrame) -> DataFrame:
-    """The result of each slice for every task that asked for it."""
-    return by_slice(tasks).select(*SLICE, "task_id").join(results, SLICE)
+    """The result of each slice for every task that asked for it. Tasks that name no
+    proper slice have a result, too, so nulls count as equal.
+    """
+    of_slice = results.withColumnsRenamed({c: f"_{c}" for c in SLICE})
+    same_slice = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in SLICE]
+    joined = by_slice(tasks).select(*SLICE, "task_id").join(of_slice, same_slice)
+    return joined.drop(*[f"_{c}" for c in SLICE])
 
 
 def listed_kpis(indicators: Column, default: Column) -> Column:

@@ -121,6 +121,13 @@ def test_first_task_of_a_slice_decides_and_all_get_its_result(spark, sides):
     assert ids == {1: [4, 9], 0: [7]}
 
 
+def test_a_task_without_a_slot_fails(spark, sides):
+    tasks = spark.createDataFrame([task(1, None), task(2, 0)], TASK_SCHEMA)
+    batch = reconcile_batch(tasks, *sides, KPIS)
+    rows = task_plans.result_rows(batch.results, tasks, at()).collect()
+    assert {r["task_id"]: r["status"] for r in rows} == {1: 2, 2: 1}
+
+
 def test_catalog_of_models(spark, sides):
     catalog = {("m", "h"): ["i1"]}
     asked = [task(1, 1), task(2, 5, "i1,i2"), task(3, 0, motype="n")]
