@@ -16,7 +16,7 @@ from checks.fixture_sql import with_views
 from slicecheck.functions.names import catalog_columns
 from slicecheck.functions.text import split_list, stamp_long
 from slicecheck.operators import batches, compare, keys, lookup, members
-from slicecheck.operators.typing import cast_failures, typed_projection
+from slicecheck.operators.casting import cast_failures, typed_projection
 from slicecheck.plans import tasks as task_plans
 from slicecheck.plans.batch import Batch, reconcile_batch
 from slicecheck.plans.summary import report_details, summarize

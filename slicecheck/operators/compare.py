@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from slicecheck.functions.text import bracket_list
 from slicecheck.operators.pairs import exceeds, is_matched, pair_differences, pair_rows
-from slicecheck.operators.typing import long_counts
+from slicecheck.operators.casting import long_counts
 from slicecheck.settings import ENTITY, TOLERANCE
 
 

@@ -37,7 +37,7 @@ from slicecheck.settings import (
     TOLERANCE,
     written,
 )
-from slicecheck.sinks.tables import append
+from slicecheck.sinks.tables import write_run
 from slicecheck.sources.tables import Catalog
 
 # Up to this many slices (some 20 MB) the task list is sent to all executors.
@@ -240,20 +240,22 @@ def run_batch(
     new: DataFrame,
     old: DataFrame,
     kpis: Sequence[str],
+    run: str,
     ledger: str,
     task_results: str,
     details: str,
     at: Column | None = None,
     **options,
 ) -> None:
-    """Runs a batch and appends to three folders: the ledger (a row when tasks start
-    and one when they end), the task results and the mismatch details.
+    """Runs a batch and adds to three tables: the ledger (a row when tasks start and
+    one when they end), the task results and the mismatch details. A failed run is
+    repeated under the same name.
     """
-    append(running_rows(tasks, at), ledger)
+    write_run(running_rows(tasks, at), ledger, run, ("seq",))
     batch = reconcile_batch(tasks, new, old, kpis, materialize=True, **options)
-    append(batch.details, details)
-    append(result_rows(batch.results, tasks, at), task_results)
-    append(outcome_rows(batch.results, tasks, at), ledger)
+    write_run(batch.details, details, run)
+    write_run(result_rows(batch.results, tasks, at), task_results, run)
+    write_run(outcome_rows(batch.results, tasks, at), ledger, run, ("seq",))
 
 
 def _per_kpi(prefix: str, kpis: Sequence[str]) -> Column:

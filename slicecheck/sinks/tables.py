@@ -1,9 +1,23 @@
-"""Append-only tables for ledgers, results and details."""
+"""Tables that only grow: task sheets, ledgers, results and details."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def append(df: DataFrame, path: str, file_format: str = "parquet") -> None:
     df.write.mode("append").format(file_format).save(path)
+
+
+def write_run(df: DataFrame, path: str, run: str, parts: tuple[str, ...] = ()) -> None:
+    """Adds the rows of one run under its name. A run that is repeated after a failure
+    replaces what it had written; other runs are not touched.
+    """
+    (
+        df.withColumn("run", F.lit(run))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run", *parts)
+        .parquet(path)
+    )

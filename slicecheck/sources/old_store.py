@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicecheck.operators.typing import typed_projection
+from slicecheck.operators.casting import typed_projection
 from slicecheck.settings import ENTITY
 
 

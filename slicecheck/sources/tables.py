@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slicecheck.functions.names import kpi_columns, table_name
-from slicecheck.operators.typing import typed_projection
+from slicecheck.operators.casting import typed_projection
 from slicecheck.settings import ENTITY, SLICE
 
 # (model, period) to the KPIs of its table, in their order.

@@ -164,10 +164,11 @@ def test_no_tasks(spark, sides):
     assert batch.results.isEmpty() and batch.details.isEmpty()
 
 
-def test_outputs_are_appended(spark, sides, tmp_path):
+def test_runs_on_disk(spark, sides, tmp_path):
     tasks = spark.createDataFrame([task(i, i) for i in range(3)], TASK_SCHEMA)
     paths = [str(tmp_path / name) for name in ("ledger", "results", "details")]
-    run_batch(tasks, *sides, KPIS, *paths, at=at())
+    for _ in range(2):  # the second time replaces the first
+        run_batch(tasks, *sides, KPIS, "a", *paths, at=at())
     ledger, results, details = [spark.read.parquet(p) for p in paths]
     assert ledger.count() == 6 and results.count() == 3 and details.count() == 2
     latest = {r["task_id"]: r["status"] for r in task_plans.latest_status(ledger).collect()}
@@ -175,7 +176,7 @@ def test_outputs_are_appended(spark, sides, tmp_path):
     failed = results.where("status = 2").first()
     assert failed["all_n"] is None and failed["finish_time"] is None
 
-    run_batch(tasks.where("task_id = 1"), *sides, KPIS, *paths, at=at("2024-02-02 00:00:00"), threshold=0.1)
+    run_batch(tasks.where("task_id = 1"), *sides, KPIS, "b", *paths, at=at("2024-02-02 00:00:00"), threshold=0.1)
     latest = {r["task_id"]: r["status"] for r in task_plans.latest_status(spark.read.parquet(paths[0])).collect()}
     assert latest == {0: 1, 1: 1, 2: 2}
     more = spark.createDataFrame([task(2, 2), task(3, 3)], TASK_SCHEMA)

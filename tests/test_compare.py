@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from slicecheck.operators import compare, keys
-from slicecheck.operators.typing import cast_failures, typed_projection
+from slicecheck.operators.casting import cast_failures, typed_projection
 from slicecheck.plans.summary import report_details, summarize
 
 SF_DIR = "/root/testdata/sf0.001"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import zlib
 from pathlib import Path
 
 import pytest
@@ -12,6 +13,7 @@ from checks import fixtures as fx
 from slicecheck.operators.batches import key_batches, number_rows
 from slicecheck.settings import SLICE
 from slicecheck.sinks import packed
+from slicecheck.sinks.store import put_blobs
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -100,6 +102,26 @@ def test_blobs_hold_every_copy_of_a_row(spark, size):
     assert found == {"a": sorted(numbers), "b": [4]}
 
 
+def test_blobs_reach_a_store(spark, tmp_path):
+    folder = str(tmp_path)
+
+    class Files:
+        def set(self, key, value):
+            Path(folder, key).write_bytes(value)
+
+        def close(self):
+            pass
+
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 4)], "s string, mo bigint")
+    put_blobs(packed.packed_blobs(df, ["mo"], ["s"], 2), Files, ["s"])
+    found = {f.name: zlib.decompress(f.read_bytes()).decode() for f in tmp_path.iterdir()}
+    assert found == {
+        "a:0": "mo\r\n1\r\n2\r\n",
+        "a:1": "mo\r\n3\r\n",
+        "b:0": "mo\r\n4\r\n",
+    }
+
+
 def test_batches_of_one_large_slice(spark):
     """A slice with most of the keys is ranked in several ranges and counts on through them."""
     df = spark.range(20_000).select(
