@@ -205,13 +205,15 @@ def keys_only_old(spark, sf_dir):
 
 
 @query(
-    """SELECT * FROM
-         (SELECT count(*) AS new_rows, count(*) FILTER (k IS NULL) AS new_null_keys FROM t),
-         (SELECT count(*) AS old_rows, count(*) FILTER (mo IS NULL) AS old_null_keys FROM orders_old),
-         (SELECT count(DISTINCT k) AS matched_keys FROM t WHERE k IN (SELECT mo FROM orders_old)),
-         (SELECT count(DISTINCT k) AS only_new_keys FROM t WHERE k NOT IN (SELECT mo FROM orders_old)),
-         (SELECT count(DISTINCT mo) AS only_old_keys FROM orders_old
-          WHERE mo NOT IN (SELECT k FROM t WHERE k IS NOT NULL))""".replace(
+    """SELECT (SELECT count(*) FROM t) AS new_rows,
+              (SELECT count(*) FROM orders_old) AS old_rows,
+              (SELECT count(*) FROM t WHERE k IS NULL) AS new_null_keys,
+              (SELECT count(*) FROM orders_old WHERE mo IS NULL) AS old_null_keys,
+              (SELECT count(DISTINCT k) FROM t WHERE k IN (SELECT mo FROM orders_old)) AS matched_keys,
+              (SELECT count(DISTINCT k) FROM t
+               WHERE k NOT IN (SELECT mo FROM orders_old)) AS only_new_keys,
+              (SELECT count(DISTINCT mo) FROM orders_old
+               WHERE mo NOT IN (SELECT k FROM t WHERE k IS NOT NULL)) AS only_old_keys""".replace(
         "FROM t", "FROM (SELECT TRY_CAST(mo AS BIGINT) AS k FROM orders_text)"
     ),
     ["orders_text", "orders_old"],

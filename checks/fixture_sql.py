@@ -207,7 +207,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                     WHEN c_custkey % 31 = 0 THEN 'null' WHEN c_custkey % 37 = 0 THEN 'NULL'
                     WHEN c_custkey % 3 = 0 THEN CAST(c_custkey - c_custkey % 600 AS VARCHAR)
                     ELSE CAST(c_custkey AS VARCHAR) END
-        FROM customer, (VALUES ('NAME'), ('SEGMENT'), ('MO')) f(field)
+        FROM (SELECT *, unnest(['NAME', 'SEGMENT', 'MO']) AS field FROM customer)
         WHERE field <> 'MO' OR c_custkey % 41 <> 0 OR c_custkey % 31 = 0 OR c_custkey % 37 = 0
            OR c_custkey % 3 = 0""",
     ),
