@@ -9,7 +9,7 @@ out of the same pass; and no side needs sorting.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -62,16 +62,17 @@ def pair_differences(
     # Only text can hold a value that is no number.
     if any(isinstance(side.schema[k].dataType, T.StringType) for side in (new, old) for k in kpis):
         flags["set"] = lambda k: F.col(k).isNotNull()
-    words = [kpis[start : start + WORD] for start in range(0, len(kpis), WORD)]
-    bits = [(f"{flag}_{w}", test, names) for flag, test in flags.items() for w, names in enumerate(words)]
+    packed = {flag: pack_bits([test(k) for k in kpis], flag) for flag, test in flags.items()}
+    words = [f"{flag}_{w}" for flag, columns in packed.items() for w in range(len(columns))]
 
     sides = [
         side.select(
             *_keys(keys),
             F.lit(1).alias(f"in_{mark}"),
             *[(sign * _number(k)).alias(f"d_{k}") for k in kpis],
-            *[_bits(test, names).alias(f"{name}_{mark}") for name, test, names in bits],
+            *[c for columns in packed.values() for c in columns],
         )
+        .withColumnsRenamed({word: f"{word}_{mark}" for word in words})
         for side, mark, sign in ((new, "x", 1), (old, "y", -1))
     ]
     counts = _counts()
@@ -82,13 +83,13 @@ def pair_differences(
     grouped = stacked.groupBy(*keys).agg(
         *counts,
         *[F.sum(f"d_{k}").alias(f"d_{k}") for k in kpis],
-        *[F.bit_or(f"{name}_{mark}").alias(f"{name}_{mark}") for name, _, _ in bits for mark in "xy"],
+        *[F.bit_or(f"{word}_{mark}").alias(f"{word}_{mark}") for word in words for mark in "xy"],
     )
 
     def on_both(flag: str, n: int) -> Column:
         word = f"{flag}_{n // WORD}"
         found = F.col(f"{word}_x").bitwiseAND(F.col(f"{word}_y"))
-        return F.coalesce(found.bitwiseAND(_bit(n % WORD)) != 0, F.lit(False))
+        return F.coalesce(F.getbit(found, F.lit(n % WORD)) == 1, F.lit(False))
 
     numbers = [on_both("num", n) for n in range(len(kpis))]
     values = [on_both("set", n) for n in range(len(kpis))] if "set" in flags else numbers
@@ -130,12 +131,14 @@ def _number(kpi: str) -> Column:
     return F.col(kpi).try_cast("double")
 
 
-def _bit(n: int) -> Column:
-    return F.lit(1 << n).cast("bigint")
-
-
-def _bits(test: Callable[[str], Column], kpis: Sequence[str]) -> Column:
-    """One bit per KPI for which the test holds."""
+def pack_bits(conditions: Sequence[Column], name: str) -> list[Column]:
+    """The conditions as bits of as few bigint columns ``name_0``, ``name_1`` … as will do."""
     zero = F.lit(0).cast("bigint")
-    bits = [F.when(test(k), _bit(n)).otherwise(zero) for n, k in enumerate(kpis)]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+    words = []
+    for start in range(0, len(conditions), WORD):
+        bits = [
+            F.when(condition, F.lit(1 << n).cast("bigint")).otherwise(zero)
+            for n, condition in enumerate(conditions[start : start + WORD])
+        ]
+        words.append(reduce(lambda a, b: a.bitwiseOR(b), bits).alias(f"{name}_{start // WORD}"))
+    return words

@@ -18,7 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slicecheck.functions.text import bracket_list, kpi_name
-from slicecheck.operators.pairs import exceeds, is_duplicated, is_matched, pair_differences
+from slicecheck.operators.pairs import (
+    WORD,
+    exceeds,
+    is_duplicated,
+    is_matched,
+    pack_bits,
+    pair_differences,
+)
 from slicecheck.plans.summary import verdicts
 from slicecheck.plans.tasks import (
     listed_entities,
@@ -150,25 +157,23 @@ def tally_slices(
     by: Sequence[str] = SLICE,
     tol: float = TOLERANCE,
 ) -> DataFrame:
-    """``by, is_listed, mo`` with ``matched``, ``duplicated`` and per KPI ``err_``,
-    ``null_`` and ``fail_`` counts. ``mo`` is null in the one row that stands for
-    all entities without a mismatch.
+    """``by, is_listed, duplicated, mo``, bits per KPI and the number ``n`` of entities
+    they hold for: ``err_`` (mismatch), ``null_`` (a side is null) and ``fail_`` (no
+    number). ``mo`` is given for entities with a mismatch only, so that all others
+    collapse by what was found. Rows stay narrow, however many KPIs there are.
     """
     pairs = pair_differences(new, old, [*by, ENTITY], kpis, listed)
-    bad = {k: is_matched() & exceeds(F.col(f"diff_{k}"), tol) for k in kpis}
-    found = pairs.where(F.col(ENTITY).isNotNull() & (F.col("n_new") + F.col("n_old") > 0))
-    counts = {
-        "matched": is_matched(),
-        "duplicated": is_duplicated(),
-        **{f"err_{k}": condition for k, condition in bad.items()},
-        **{f"{flag}_{k}": is_matched() & F.col(f"{flag}_{k}") for flag in ("null", "fail") for k in kpis},
-    }
-    any_bad = reduce(or_, bad.values(), F.lit(False))
+    found = pairs.where(is_matched() | is_duplicated())
+    bad = [is_matched() & exceeds(F.col(f"diff_{k}"), tol) for k in kpis]
     return found.groupBy(
         *by,
         (F.col("n_listed") > 0).alias("is_listed"),
-        F.when(any_bad, F.col(ENTITY)).alias(ENTITY),
-    ).agg(*[F.count_if(condition).alias(name) for name, condition in counts.items()])
+        is_duplicated().alias("duplicated"),
+        F.when(reduce(or_, bad, F.lit(False)), F.col(ENTITY)).alias(ENTITY),
+        *pack_bits(bad, "err"),
+        *pack_bits([is_matched() & F.col(f"null_{k}") for k in kpis], "null"),
+        *pack_bits([is_matched() & F.col(f"fail_{k}") for k in kpis], "fail"),
+    ).agg(F.count("*").alias("n"))
 
 
 def judge(
@@ -181,31 +186,36 @@ def judge(
     """One row per slice, also for slices without any data: the columns of its check
     plan, its counts, rate and status.
     """
-    counts = [c for c in tally.columns if c not in (*by, "is_listed", ENTITY)]
-    # Counts over all entities and over the listed ones; restricted slices use the latter.
-    totals = tally.groupBy(*by).agg(
-        *[F.sum(c).alias(c) for c in counts],
-        *[F.sum(F.when(F.col("is_listed"), F.col(c))).alias(f"listed_{c}") for c in counts],
-    )
-    chosen = groups.join(totals, list(by), "left").select(
-        *groups.columns,
-        *[
-            F.coalesce(
-                F.when(F.col("restricted"), F.col(f"listed_{c}")).otherwise(F.col(c)), F.lit(0)
-            ).alias(c)
-            for c in counts
-        ],
+    conditions = {
+        "matched": ~F.col("duplicated"),
+        "duplicates": F.col("duplicated"),
+        **{
+            f"{flag}_of_{k}": F.getbit(F.col(f"{flag}_{n // WORD}"), F.lit(n % WORD)) == 1
+            for flag in ("err", "null", "fail")
+            for n, k in enumerate(kpis)
+        },
+    }
+    parts = tally.groupBy(*by, "is_listed").agg(
+        *[F.sum(F.when(condition, F.col("n"))).alias(c) for c, condition in conditions.items()]
     )
-    counted = chosen.select(
-        *groups.columns,
-        "matched",
-        "duplicated",
-        _over_list("fail_", kpis).alias("failed"),
-        _over_list("null_", kpis).alias("null_n"),
-        (F.col("matched") * F.coalesce(F.size("labels"), F.lit(0))).alias("all_n"),
-        _over_list("err_", kpis).alias("error_n"),
+    # At most two rows per slice are left: its listed entities and the others.
+    restricted = groups.where("restricted").select(*by, F.lit(True).alias("cut"))
+    wanted = parts.join(restricted, list(by), "left").where("is_listed or cut is null")
+    totals = wanted.groupBy(*by).agg(*[F.sum(c).alias(c) for c in conditions])
+    counted = (
+        groups.join(totals, list(by), "left")
+        .fillna(0, subset=list(conditions))
+        .select(
+            *groups.columns,
+            "matched",
+            "duplicates",
+            _over_list("fail_of_", kpis).alias("failed"),
+            _over_list("null_of_", kpis).alias("null_n"),
+            (F.col("matched") * F.coalesce(F.size("labels"), F.lit(0))).alias("all_n"),
+            _over_list("err_of_", kpis).alias("error_n"),
+        )
     )
-    broken = ~F.col("known") | (F.col("duplicated") > 0) | (F.col("failed") > 0)
+    broken = ~F.col("known") | (F.col("duplicates") > 0) | (F.col("failed") > 0)
     return verdicts(counted, broken, threshold)
 
 
@@ -221,13 +231,19 @@ def mismatch_details(
     """
     reported = F.col("status") != STATUS_FAILED if always else F.col("status") == STATUS_MISMATCH
     slices = judged.where(reported).select(*{*SLICE, *by}, "labels", "places", "restricted")
+    words = F.array(*[F.col(c) for c in tally.columns if c.startswith("err_")])
     rows = (
         tally.where(F.col(ENTITY).isNotNull())
-        .select(*by, "is_listed", ENTITY, _per_kpi("err_", kpis).alias("errors"))
+        .select(*by, "is_listed", ENTITY, words.alias("words"))
         .join(slices, list(by))
         .where(~F.col("restricted") | F.col("is_listed"))
     )
-    bad = F.filter("labels", lambda _, n: F.get("errors", F.get("places", n)) > 0)
+
+    def is_bad(place: Column) -> Column:
+        word = F.get("words", F.floor(place / WORD).cast("int"))
+        return F.getbit(word, place % WORD) == 1
+
+    bad = F.filter("labels", lambda _, n: is_bad(F.get("places", n)))
     return (
         rows.withColumn("bad", bad)
         .where(F.size("bad") > 0)
@@ -258,13 +274,9 @@ def run_batch(
     write_run(outcome_rows(batch.results, tasks, at), ledger, run, ("seq",))
 
 
-def _per_kpi(prefix: str, kpis: Sequence[str]) -> Column:
-    return F.array(*[F.col(f"{prefix}{k}") for k in kpis]).cast("array<bigint>")
-
-
 def _over_list(prefix: str, kpis: Sequence[str]) -> Column:
     """Sum of a count over the slice's KPI list; a KPI listed twice counts twice."""
-    counts = _per_kpi(prefix, kpis)
+    counts = F.array(*[F.col(f"{prefix}{k}") for k in kpis]).cast("array<bigint>")
     total = F.aggregate(
         "places",
         F.lit(0).cast("bigint"),

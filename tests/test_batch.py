@@ -183,6 +183,35 @@ def test_runs_on_disk(spark, sides, tmp_path):
     assert [r["task_id"] for r in pending_tasks(more, spark.read.parquet(paths[0])).collect()] == [3]
 
 
+def test_more_kpis_than_bits_in_a_word(spark):
+    kpis = [f"i{n}" for n in range(130)]
+    base = spark.range(50).select(
+        F.lit("m").alias("motype"),
+        F.lit("h").alias("period"),
+        F.lit(20240101).alias("sd"),
+        F.lit(0).alias("st"),
+        F.col("id").alias("mo"),
+        *[F.lit(1.0).alias(k) for k in kpis],
+    )
+    off = {
+        "i0": F.when(F.col("mo") < 3, 5.0).otherwise(1.0),
+        "i62": F.when(F.col("mo") == 7, None).otherwise(F.lit(1.0)),
+        "i63": F.when(F.col("mo") == 1, 5.0).otherwise(1.0),
+        "i129": F.when(F.col("mo") > 40, 5.0).otherwise(1.0),
+    }
+    asked = spark.createDataFrame([task(1, 0, "i129,i63,i62,i0")], TASK_SCHEMA)
+    batch = reconcile_batch(asked, base, base.withColumns(off), kpis)
+    row = batch.results.first()
+    assert (row["all_n"], row["error_n"], row["null_n"], row["status"]) == (200, 13, 1, -1)
+    fields = {r["mo"]: r["fields"] for r in batch.details.collect()}
+    assert fields == {
+        0: "[i0]",
+        1: "[i63, i0]",
+        2: "[i0]",
+        **{mo: "[i129]" for mo in range(41, 50)},
+    }
+
+
 def test_generated_sheets(spark):
     models = spark.createDataFrame([("a",), ("b",)], "motype string")
     rows = [tuple(r) for r in task_plans.generate_tasks(models).orderBy("motype").collect()]
