@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import add, or_
 
@@ -10,7 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slicecheck.functions.text import bracket_list
-from slicecheck.operators.pairs import exceeds, is_matched, pair_differences, pair_rows
+from slicecheck.operators.pairs import (
+    exceeds,
+    has_bit,
+    is_matched,
+    mismatch_words,
+    pair_differences,
+    pair_rows,
+    words_of,
+)
 from slicecheck.operators.casting import long_counts
 from slicecheck.settings import ENTITY, TOLERANCE
 
@@ -33,15 +41,15 @@ def compare_wide(
     """One row per key. ``n_bad``, ``null_pairs`` and ``n_failed`` count KPIs of
     matched keys; ``bad`` names the mismatching ones in the order of ``kpis``.
     """
-    off = {k: exceeds(F.col(f"diff_{k}"), tol) for k in kpis}
-    return pair_differences(new, old, keys, kpis).select(
+    pairs = _with_errors(new, old, keys, kpis, tol)
+    return pairs.select(
         *keys,
         "n_new",
         "n_old",
-        _count_kpis(off.values()).alias("n_bad"),
-        _count_kpis(F.col(f"null_{k}") for k in kpis).alias("null_pairs"),
-        _count_kpis(F.col(f"fail_{k}") for k in kpis).alias("n_failed"),
-        named_kpis(off).alias("bad"),
+        _count_bits("err", kpis).alias("n_bad"),
+        _count_bits("null", kpis).alias("null_pairs"),
+        _count_bits("fail", kpis).alias("n_failed"),
+        named_kpis({k: has_bit("err", n) for n, k in enumerate(kpis)}).alias("bad"),
     )
 
 
@@ -117,8 +125,8 @@ def errors_by_kpi(
     tol: float = TOLERANCE,
 ) -> DataFrame:
     """Number of mismatches per KPI, and per slice if there are keys before the entity."""
-    pairs = pair_differences(new, old, keys, kpis).where(is_matched())
-    return _counts_by_kpi(pairs, keys, {k: exceeds(F.col(f"diff_{k}"), tol) for k in kpis})
+    pairs = _with_errors(new, old, keys, kpis, tol).where(is_matched())
+    return _counts_by_kpi(pairs, keys, {k: has_bit("err", n) for n, k in enumerate(kpis)})
 
 
 def null_pairs(
@@ -126,7 +134,7 @@ def null_pairs(
 ) -> DataFrame:
     """Number of matched values per KPI that were not compared since a side is null."""
     pairs = pair_differences(new, old, keys, kpis).where(is_matched())
-    return _counts_by_kpi(pairs, keys, {k: F.col(f"null_{k}") for k in kpis})
+    return _counts_by_kpi(pairs, keys, {k: has_bit("null", n) for n, k in enumerate(kpis)})
 
 
 def exact_row_diff(new: DataFrame, old: DataFrame) -> DataFrame:
@@ -151,9 +159,15 @@ def exact_field_diff(
     return pairs.where(reduce(or_, differs.values())).select(*keys, fields)
 
 
-def _count_kpis(conditions: Iterable[Column]) -> Column:
-    """Number of conditions that hold, for matched rows; 0 for others."""
-    total = reduce(add, [c.cast("int") for c in conditions], F.lit(0))
+def _with_errors(
+    new: DataFrame, old: DataFrame, keys: Sequence[str], kpis: Sequence[str], tol: float
+) -> DataFrame:
+    return pair_differences(new, old, keys, kpis).select("*", *mismatch_words(kpis, tol))
+
+
+def _count_bits(flag: str, kpis: Sequence[str]) -> Column:
+    """Number of KPIs with a flag, for matched rows; 0 for others."""
+    total = reduce(add, [F.bit_count(word) for word in words_of(flag, kpis)], F.lit(0))
     return F.when(is_matched(), total).otherwise(0)
 
 

@@ -49,9 +49,10 @@ def pair_differences(
     kpis: Sequence[str],
     listed: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per key: ``n_new``, ``n_old``, and per KPI ``diff_`` (new - old, if both
-    are numbers), ``null_`` (a side has no value) and ``fail_`` (both have one, but
-    not both a number). The KPI columns mean something for matched keys only.
+    """One row per key: ``n_new``, ``n_old``, per KPI ``diff_`` (new - old), and as bits of
+    the words ``num_``, ``null_`` and ``fail_`` which KPIs are numbers on both sides,
+    null on a side, or set on both but no numbers. Differences of other KPIs than the
+    first kind, and all of them for keys that are not matched, mean nothing.
 
     Half as wide in the shuffle as both values: a matched key has one row per side,
     so the sum of the new and the negated old value is their exact difference, and
@@ -86,22 +87,34 @@ def pair_differences(
         *[F.bit_or(f"{word}_{mark}").alias(f"{word}_{mark}") for word in words for mark in "xy"],
     )
 
-    def on_both(flag: str, n: int) -> Column:
-        word = f"{flag}_{n // WORD}"
-        found = F.col(f"{word}_x").bitwiseAND(F.col(f"{word}_y"))
-        return F.coalesce(F.getbit(found, F.lit(n % WORD)) == 1, F.lit(False))
-
-    numbers = [on_both("num", n) for n in range(len(kpis))]
-    values = [on_both("set", n) for n in range(len(kpis))] if "set" in flags else numbers
-    return grouped.select(
-        *keys,
-        "n_new",
-        "n_old",
-        *(["n_listed"] if listed is not None else []),
-        *[F.when(number, F.col(f"d_{k}")).alias(f"diff_{k}") for k, number in zip(kpis, numbers)],
-        *[(~value).alias(f"null_{k}") for k, value in zip(kpis, values)],
-        *[(v & ~n).alias(f"fail_{k}") for k, v, n in zip(kpis, values, numbers)],
-    )
+    selected = [*keys, *[c for c in ("n_new", "n_old", "n_listed") if c in grouped.columns]]
+    for w, start in enumerate(range(0, len(kpis), WORD)):
+        every = F.lit((1 << len(kpis[start : start + WORD])) - 1).cast("bigint")
+        numbers = _on_both(f"num_{w}")
+        values = _on_both(f"set_{w}") if "set" in flags else numbers
+        selected += [
+            numbers.alias(f"num_{w}"),
+            values.bitwiseXOR(every).alias(f"null_{w}"),
+            values.bitwiseXOR(numbers).alias(f"fail_{w}"),
+        ]
+    return grouped.select(*selected, *[F.col(f"d_{k}").alias(f"diff_{k}") for k in kpis])
+
+
+def mismatch_words(kpis: Sequence[str], tol: float = TOLERANCE) -> list[Column]:
+    """Bits ``err_`` of the KPIs that differ, over the columns of ``pair_differences``."""
+    far = pack_bits([exceeds(F.col(f"diff_{k}"), tol) for k in kpis], "err")
+    return [
+        word.bitwiseAND(F.col(f"num_{w}")).alias(f"err_{w}") for w, word in enumerate(far)
+    ]
+
+
+def words_of(flag: str, kpis: Sequence[str]) -> list[str]:
+    return [f"{flag}_{w}" for w in range(-(-len(kpis) // WORD))]
+
+
+def has_bit(flag: str, n: int) -> Column:
+    """Whether a flag is set for the KPI at place ``n``."""
+    return F.getbit(F.col(f"{flag}_{n // WORD}"), F.lit(n % WORD)) == 1
 
 
 def is_matched() -> Column:
@@ -119,6 +132,10 @@ def exceeds(difference: Column, tol: float = TOLERANCE) -> Column:
     return difference.isNotNull() & ~(F.abs(difference) <= F.lit(tol))
 
 
+def _on_both(word: str) -> Column:
+    return F.coalesce(F.col(f"{word}_x").bitwiseAND(F.col(f"{word}_y")), F.lit(0).cast("bigint"))
+
+
 def _counts() -> list[Column]:
     return [F.count("in_x").alias("n_new"), F.count("in_y").alias("n_old")]
 

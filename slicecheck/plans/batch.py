@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 from slicecheck.functions.text import bracket_list, kpi_name
 from slicecheck.operators.pairs import (
     WORD,
-    exceeds,
+    has_bit,
     is_duplicated,
     is_matched,
-    pack_bits,
+    mismatch_words,
     pair_differences,
+    words_of,
 )
 from slicecheck.plans.summary import verdicts
 from slicecheck.plans.tasks import (
@@ -163,16 +164,26 @@ def tally_slices(
     collapse by what was found. Rows stay narrow, however many KPIs there are.
     """
     pairs = pair_differences(new, old, [*by, ENTITY], kpis, listed)
-    found = pairs.where(is_matched() | is_duplicated())
-    bad = [is_matched() & exceeds(F.col(f"diff_{k}"), tol) for k in kpis]
+    err, null, fail = (words_of(flag, kpis) for flag in ("err", "null", "fail"))
+    # Of duplicated keys nothing else counts.
+    found = (
+        pairs.select("*", *mismatch_words(kpis, tol))
+        .where(is_matched() | is_duplicated())
+        .select(
+            *by,
+            ENTITY,
+            (F.col("n_listed") > 0).alias("is_listed"),
+            is_duplicated().alias("duplicated"),
+            *[F.when(is_matched(), F.col(w)).otherwise(0).alias(w) for w in (*err, *null, *fail)],
+        )
+    )
+    any_bad = reduce(or_, [F.col(w) != 0 for w in err], F.lit(False))
     return found.groupBy(
         *by,
-        (F.col("n_listed") > 0).alias("is_listed"),
-        is_duplicated().alias("duplicated"),
-        F.when(reduce(or_, bad, F.lit(False)), F.col(ENTITY)).alias(ENTITY),
-        *pack_bits(bad, "err"),
-        *pack_bits([is_matched() & F.col(f"null_{k}") for k in kpis], "null"),
-        *pack_bits([is_matched() & F.col(f"fail_{k}") for k in kpis], "fail"),
+        "is_listed",
+        "duplicated",
+        F.when(any_bad, F.col(ENTITY)).alias(ENTITY),
+        *(*err, *null, *fail),
     ).agg(F.count("*").alias("n"))
 
 
@@ -190,7 +201,7 @@ def judge(
         "matched": ~F.col("duplicated"),
         "duplicates": F.col("duplicated"),
         **{
-            f"{flag}_of_{k}": F.getbit(F.col(f"{flag}_{n // WORD}"), F.lit(n % WORD)) == 1
+            f"{flag}_of_{k}": has_bit(flag, n)
             for flag in ("err", "null", "fail")
             for n, k in enumerate(kpis)
         },
@@ -231,7 +242,7 @@ def mismatch_details(
     """
     reported = F.col("status") != STATUS_FAILED if always else F.col("status") == STATUS_MISMATCH
     slices = judged.where(reported).select(*{*SLICE, *by}, "labels", "places", "restricted")
-    words = F.array(*[F.col(c) for c in tally.columns if c.startswith("err_")])
+    words = F.array(*words_of("err", kpis))
     rows = (
         tally.where(F.col(ENTITY).isNotNull())
         .select(*by, "is_listed", ENTITY, words.alias("words"))
