@@ -5,7 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from slicecheck.llm import byte_bpe, exact_dedup, token_counts
+from slicecheck.llm import (
+    byte_bpe,
+    exact_dedup,
+    packed_ids,
+    rule_forest,
+    token_counts,
+    toxic_terms,
+)
 from slicecheck.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -13,10 +20,22 @@ PATTERN = public_tokenizers.PATTERN
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_forest.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.query(table(spark, sf_dir, "documents"))
 
 
+def op4_toxic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_terms.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_ids.digests(table(spark, sf_dir, "documents"), WORDS)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.digests(docs, RANKS, PATTERN)
@@ -28,6 +47,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_exact_dedup, op9_byte_bpe, op10_token_counts)
+    for f in (
+        op2_rule_forest,
+        op3_exact_dedup,
+        op4_toxic_terms,
+        op7_packed_ids,
+        op9_byte_bpe,
+        op10_token_counts,
+    )
 }
 SQL = {"op3_exact_dedup": exact_dedup.SQL}
