@@ -77,10 +77,10 @@ def mark_copies(
     """One row per document: id, keep_id, group_size, kept, sha (binary)."""
     rows = docs.select(docs[doc_id].alias("id"), normalised(docs, text).alias("norm"))
     groups = text_groups(rows, digest)
-    keyed = rows.select("id", "norm", digest(F.col("norm")).alias("digest"))
-    found = _with_group(keyed, groups).select(
-        "id", "keep_id", "group_size", sha256(F.col("norm")).alias("sha")
+    keyed = rows.select(
+        "id", "norm", digest(F.col("norm")).alias("digest"), sha256(F.col("norm")).alias("sha")
     )
+    found = _with_group(keyed, groups).select("id", "keep_id", "group_size", "sha")
     # Rows that repeat the one that stays are counted, and one of them stays.
     stays = F.col("id").eqNullSafe(F.col("keep_id"))
     repeats = found.where(stays).groupBy(found.columns).agg(F.count("*").alias("n"))
@@ -123,15 +123,12 @@ def drop_copies(
 
 
 def _with_group(keyed: DataFrame, groups: DataFrame) -> DataFrame:
-    single = groups.where("norm IS NULL").drop("norm")
-    found = keyed.join(single, "digest")
-    if groups is single or not _has_shared(groups):
+    """Rows with their group; texts are joined on only where a digest has several."""
+    found = keyed.drop("norm").join(groups.where("norm IS NULL").drop("norm"), "digest")
+    shared = groups.where("norm IS NOT NULL")
+    if shared.isEmpty():
         return found
-    return found.unionByName(keyed.join(groups.where("norm IS NOT NULL"), ["digest", "norm"]))
-
-
-def _has_shared(groups: DataFrame) -> bool:
-    return not groups.where("norm IS NOT NULL").isEmpty()
+    return found.unionByName(keyed.join(shared, ["digest", "norm"]).drop("norm"))
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from slicecheck.llm import (
     byte_bpe,
     exact_dedup,
+    host_reputation,
     packed_ids,
     rule_forest,
+    source_mix,
     token_counts,
     toxic_terms,
 )
@@ -20,6 +22,10 @@ PATTERN = public_tokenizers.PATTERN
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_reputation.query(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op2_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_forest.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,6 +38,10 @@ def op4_toxic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_terms.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.query(table(spark, sf_dir, "documents"))
+
+
 def op7_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_ids.digests(table(spark, sf_dir, "documents"), WORDS)
 
@@ -48,12 +58,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_host_reputation,
         op2_rule_forest,
         op3_exact_dedup,
         op4_toxic_terms,
+        op5_source_mix,
         op7_packed_ids,
         op9_byte_bpe,
         op10_token_counts,
     )
 }
-SQL = {"op3_exact_dedup": exact_dedup.SQL}
+SQL = {
+    "op1_host_reputation": host_reputation.SQL,
+    "op3_exact_dedup": exact_dedup.SQL,
+    "op5_source_mix": source_mix.SQL,
+}
