@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slicecheck.llm import (
     byte_bpe,
+    dart_minhash,
     exact_dedup,
     host_reputation,
     packed_ids,
@@ -46,6 +47,10 @@ def op7_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_ids.digests(table(spark, sf_dir, "documents"), WORDS)
 
 
+def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.query(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.digests(docs, RANKS, PATTERN)
@@ -64,6 +69,7 @@ QUERIES = {
         op4_toxic_terms,
         op5_source_mix,
         op7_packed_ids,
+        op8_dart_minhash,
         op9_byte_bpe,
         op10_token_counts,
     )
