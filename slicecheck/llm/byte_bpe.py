@@ -17,7 +17,9 @@ import base64
 import hashlib
 import heapq
 import re
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,9 @@ from slicecheck.llm.common import gather, map_texts, starts_of
 from slicecheck.llm.merging import NONE, Chunks, PairTable
 
 WIDEST = 512
+MATRIX_CELLS = 1 << 19
+# Marks that are a pre-token of their own after letters.
+MARKS = frozenset(".,;:!?)")
 # White space as the pattern of the vocabulary means it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -93,37 +98,56 @@ class ByteBpe:
         flat, at = gather(self.bytes, self.byte_starts, ids)
         return flat, at[starts]
 
+    def _tokens(self, chunk) -> list[str]:
+        """Pre-tokens of a chunk. A word of letters, with or without one mark behind it, is
+        what most chunks are; their split is plain."""
+        if isinstance(chunk, tuple):
+            return self.split(chunk[0])
+        if chunk.isalpha():
+            return [f" {chunk}"]
+        if chunk[-1] in MARKS and chunk[:-1].isalpha():
+            return [f" {chunk[:-1]}", chunk[-1]]
+        return self.split(f" {chunk}")
+
     def _encode_chunks(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
-        rows = [self.split(c[0] if isinstance(c, tuple) else f" {c}") for c in chunks]
-        distinct = {t: i for i, t in enumerate({t for r in rows for t in r})}
+        rows = list(map(self._tokens, chunks))
+        every = list(chain.from_iterable(rows))
+        distinct = dict.fromkeys(every)
         flat, starts = self.encode_tokens([t.encode() for t in distinct])
-        numbers = np.array([distinct[t] for r in rows for t in r], np.int64)
+        number = dict(zip(distinct, range(len(distinct))))
+        numbers = np.fromiter(map(number.__getitem__, every), np.int64, len(every))
         out, at = gather(flat, starts, numbers)
-        return out, np.diff(at[starts_of(np.array([len(r) for r in rows], np.int64))])
+        return out, np.diff(at[starts_of(np.fromiter(map(len, rows), np.int64, len(rows)))])
 
     def encode_tokens(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pre-tokens as ragged rows."""
-        out: list = [None] * len(tokens)
-        buckets: dict[int, list[int]] = {}
-        for i, token in enumerate(tokens):
-            whole = self.ids.get(token)
-            if whole is not None:
-                out[i] = (whole,)
-            elif len(token) > WIDEST:
-                out[i] = self._merge_long(token)
-            else:
-                buckets.setdefault((len(token) - 1).bit_length(), []).append(i)
-        for rows in buckets.values():
-            for low in range(0, len(rows), 1 << 15):
-                part = rows[low : low + (1 << 15)]
-                for i, ids in zip(part, self._merge_matrix([tokens[i] for i in part])):
-                    out[i] = ids
-        lengths = np.array([len(x) for x in out], np.int64)
-        flat = np.concatenate(out) if out else np.zeros(0)
-        return flat.astype(np.int64), starts_of(lengths)
-
-    def _merge_matrix(self, tokens: list[bytes]) -> list[np.ndarray]:
-        lengths = np.array([len(t) for t in tokens])
+        whole = np.fromiter((self.ids.get(t, -1) for t in tokens), np.int64, len(tokens))
+        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        rows, ids = [np.flatnonzero(whole >= 0)], [whole[whole >= 0]]
+        for i in np.flatnonzero((whole < 0) & (lengths > WIDEST)).tolist():
+            merged = self._merge_long(tokens[i])
+            rows.append(np.full(len(merged), i))
+            ids.append(np.array(merged, np.int64))
+        todo = np.flatnonzero((whole < 0) & (lengths <= WIDEST))
+        todo = todo[np.argsort(lengths[todo], kind="stable")]
+        # Rows of about the same length, at most double, and not too many cells at once.
+        low = 0
+        while low < len(todo):
+            n = max(8, 2 * int(lengths[todo[low]]))
+            high = int(np.searchsorted(lengths[todo], n, side="right"))
+            high = min(high, low + max(1, MATRIX_CELLS // n))
+            part = todo[low:high]
+            for r, i in self._merge_matrix([tokens[k] for k in part.tolist()]):
+                rows.append(part[r])
+                ids.append(i)
+            low = high
+        row = np.concatenate(rows)
+        order = np.argsort(row, kind="stable")
+        return np.concatenate(ids)[order], starts_of(np.bincount(row, minlength=len(tokens)))
+
+    def _merge_matrix(self, tokens: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Yields finished rows: the row number of each id, and the ids, in order."""
+        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
         width = int(lengths.max())
         # One more column than the longest row, so that every row ends in padding.
         ids = np.full((len(tokens), width + 1), -1, np.int64)
@@ -132,33 +156,34 @@ class ByteBpe:
         ranks = np.full((len(tokens), width + 1), NONE, np.int64)
         pair = inside[:, 1:]
         ranks[:, :-1][pair] = self.rank(ids[:, :-1][pair], ids[:, 1:][pair])
-        result: list = [None] * len(tokens)
         rows = np.arange(len(tokens))
-        columns = np.arange(width + 1)
         while len(rows):
+            columns = np.arange(ids.shape[1])
+            k = np.arange(len(rows))
             at = ranks.argmin(axis=1)
-            best = ranks[np.arange(len(rows)), at]
+            best = ranks[k, at]
             over = best == NONE
             if over.any():
-                for k in np.flatnonzero(over):
-                    result[rows[k]] = ids[k][ids[k] >= 0]
+                filled = ids[over] >= 0
+                yield np.repeat(rows[over], filled.sum(axis=1)), ids[over][filled]
                 go = ~over
                 rows, ids, ranks, at, best = rows[go], ids[go], ranks[go], at[go], best[go]
+                k = k[: len(rows)]
                 if not len(rows):
                     break
-            k = np.arange(len(rows))
-            # Compaction: what stands right of the merged pair moves up by one place.
-            source = np.minimum(columns + (columns > at[:, None]), width)
+            # Compaction: what stands right of the merged pair moves up by one place, and
+            # the matrix loses its last column.
+            source = columns[:-1] + (columns[:-1] > at[:, None])
             ids = np.take_along_axis(ids, source, 1)
             ranks = np.take_along_axis(ranks, source, 1)
-            ids[:, -1], ranks[:, -1] = -1, NONE
             ids[k, at] = best
+            last = ids.shape[1] - 1
             for left in (at - 1, at):
-                there = (left >= 0) & (ids[k, np.minimum(left + 1, width)] >= 0) & (left < width)
                 ranks[k[left >= 0], left[left >= 0]] = NONE
+                there = (left >= 0) & (left < last)
+                there[there] = ids[k[there], left[there] + 1] >= 0
                 r, c = k[there], left[there]
                 ranks[r, c] = self.rank(ids[r, c], ids[r, c + 1])
-        return result
 
     def _merge_long(self, token: bytes) -> list[int]:
         ids = self.byte[np.frombuffer(token, np.uint8)]

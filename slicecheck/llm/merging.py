@@ -65,7 +65,7 @@ class Chunks:
     def __init__(
         self,
         encode: Callable[[list], tuple[np.ndarray, np.ndarray]],
-        limit: int = 200_000,
+        limit: int = 600_000,
     ):
         self.encode, self.limit = encode, limit
         self._clear()
