@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from slicecheck.llm import (
     byte_bpe,
     dart_minhash,
+    disclosure,
     exact_dedup,
     host_reputation,
     packed_ids,
@@ -43,6 +44,10 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.query(table(spark, sf_dir, "documents"))
 
 
+def op6_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.query(table(spark, sf_dir, "documents"))
+
+
 def op7_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_ids.digests(table(spark, sf_dir, "documents"), WORDS)
 
@@ -68,6 +73,7 @@ QUERIES = {
         op3_exact_dedup,
         op4_toxic_terms,
         op5_source_mix,
+        op6_disclosure,
         op7_packed_ids,
         op8_dart_minhash,
         op9_byte_bpe,
