@@ -10,15 +10,19 @@ measure (sum of smaller over sum of larger counts), and texts of 0.8 or more are
    one of k coordinates, and each coordinate keeps its earliest. Should a coordinate
    stay empty, the rank is doubled. Equal coordinates are as likely as similarity says.
 2. Candidates: bands of coordinates. Equal texts are one node. In every bucket of a band
-   each node is compared with the bucket's smallest node only, by exact similarity.
-3. What a star leaves open is settled exactly: nodes of one bucket that are in different
-   groups after that are compared with each other, but for pairs that the distances to
-   the bucket's smallest node rule out (1 - similarity is a metric). Pairs inside one
-   group are never made.
+   each node is compared with the bucket's head only, by exact similarity. The head is
+   the node that meets most others over all its buckets.
+3. What a star leaves open is settled exactly, for nodes of one bucket that are in
+   different groups after that; pairs inside one group are never made. In small buckets
+   they are compared with each other, but for pairs that the distances to the bucket's
+   head rule out (1 - similarity is a metric). Nodes of large buckets are compared if
+   they share one of their rarest units: of n units, any two texts of similarity s
+   share one among the n - ceil(s n) + 1 that come first in an order common to all. A
+   pair whose long signatures differ far too often is not compared.
 4. Groups are the connected components of the links, by repeated joins on written tables.
 
-Texts are compared next to the text they are compared with: rows are dealt by (smaller
-node, salt) and sorted, so a task holds one text and passes over the others.
+Texts are compared next to the text they are compared with: rows are dealt by (head,
+salt) and sorted, so a task holds one text and passes over the others.
 
 Defined cases: a null text is empty. Texts of fewer than five words have one shingle of
 all their words; empty texts are equal to each other and to nothing else. Equal texts
@@ -44,6 +48,9 @@ LEAST_SIMILARITY = 0.8
 # A pair at the least similarity shares no band once in about 14,000 times.
 BANDS, ROWS = 24, 5
 SALTS = 16
+# Buckets of at most so many nodes are looked through pair by pair in step 3.
+SMALL_BUCKET = 16
+BIT_WORDS = 16
 
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -180,18 +187,14 @@ def similarities(groups: DataFrame) -> DataFrame:
     return groups.mapInArrow(run, "a long, b long, similarity double")
 
 
-def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """a, b, similarity of all ``pairs`` (a, b: nodes). ``nodes``: node, key, and doc_id of a
-    row that has the text; ``docs``: doc_id, text."""
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b, similarity of all ``pairs`` (a, b: nodes). ``texts``: node, text."""
     salted = pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int").alias("salt"))
     rows = salted.select("b", "salt", F.lit(False).alias("own"), F.col("a").alias("node")).unionByName(
         salted.select("b", "salt", F.lit(True).alias("own"), F.col("b").alias("node")).distinct()
     )
-    rows = written(rows.join(nodes.select("node", F.col("key").alias("_key"), F.col("doc_id").alias("_id")), "node"))
-    whole = text_of(docs)
-    texts = docs.select(text_key(whole).alias("key"), F.col("doc_id").cast("long"), whole.alias("text"))
     groups = (
-        texts.join(rows, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+        texts.join(rows, "node")
         .select("b", "salt", "own", "node", "text")
         .repartition("b", "salt")
         .sortWithinPartitions("b", "salt", F.desc("own"))
@@ -200,6 +203,16 @@ def compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return similarities(groups).groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
 
 
+def texts_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, text. ``nodes``: node, key, and doc_id of a row that has the text; ``docs``:
+    doc_id, text. The join is dealt the same way whatever the sizes are."""
+    wanted = nodes.select("node", F.col("key").alias("_key"), F.col("doc_id").alias("_id"))
+    whole = text_of(docs)
+    texts = docs.select(text_key(whole).alias("key"), F.col("doc_id").cast("long"), whole.alias("text"))
+    same = (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return texts.join(wanted.hint("merge"), same).select("node", "text")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, label of every node of ``links`` (a, b): the smallest node of its component."""
     both = written(
@@ -228,10 +241,17 @@ def components(links: DataFrame) -> DataFrame:
 def links_of(nodes: DataFrame, docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     """a, b of linked texts: enough of them to connect every group. ``nodes``: node, key, doc_id, bands."""
     member = nodes.select("node", F.explode("bands").alias("band"))
-    stars = member.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
-    shared = written(member.join(stars.drop("n"), "band"))
+    sizes = member.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(member.join(sizes, "band"))
+    # The head of a bucket is the node that meets most others over all its buckets: the
+    # text that copies were made from meets them all, copies meet each other less.
+    met = shared.groupBy("node").agg(F.sum("n").alias("met"))
+    shared = written(shared.drop("n").join(met, "node"))
+    heads = shared.groupBy("band").agg(F.max(F.struct("met", F.col("node").alias("head"))).alias("h"))
+    shared = written(shared.drop("met").join(heads.select("band", "h.head"), "band"))
+    texts = stored(texts_of(nodes.join(met, "node", "left_semi"), docs))
     pairs = shared.where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-    found = written(compared(written(pairs), nodes, docs))
+    found = written(compared(written(pairs), texts))
     near = found.where(F.col("similarity") >= least)
     labels = components(near)
     # Buckets whose nodes are in more than one group.
@@ -244,33 +264,95 @@ def links_of(nodes: DataFrame, docs: DataFrame, least: float = LEAST_SIMILARITY)
         )
     )
     placed = written(placed)
-    open_ = placed.groupBy("band").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"),
-        F.max(F.when(F.col("similarity") == 1.0, F.col("label"))).alias("main"),
-    ).where("low != high").select("band", "main")
-    rest = written(placed.join(open_, "band"))
-    # The head's group against the others, and the others among each other, once each.
-    left = rest.where("label != main").select(
-        "band", F.col("node").alias("a"), F.col("label").alias("la"), F.col("similarity").alias("sa")
-    )
-    right = rest.select(
-        "band", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("similarity").alias("sb"), "main"
-    )
-    cross = (
-        left.join(right, "band")
-        .where((F.col("la") != F.col("lb")) & (F.abs(F.col("sa") - F.col("sb")) <= 1 - least))
-        .where((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b")))
-        .select("a", "b")
-        .distinct()
+    mixed_ = placed.groupBy("band").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
+    ).where("low != high").select("band", "size")
+    rest = written(placed.join(mixed_, "band"))
+    apart = F.abs(F.col("va.similarity") - F.col("vb.similarity")) <= 1 - least
+    few = rest.where(F.col("size") <= SMALL_BUCKET).drop("size")
+    many = rest.where(F.col("size") > SMALL_BUCKET).groupBy("node").agg(F.first("label").alias("label"))
+    cross = across(few, "band", ["similarity"], apart).unionByName(
+        across(prefixes(many, texts, least), "unit", ["n", "bits", "before"], _may_be_near(least))
     )
     tried = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    cross = written(cross.join(tried, ["a", "b"], "left_anti"))
+    cross = written(cross.distinct().join(tried, ["a", "b"], "left_anti"))
     if cross.isEmpty():
         return near.select("a", "b")
-    more = written(compared(cross, nodes, docs)).where(F.col("similarity") >= least)
+    more = written(compared(cross, texts)).where(F.col("similarity") >= least)
     return near.select("a", "b").unionByName(more.select("a", "b"))
 
 
+def across(members: DataFrame, bucket: str, values: list[str], possible: Column) -> DataFrame:
+    """a, b: pairs of nodes with different labels in one bucket, but for those that the
+    condition on their ``values`` (in ``va`` and ``vb``) rules out. The label that most
+    nodes of a bucket have is compared with the others, and these among each other, once
+    each."""
+    sizes = members.groupBy(bucket, "label").agg(F.count("*").alias("size"))
+    main = sizes.groupBy(bucket).agg(
+        F.max_by("label", F.struct("size", "label")).alias("main"), F.count("*").alias("labels")
+    )
+    main = written(main.where("labels > 1").drop("labels"))
+    rows = written(members.join(main, bucket))
+    left = rows.where("label != main").select(
+        bucket, F.col("node").alias("a"), F.col("label").alias("la"), F.struct(*values).alias("va")
+    )
+    right = rows.select(
+        bucket, F.col("node").alias("b"), F.col("label").alias("lb"), F.struct(*values).alias("vb"), "main"
+    )
+    once = (F.col("lb") == F.col("main")) | (F.col("a") < F.col("b"))
+    return (
+        left.join(right, bucket)
+        .where((F.col("la") != F.col("lb")) & once & possible)
+        .select("a", "b")
+        .distinct()
+    )
+
+
+def _may_be_near(least: float) -> Column:
+    """Lengths that allow the similarity, and few enough different bits. A bit differs for
+    half of what is not common; at the least similarity more differ than the bound once in
+    a million pairs. A pair is taken at the first unit that both have, not at later ones."""
+    n_a, n_b = F.col("va.n"), F.col("vb.n")
+    n = 64 * BIT_WORDS
+    share = (1 - least) / 2
+    bound = n * share + 4.75 * (n * share * (1 - share)) ** 0.5
+    differ = " + ".join(f"bit_count(va.bits[{i}] ^ vb.bits[{i}])" for i in range(BIT_WORDS))
+    near = (F.least(n_a, n_b) >= least * F.greatest(n_a, n_b) - 1e-9) & (F.expr(differ) <= bound)
+    return near & ~F.arrays_overlap("va.before", "vb.before")
+
+
+def prefixes(nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """unit, node, label, n, bits, before: of each node's n units the rarest, as many as make sure
+    that two nodes of the least similarity share one of them. Units that only one node has
+    count, but are left out: in large groups of edited texts they are most of it. ``bits``
+    are the lowest bits of a long signature, ``before`` the node's rarer units."""
+
+    def run(rows_texts: list[str], rows: pa.RecordBatch) -> dict:
+        units, starts = elements(rows_texts)
+        count = np.diff(starts)
+        return {
+            "node": np.repeat(rows.column("node").to_numpy(), count),
+            "n": np.repeat(count, count),
+            "unit": units.view(np.int64),
+        }
+
+    def sign(rows_texts: list[str], rows: pa.RecordBatch) -> dict:
+        signature = signatures(*elements(rows_texts), k=64 * BIT_WORDS)
+        bits = np.packbits((signature & np.uint64(1)).astype(np.uint8), axis=1)
+        return {"node": rows.column("node"), "bits": list(bits.view(np.int64))}
+
+    held = stored(texts.join(nodes.hint("merge"), "node").dropDuplicates(["node"]))
+    units = map_texts(held.select("node", "text"), run, "node long, n long, unit long")
+    units = units.withColumn("df", F.count("*").over(Window.partitionBy("unit")))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "unit"))
+    length = F.col("n") - F.ceil(least * F.col("n") - 1e-9) + 1
+    rare = units.withColumn("rank", rank).where((F.col("rank") <= length) & (F.col("df") > 1))
+    bits = written(map_texts(held.select("node", "text"), sign, "node long, bits array<long>"))
+    ahead = Window.partitionBy("node").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    rare = rare.select("unit", "node", "n", F.collect_list("unit").over(ahead).alias("before"))
+    return written(rare.join(bits.join(nodes, "node"), "node"))
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = LEAST_SIMILARITY):
     """``rows`` (doc_id, key) of every document, and ``of`` (key, class_id, class_size,
     head: the key of the row that stands for the class)."""
@@ -302,7 +384,7 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         F.coalesce(F.col("class_id").cast("string"), F.lit("")).alias("_id"), F.col("key").alias("_key")
     )
     keyed = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+        F.struct("*").alias("_row"),
         F.coalesce(docs[doc_id].cast("string"), F.lit("")).alias("_id"),
         text_key(text_of(docs, text)).alias("_key"),
     )
