@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from uuid import uuid4
 
 import numpy as np
@@ -49,6 +51,7 @@ def map_texts(
     spark = df.sparkSession
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    ship(spark)
     arrow = to_arrow(spark, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,6 +66,15 @@ def map_texts(
     return df.mapInArrow(run, schema)
 
 
+def ship(spark: SparkSession) -> None:
+    """Python workers find this package where it lies, if it is not installed for them."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
+
+
 def to_arrow(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -237,8 +237,9 @@ def sanitised(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         ),
     )
     spans = spans.select(F.col("key").alias("_key"), F.sort_array(F.concat(base, "terms")).alias("_spans"))
-    whole = text_of(docs, text)
-    rows = docs.withColumn("_key", text_key(whole)).join(spans, "_key", "left")
+    rows = docs.select(F.struct("*").alias("_row"), text_of(docs, text).alias("_text"))
+    rows = rows.withColumn("_key", text_key(F.col("_text"))).join(spans, "_key", "left")
+    whole = F.col("_text")
 
     def add(done: Column, s: Column) -> Column:
         # Kinds may overlap each other; what is covered already is not written again.
@@ -254,8 +255,8 @@ def sanitised(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         "_spans", first, add,
         lambda done: F.concat(F.array_join(done["out"], ""), F.substring(whole, done["at"] + 1, F.length(whole))),
     )
-    clean = F.when(F.size("_spans") > 0, clean).otherwise(docs[text])
-    return rows.select(*[clean.alias(c) if c == text else docs[c] for c in docs.columns])
+    clean = F.when(F.size("_spans") > 0, clean).otherwise(F.col("_row")[text])
+    return rows.select(F.col("_row").withField(f"`{text}`", clean).alias("_row")).select("_row.*")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -73,9 +73,9 @@ def beta_bound(a: Column, b: Column, z: float) -> Column:
     usual approximation by a normal quantile; right within a few thousandths for a, b > 1)."""
     lam = F.lit((z * z - 3) / 6)
     h = 2 / (1 / (2 * a - 1) + 1 / (2 * b - 1))
-    w = -F.lit(z) * F.sqrt(h + lam) / h
+    w = F.lit(z) * F.sqrt(h + lam) / h
     w = w - (1 / (2 * b - 1) - 1 / (2 * a - 1)) * (lam + F.lit(5.0 / 6) - 2 / (3 * h))
-    return a / (a + b * F.exp(-2 * w))
+    return a / (a + b * F.exp(2 * w))
 
 
 def strength(groups: DataFrame) -> Column:
@@ -206,8 +206,8 @@ WITH r AS (
 ), w AS (
   SELECT *, 2 / (1 / (2 * a - 1) + 1 / (2 * b - 1)) AS h FROM q
 ), v AS (
-  SELECT host, CASE WHEN m > 0 OR k > 0 THEN round(a / (a + b * exp(-2 * (
-    -{QUANTILE}::DOUBLE * sqrt(h + {_LAM}::DOUBLE) / h
+  SELECT host, CASE WHEN m > 0 OR k > 0 THEN round(a / (a + b * exp(2 * (
+    {QUANTILE}::DOUBLE * sqrt(h + {_LAM}::DOUBLE) / h
     - (1 / (2 * b - 1) - 1 / (2 * a - 1)) * ({_LAM}::DOUBLE + {5.0 / 6}::DOUBLE - 2 / (3 * h))))), 6)
     ELSE 0.0 END AS bad_bound
   FROM w

@@ -207,7 +207,7 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     rows = mix.rows.join(begun, "row", "left").groupBy(*_keys(F.col("id"), F.col("source"), F.col("key")))
     times = rows.agg(F.round(F.sum(F.coalesce("n", F.lit(0))) / F.count("*")).cast("int").alias("_times"))
     own = _keys(docs[doc_id], docs[source], place_key(docs[doc_id], text_of(docs, text)))
-    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), *own)
+    keyed = docs.select(F.struct("*").alias("_row"), *own)
     kept = keyed.join(times.where("_times > 0"), keys)
     return kept.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_row.*")
 
