@@ -26,7 +26,7 @@ from slicecheck.settings import written
 
 # Parameters of the forest: labelled rows it may see at most, trees, rows a tree.
 SAMPLE_ROWS = 20_000
-TREES = 200
+TREES = 100
 TREE_ROWS = 256
 SEED = 20
 # Of the good labelled rows, so many may be dropped.
@@ -128,9 +128,10 @@ class Forest:
         self.rows = min(tree_rows, len(rows))
         self.depth = max(1, int(np.ceil(np.log2(max(self.rows, 2)))))
         size = 2 ** (self.depth + 1) - 1
-        self.feature = np.full((trees, size), -1)
-        self.bound = np.zeros((trees, size))
-        self.path = np.zeros((trees, size))
+        # Narrow types: a model of less than 1 MB goes to tasks with their code.
+        self.feature = np.full((trees, size), -1, np.int8)
+        self.bound = np.zeros((trees, size), np.float32)
+        self.path = np.zeros((trees, size), np.float32)
         for t in range(trees):
             chosen = rows[random.choice(len(rows), self.rows, replace=False)]
             self._grow(t, 0, 0, chosen, random)
@@ -142,7 +143,7 @@ class Forest:
             self.path[t, node] = depth + usual_path(len(rows))
             return
         f = random.choice(open_)
-        bound = random.uniform(low[f], high[f])
+        bound = np.float32(random.uniform(low[f], high[f]))
         right = rows[:, f] > bound
         self.feature[t, node], self.bound[t, node] = f, bound
         self._grow(t, 2 * node + 1, depth + 1, rows[~right], random)
