@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Hashable
+from itertools import islice
 
 import numpy as np
 
@@ -57,6 +58,14 @@ class PairTable:
         return out
 
 
+class _Numbers(dict):
+    """Gives a key that is new the next number."""
+
+    def __missing__(self, key: Hashable) -> int:
+        number = self[key] = len(self)
+        return number
+
+
 class Chunks:
     """Ids of the chunks seen so far, as ragged rows. A chunk is encoded once; after
     ``limit`` chunks the rows are dropped, so memory is bounded and results stay the same.
@@ -71,22 +80,22 @@ class Chunks:
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[Hashable, int] = {}
+        self.number = _Numbers()
         self.flat = np.zeros(0, np.int64)
         self.starts = np.zeros(1, np.int64)
 
     def numbers(self, chunks: list) -> np.ndarray:
         """Row number of each chunk."""
-        new = list(set(chunks).difference(self.number))
-        if new and len(self.number) + len(new) > self.limit:
+        if len(self.number) > self.limit:
             self._clear()
-            new = list(set(chunks))
+        known = len(self.number)
+        numbers = np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
+        new = list(islice(self.number, known, None))
         if new:
             flat, lengths = self.encode(new)
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
             self.flat = np.concatenate([self.flat, flat])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        return np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
+        return numbers
 
     def lengths(self, numbers: np.ndarray) -> np.ndarray:
         return self.starts[numbers + 1] - self.starts[numbers]
@@ -94,10 +103,10 @@ class Chunks:
     def ids(self, rows: list[list]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of rows of chunks, one row after the other, and the rows' offsets."""
         numbers = self.numbers([c for row in rows for c in row])
-        flat, starts = gather(self.flat, self.starts, numbers)
-        return flat, starts[starts_of(np.array([len(r) for r in rows], np.int64))]
+        return self.ids_of(numbers, np.array([len(r) for r in rows], np.int64))
 
+    def ids_of(self, numbers: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for chunks by number; ``sizes`` has how many each row has."""
+        flat, starts = gather(self.flat, self.starts, numbers)
+        return flat, starts[starts_of(sizes)]
 
-def joined(flat: np.ndarray, starts: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Lengths of groups of consecutive ragged rows; ``group`` has the groups' row counts."""
-    return np.diff(starts[starts_of(group)])

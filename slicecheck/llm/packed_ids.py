@@ -25,6 +25,8 @@ of blocks. Texts are encoded whole.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from functools import lru_cache
 from uuid import uuid4
@@ -35,9 +37,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from slicecheck.llm.common import map_texts, starts_of, stored, to_arrow
+from slicecheck.llm.common import gather, map_texts, starts_of, stored, to_arrow
 from slicecheck.llm.merging import Chunks
-from slicecheck.llm.token_counts import words_of
+from slicecheck.llm.token_counts import WORD_END, words_of
 from slicecheck.settings import ensure_checkpoint_dir
 
 END_ID = 1
@@ -46,9 +48,18 @@ BLOCK_IDS = 1 << 16
 STEP = 256
 
 
+# Plain words encoded in one call; what parts the texts of a piece while they are one.
+JOINED = 512
+BETWEEN = "\x02"
+# Texts with any of these are taken one by one, as they are: special strings, separators
+# that are no white space to the tokenizer, and the letter whose lower case depends on place.
+_ODD = re.compile("<\\||[\x02\x1c-\x1f\u03a3]").search
+
+
 class LibraryIds:
-    """Ids by the tokenizers library. White space parts its tokens, so each distinct part
-    of a piece is encoded once."""
+    """Ids by the tokenizers library. White space parts its tokens and is dropped, so each
+    distinct part of a piece is encoded once, many plain words in one call. Texts are first
+    put in a form that gives the same ids and has fewer distinct parts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,15 +67,83 @@ class LibraryIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
+        self.ends = np.zeros(self.size, bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends[number] = token.endswith(WORD_END)
         self.chunks = Chunks(self._encode_chunks)
 
     def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        lengths = np.array([len(i) for i in ids], np.int64)
-        return np.fromiter((x for i in ids for x in i), np.int64, lengths.sum()), lengths
+        plain = [i for i, c in enumerate(chunks) if self._is_word(c)]
+        others = sorted(set(range(len(chunks))).difference(plain))
+        rows, lengths = [], np.zeros(len(chunks), np.int64)
+        groups = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
+        texts = ["\n".join([chunks[i] for i in g]) for g in groups]
+        for group, encoding in zip(groups, self._call(texts)):
+            ids = np.array(encoding.ids, np.int64)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            assert len(ends) == len(group), "a plain word is one token of the splitter"
+            lengths[group] = np.diff(ends, prepend=0)
+            rows.append(ids)
+        for i, encoding in zip(others, self._call([chunks[i] for i in others])):
+            lengths[i] = len(encoding.ids)
+            rows.append(np.array(encoding.ids, np.int64))
+        order = np.array(plain + others, np.int64)
+        starts = starts_of(lengths[order])
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        return gather(flat, starts, back)[0], lengths
+
+    def _call(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    @staticmethod
+    def _is_word(chunk: str) -> bool:
+        """Letters only, and still so in the form that is encoded."""
+        if not chunk.isalpha():
+            return False
+        return chunk.isascii() or (unicodedata.is_normalized("NFC", chunk) and chunk.lower().isalpha())
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.chunks.ids([words_of(t) for t in texts])
+        odd = [i for i, t in enumerate(texts) if _ODD(t) or not unicodedata.is_normalized("NFC", t)]
+        plain = sorted(set(range(len(texts))).difference(odd))
+        whole = f" {BETWEEN} ".join([texts[i] for i in plain])
+        words = marks_apart(whole.lower()).split()
+        rest = [words_of(texts[i]) for i in odd]
+        numbers = self.chunks.numbers([BETWEEN, *words, *(w for row in rest for w in row)])
+        between = numbers == numbers[0]
+        # Where a text begins, and how many words it has.
+        edges = np.flatnonzero(between[: len(words) + 1])
+        sizes = np.diff(edges, append=len(words) + 1) - 1 if plain else np.zeros(0, np.int64)
+        sizes = np.concatenate([sizes, [len(r) for r in rest]]).astype(np.int64)
+        numbers = numbers[~between] if not odd else numbers[self._inside(between, len(words) + 1)]
+        flat, starts = self.chunks.ids_of(numbers, sizes)
+        order = np.array(plain + odd, np.int64)
+        if (order[1:] < order[:-1]).any():
+            back = np.empty(len(order), np.int64)
+            back[order] = np.arange(len(order))
+            return gather(flat, starts, back)
+        return flat, starts
+
+    @staticmethod
+    def _inside(between: np.ndarray, end: int) -> np.ndarray:
+        """All but the marks between plain texts; an odd text may hold the mark itself."""
+        keep = np.ones(len(between), bool)
+        keep[:end] = ~between[:end]
+        return keep
+
+
+def marks_apart(text: str) -> str:
+    """A full stop or comma between a letter of a-z and white space is a token of its own, so
+    a space before it changes no ids, and words occur in fewer forms."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    if len(raw) < 3:
+        return text
+    letter = (raw[:-2] - np.uint8(97)) < 26
+    mark = (raw[1:-1] == 46) | (raw[1:-1] == 44)
+    space = (raw[2:] == 32) | (raw[2:] == 10)
+    at = np.flatnonzero(letter & mark & space) + 1
+    return np.insert(raw, at, 32).tobytes().decode() if len(at) else text
 
 
 @lru_cache(maxsize=2)
@@ -136,57 +215,58 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """For every bit pattern of the longest length: the id that starts there, and its length."""
+def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, int]:
+    """For every bit pattern of the longest length: the id that starts there times 32, plus
+    the length of its code."""
     longest = max(1, int(lengths.max(initial=0)))
     order = np.lexsort((np.arange(len(lengths)), lengths))
     order = order[lengths[order] > 0]
     share = np.left_shift(1, longest - lengths[order].astype(np.int64))
-    ids = np.zeros(1 << longest, np.int64)
-    bits = np.ones(1 << longest, np.int64)
-    ids[: share.sum()] = np.repeat(order, share)
-    bits[: share.sum()] = np.repeat(lengths[order].astype(np.int64), share)
-    return ids, bits, longest
+    table = np.ones(1 << longest, np.int64)
+    table[: share.sum()] = np.repeat(order * 32 + lengths[order], share)
+    return table, longest
 
 
 def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The codes of ``ids`` one after the other, and the bit offset of every STEP-th."""
-    size = lengths[ids].astype(np.int64)
-    at = starts_of(size)
-    first, shift = at[:-1] >> 3, 32 - size - (at[:-1] & 7)
-    window = codes[ids] << shift
-    n = int(at[-1] + 7) // 8 + 4
-    out = np.zeros(n, np.int64)
-    for k in range(4):  # codes do not overlap, so adding their bytes sets the bits
-        part = (window >> (24 - 8 * k)) & 255
-        out += np.bincount(first + k, weights=part, minlength=n).astype(np.int64)
-    return out[:-4].astype(np.uint8).tobytes(), at[:-1:STEP]
+    size = lengths[ids]
+    at = np.cumsum(size, dtype=np.int64) - size
+    # Each code in a window of two 32-bit words. Codes do not overlap, so the sum of those
+    # that begin in one word has the bits of all; every word has one, as codes are short.
+    word = at >> 5
+    window = codes[ids].astype(np.uint64) << (64 - size - (at & 31)).astype(np.uint64)
+    first = np.flatnonzero(np.diff(word, prepend=-1))
+    sums = np.add.reduceat(window, first)
+    out = np.zeros(len(sums) + 1, np.uint32)
+    out[:-1] = (sums >> np.uint64(32)).astype(np.uint32)
+    out[1:] |= sums.astype(np.uint32)
+    bits = int(at[-1] + size[-1])
+    return out.astype(">u4").tobytes()[: (bits + 7) // 8], at[::STEP]
 
 
 def unpack(blocks: list[bytes], checkpoints: list[np.ndarray], counts: np.ndarray, table) -> np.ndarray:
     """Ids of several blocks one after the other; all stretches are decoded in step."""
-    ids, bits, longest = table
+    patterns, longest = table
     base = starts_of(np.array([len(b) for b in blocks], np.int64)) * 8
-    buffer = np.frombuffer(b"".join(blocks) + bytes(4), np.uint8).astype(np.int64)
+    raw = np.frombuffer(b"".join(blocks) + bytes(4), np.uint8).astype(np.uint32)
+    # The 32 bits from each byte on.
+    windows = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
     at = np.concatenate([c + base[i] for i, c in enumerate(checkpoints)])
     left = np.concatenate([np.minimum(STEP, n - np.arange(0, n, STEP)) for n in counts])
-    out = np.zeros((len(at), STEP), np.int64)
-    lanes = np.arange(len(at))
+    out = np.zeros((STEP, len(at)), np.int64)
+    lanes, short = np.arange(len(at)), int(left.min(initial=STEP))
     mask = (1 << longest) - 1
-    for k in range(STEP):
-        if k:
+    for k in range(int(left.max(initial=0))):
+        if k >= short:
             go = left[lanes] > k
-            if not go.all():
-                lanes = lanes[go]
-            if not len(lanes):
-                break
-        here = at[lanes]
-        b = here >> 3
-        window = (buffer[b] << 24) | (buffer[b + 1] << 16) | (buffer[b + 2] << 8) | buffer[b + 3]
-        pattern = (window >> (32 - longest - (here & 7))) & mask
-        out[lanes, k] = ids[pattern]
-        at[lanes] = here + bits[pattern]
-    return out[np.arange(STEP) < left[:, None]]
+            lanes, at = lanes[go], at[go]
+        found = patterns[(windows[at >> 3] >> (32 - longest - (at & 7)).astype(np.uint32)) & mask]
+        if len(lanes) == len(left):
+            out[k] = found
+        else:
+            out[k, lanes] = found
+        at = at + (found & 31)
+    return (out.T >> 5)[np.arange(STEP) < left[:, None]]
 
 
 def count_ids(tokens: DataFrame, size: int) -> np.ndarray:
