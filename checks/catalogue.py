@@ -18,11 +18,11 @@ from slicecheck.functions.text import split_list, stamp_long
 from slicecheck.operators import batches, compare, keys, lookup, members
 from slicecheck.operators.casting import cast_failures, typed_projection
 from slicecheck.plans import tasks as task_plans
-from slicecheck.plans.batch import Batch, reconcile_batch
+from slicecheck.plans.batch import KEY_COUNTS, Batch, reconcile_batch
 from slicecheck.plans.summary import report_details, summarize
-from slicecheck.settings import IDS_PER_CHUNK, SLICE
+from slicecheck.settings import IDS_PER_CHUNK, SLICE, written
 from slicecheck.sinks import packed
-from slicecheck.sources.tables import slice_scan
+from slicecheck.sources.tables import catalog_of, facts_of, slice_scan, value_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -207,8 +207,11 @@ def keys_only_old(spark, sf_dir):
 @query(
     """SELECT (SELECT count(*) FROM t) AS new_rows,
               (SELECT count(*) FROM orders_old) AS old_rows,
-              (SELECT count(*) FROM t WHERE k IS NULL) AS new_null_keys,
+              (SELECT count(*) FROM orders_text WHERE mo IS NULL) AS new_null_keys,
               (SELECT count(*) FROM orders_old WHERE mo IS NULL) AS old_null_keys,
+              (SELECT count(*) FROM orders_text
+               WHERE mo IS NOT NULL AND TRY_CAST(mo AS BIGINT) IS NULL) AS new_bad_keys,
+              CAST(0 AS BIGINT) AS old_bad_keys,
               (SELECT count(DISTINCT k) FROM t WHERE k IN (SELECT mo FROM orders_old)) AS matched_keys,
               (SELECT count(DISTINCT k) FROM t
                WHERE k NOT IN (SELECT mo FROM orders_old)) AS only_new_keys,
@@ -251,12 +254,15 @@ def matched_rows(spark, sf_dir):
     ["group_pairs", "group_entities"],
 )
 def entity_restricted(spark, sf_dir):
-    matched = compare.matched_rows(
-        fx.events_new(spark, sf_dir), fx.events_old(spark, sf_dir), EVENT_KEY, ["i1", "i3"]
-    )
     groups = task_plans.task_groups(fx.event_tasks(spark, sf_dir))
-    listed = task_plans.listed_entities(groups)
-    return keys.restrict_entities(matched, listed, EVENT_KEY).drop("motype", "period")
+    listed = written(task_plans.listed_entities(groups))
+    # Cut before they are matched, so that only listed entities are shuffled.
+    sides = [
+        keys.restrict_entities(side(spark, sf_dir), listed, EVENT_KEY)
+        for side in (fx.events_new, fx.events_old)
+    ]
+    matched = compare.matched_rows(*sides, EVENT_KEY, ["i1", "i3"])
+    return matched.drop("motype", "period")
 
 
 _MISMATCHES = " UNION ALL ".join(
@@ -277,7 +283,7 @@ def field_mismatch(spark, sf_dir):
 def field_mismatch_long(spark, sf_dir):
     new = compare.melt(fx.orders_new(spark, sf_dir), KEY, KPIS)
     old = compare.melt(fx.orders_old(spark, sf_dir), KEY, KPIS)
-    return compare.compare_long(new, old, KEY).where("is_bad").drop("is_bad")
+    return compare.compare_long(new, old, KEY).where("is_bad").drop("is_bad", "is_failed")
 
 
 def _detail_sql(old: str, condition: str) -> str:
@@ -356,6 +362,23 @@ def generate_tasks(spark, sf_dir):
     return task_plans.generate_tasks(brands)
 
 
+@query(
+    """SELECT motype, 'h' AS period, start_day, start_time,
+              start_day AS sheet_day_1, start_day AS sheet_day_2, start_day AS sheet_day_3
+       FROM (SELECT motype, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS start_day,
+                    CAST(unnest(generate_series(0, 23)) AS INTEGER) AS start_time
+             FROM (SELECT 'm' || CAST(user_id % 7 AS VARCHAR) AS motype,
+                          unnest(generate_series(min(ts)::DATE, max(ts)::DATE, INTERVAL 1 DAY)) AS d
+                   FROM events GROUP BY 1))"""
+)
+def generate_tasks_range(spark, sf_dir):
+    model = F.concat(F.lit("m"), F.col("user_id") % 7).alias("motype")
+    span = (F.to_date(F.min("ts")).alias("first"), F.to_date(F.max("ts")).alias("last"))
+    models = fx.table(spark, sf_dir, "events").groupBy(model).agg(*span)
+    times = F.sequence(F.lit(0), F.lit(23))
+    return task_plans.generate_tasks_range(models, F.col("first"), F.col("last"), times)
+
+
 @query("SELECT * FROM event_groups", ["event_groups"])
 def task_groups(spark, sf_dir):
     return task_plans.task_groups(fx.event_tasks(spark, sf_dir))
@@ -384,7 +407,53 @@ _RESULT = "motype, period, sd, st, matched, all_n, right_n, error_n, null_n, rat
 
 @query(f"SELECT {_RESULT}, CAST(status AS INTEGER) AS status FROM group_results", ["group_results"])
 def batch_reconcile(spark, sf_dir):
-    return _batch(spark, sf_dir)[1].results
+    return _batch(spark, sf_dir)[1].results.drop(*KEY_COUNTS)
+
+
+@query(
+    """SELECT g.sd, g.st, count(*) FILTER (n.mo IS NOT NULL AND o.mo IS NOT NULL) AS matched,
+              count(*) FILTER (n.mo IS NOT NULL AND o.mo IS NULL) AS only_new,
+              count(*) FILTER (n.mo IS NULL AND o.mo IS NOT NULL) AS only_old
+       FROM (SELECT DISTINCT sd, st FROM event_groups) g
+       LEFT JOIN (SELECT sd, st, mo FROM events_new UNION SELECT sd, st, mo FROM events_old) k
+         ON k.sd = g.sd AND k.st = g.st
+       LEFT JOIN events_new n ON n.sd = k.sd AND n.st = k.st AND n.mo = k.mo
+       LEFT JOIN events_old o ON o.sd = k.sd AND o.st = k.st AND o.mo = k.mo
+       GROUP BY ALL""",
+    ["event_groups", "events_new", "events_old"],
+)
+def batch_keys(spark, sf_dir):
+    """Matched and one-sided keys of each slice, tasks without lists of entities."""
+    tasks = fx.event_tasks(spark, sf_dir).withColumn("moentities", F.lit(None).cast("string"))
+    new, old = fx.events_new(spark, sf_dir), fx.events_old(spark, sf_dir)
+    results = reconcile_batch(tasks, new, old, fx.EVENT_KPIS).results
+    return results.select("sd", "st", "matched", "only_new", "only_old")
+
+
+@query(
+    """SELECT motype, sd, st, CASE WHEN NOT broken THEN CAST(all_n AS BIGINT) END AS all_n,
+              CASE WHEN NOT broken THEN CAST(error_n AS BIGINT) END AS error_n,
+              CAST(CASE WHEN broken THEN 2 WHEN CAST(all_n - error_n AS DOUBLE) / all_n > 0.99 THEN 1
+                        ELSE -1 END AS INTEGER) AS status
+       FROM (SELECT 'orders' AS motype, sd, st, 2 * count(*) FILTER (mo % 10 <> 0) AS all_n,
+                    count(*) FILTER (mo % 10 <> 0 AND mo % 100 = 7 AND r1 IS NOT NULL) AS error_n,
+                    st = 0 OR count(*) FILTER (mo % 10 <> 0) = 0 AS broken
+             FROM export_rows GROUP BY sd, st
+             UNION ALL
+             SELECT 'events', sd, st, 3 * count(*), count(*) FILTER (st = 7 AND i3 IS NOT NULL), false
+             FROM events_new GROUP BY sd, st)""",
+    ["export_rows", "events_new"],
+)
+def batch_models(spark, sf_dir):
+    """Two models with different KPIs; the old copies have their names in upper case, and
+    the old orders lack a KPI that the tasks on one slot check."""
+    tasks, new, old = fx.two_models(spark, sf_dir)
+    catalog, old_catalog = catalog_of(new), catalog_of(old)
+    facts = [facts_of(spark, side, catalog) for side in (new, old)]
+    results = reconcile_batch(tasks, *facts, value_columns(catalog), catalog, old_catalog).results
+    judged = F.col("status") != 2
+    counts = [F.when(judged, F.col(c)).alias(c) for c in ("all_n", "error_n")]
+    return results.select("motype", "sd", "st", *counts, "status")
 
 
 def _batch_detail_sql(condition: str) -> str:

@@ -168,6 +168,53 @@ def event_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionAll(second).unionAll(idle)
 
 
+def two_models(spark: SparkSession, sf_dir: str):
+    """Tasks, and the new and old tables of two models: orders by month (KPIs i1, i2, i9)
+    and events by hour. The old tables have upper-case names; that of orders has every
+    tenth key missing, a shifted i1 for some, and no i9. Only tasks on slot 0 of orders
+    check i9.
+    """
+    orders = export_rows(spark, sf_dir).select(
+        "sd",
+        "st",
+        "mo",
+        F.col("r1").cast("double").alias("i1"),
+        (F.col("mo") % 17).cast("double").alias("i2"),
+        F.lit(1.0).alias("i9"),
+    )
+    kept = orders.where(F.col("mo") % 10 != 0)
+    shifted = F.when(F.col("mo") % 100 == 7, F.col("i1") + 1).otherwise(F.col("i1"))
+    old_orders = kept.withColumn("i1", shifted).drop("i9")
+    events = ["sd", "st", "mo", *EVENT_KPIS]
+
+    def upper(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c).alias(c.upper()) for c in df.columns])
+
+    old_events = events_new(spark, sf_dir).withColumn(
+        "i3", F.when(F.col("st") == 7, F.col("i3") + 1).otherwise(F.col("i3"))
+    )
+    new = {("orders", "m"): orders, ("events", "h"): events_new(spark, sf_dir).select(*events)}
+    old = {("orders", "m"): upper(old_orders), ("events", "h"): upper(old_events.select(*events))}
+    slots = [
+        df.select("sd", "st").distinct().withColumn("motype", F.lit(m)).withColumn("period", F.lit(p))
+        for (m, p), df in new.items()
+    ]
+    lists = F.when((F.col("motype") == "orders") & (F.col("st") == 1), "i1,i2")
+    tasks = (
+        slots[0].unionByName(slots[1])
+        .select(
+            F.xxhash64("motype", "sd", "st").alias("task_id"),
+            "motype",
+            "period",
+            F.col("sd").alias("start_day"),
+            F.col("st").alias("start_time"),
+            lists.alias("indicators"),
+            F.lit(None).cast("string").alias("moentities"),
+        )
+    )
+    return tasks, new, old
+
+
 # Key/value metadata: nations as models, customers as objects.
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from slicecheck.functions.text import bracket_list
 from slicecheck.operators.pairs import (
+    COUNTS,
     exceeds,
     has_bit,
     is_matched,
@@ -19,7 +20,7 @@ from slicecheck.operators.pairs import (
     pair_rows,
     words_of,
 )
-from slicecheck.operators.casting import long_counts
+from slicecheck.operators.casting import long_counts, not_castable
 from slicecheck.settings import ENTITY, TOLERANCE
 
 
@@ -44,8 +45,7 @@ def compare_wide(
     pairs = _with_errors(new, old, keys, kpis, tol)
     return pairs.select(
         *keys,
-        "n_new",
-        "n_old",
+        *COUNTS,
         _count_bits("err", kpis).alias("n_bad"),
         _count_bits("null", kpis).alias("null_pairs"),
         _count_bits("fail", kpis).alias("n_failed"),
@@ -94,19 +94,36 @@ def field_mismatches(
 
 
 def melt(df: DataFrame, keys: Sequence[str], kpis: Sequence[str]) -> DataFrame:
-    """Long form ``keys, kpi, value`` of a wide KPI table."""
-    values = df.select(*keys, *[F.col(k).try_cast("double").alias(k) for k in kpis])
-    return values.unpivot(list(keys), list(kpis), "kpi", "value")
+    """Long form ``keys, kpi, value, failed`` of a wide KPI table; ``failed`` marks values
+    that are no numbers. For a comparison of two wide tables see :func:`field_mismatches`.
+    """
+    entries = [
+        F.struct(
+            F.lit(k).alias("kpi"),
+            F.col(k).try_cast("double").alias("value"),
+            not_castable(F.col(k), "double").alias("failed"),
+        )
+        for k in kpis
+    ]
+    return df.select(*keys, F.inline(F.array(*entries)))
 
 
 def compare_long(
     new: DataFrame, old: DataFrame, keys: Sequence[str], tol: float = TOLERANCE
 ) -> DataFrame:
-    """Compare two tables in long form, for models whose KPI lists differ.
-    One row per matched (key, kpi): ``x``, ``y``, ``diff``, ``is_bad``.
+    """Compare two tables in long form, for sources that are long already.
+    One row per matched (key, kpi): ``x``, ``y``, ``diff``, ``is_bad``, and ``is_failed``
+    where a side has a value that is no number and the other is not null.
     """
-    pairs = pair_rows(new, old, [*keys, "kpi"], ["value"]).where(is_matched())
+    sides = [
+        side.withColumn("failed", F.col("failed").cast("int")) if "failed" in side.columns
+        else side.withColumn("failed", F.lit(0))
+        for side in (new, old)
+    ]
+    pairs = pair_rows(*sides, [*keys, "kpi"], ["value", "failed"]).where(is_matched())
     x, y = F.col("x_value"), F.col("y_value")
+    x_failed, y_failed = F.col("x_failed") > 0, F.col("y_failed") > 0
+    both_set = (x.isNotNull() | x_failed) & (y.isNotNull() | y_failed)
     return pairs.select(
         *keys,
         "kpi",
@@ -114,6 +131,7 @@ def compare_long(
         y.alias("y"),
         (x - y).alias("diff"),
         exceeds(x - y, tol).alias("is_bad"),
+        (both_set & (x_failed | y_failed)).alias("is_failed"),
     )
 
 
@@ -152,8 +170,9 @@ def exact_row_diff(new: DataFrame, old: DataFrame) -> DataFrame:
 def exact_field_diff(
     new: DataFrame, old: DataFrame, keys: Sequence[str], kpis: Sequence[str]
 ) -> DataFrame:
-    """The KPIs of each matched entity that are not exactly equal; null equals null only."""
-    pairs = pair_rows(new, old, keys, kpis).where(is_matched())
+    """The KPIs of each matched entity that are not exactly equal, compared as they are
+    stored; null equals null only."""
+    pairs = pair_rows(new, old, keys, kpis, exact=True).where(is_matched())
     differs = {k: ~F.col(f"x_{k}").eqNullSafe(F.col(f"y_{k}")) for k in kpis}
     fields = bracket_list(named_kpis(differs)).alias("fields")
     return pairs.where(reduce(or_, differs.values())).select(*keys, fields)

@@ -30,11 +30,12 @@ def keys_only_old(new: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def duplicate_keys(new: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return key_counts(new, old, keys).where(is_duplicated())
+    return key_counts(new, old, keys).where(is_duplicated()).drop("bad_new", "bad_old")
 
 
 def side_counts(new: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Row and key counts of both sides, per slice if there are keys before the entity."""
+    """Row and key counts of both sides, per slice if there are keys before the entity.
+    Keys that are there but no whole numbers are counted apart from null ones."""
     known = F.col(ENTITY).isNotNull()
     in_new, in_old = F.col("n_new") > 0, F.col("n_old") > 0
     by = [k for k in keys if k != ENTITY]
@@ -47,8 +48,10 @@ def side_counts(new: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFram
                 for name, total in {
                     "new_rows": F.sum("n_new"),
                     "old_rows": F.sum("n_old"),
-                    "new_null_keys": F.sum(F.when(~known, F.col("n_new"))),
-                    "old_null_keys": F.sum(F.when(~known, F.col("n_old"))),
+                    "new_null_keys": F.sum(F.when(~known, F.col("n_new") - F.col("bad_new"))),
+                    "old_null_keys": F.sum(F.when(~known, F.col("n_old") - F.col("bad_old"))),
+                    "new_bad_keys": F.sum("bad_new"),
+                    "old_bad_keys": F.sum("bad_old"),
                     "matched_keys": F.count_if(known & in_new & in_old),
                     "only_new_keys": F.count_if(known & in_new & ~in_old),
                     "only_old_keys": F.count_if(known & in_old & ~in_new),

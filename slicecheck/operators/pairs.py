@@ -10,8 +10,6 @@ out of the same pass; and no side needs sorting.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,16 +21,24 @@ WORD = 63
 
 
 def pair_rows(
-    new: DataFrame, old: DataFrame, keys: Sequence[str], kpis: Sequence[str]
+    new: DataFrame,
+    old: DataFrame,
+    keys: Sequence[str],
+    kpis: Sequence[str],
+    exact: bool = False,
 ) -> DataFrame:
-    """One row per key: ``n_new``, ``n_old``, and per KPI ``x_`` (new) and ``y_`` (old).
-    Rows without an entity key stay visible under the null key.
+    """One row per key: ``n_new``, ``n_old``, and per KPI ``x_`` (new) and ``y_`` (old), as
+    doubles, or with ``exact`` as they are. Rows without an entity key, or with one that
+    is no whole number, stay visible under the null key; ``bad_new`` and ``bad_old``
+    count the latter.
     """
+    value = F.col if exact else _number
     sides = [
         side.select(
-            *_keys(keys),
+            *_keys(side, keys),
             F.lit(1).alias(f"in_{mark}"),
-            *[_number(k).alias(f"{mark}_{k}") for k in kpis],
+            _bad_key(side, keys).alias(f"bad_{mark}"),
+            *[value(k).alias(f"{mark}_{k}") for k in kpis],
         )
         for side, mark in ((new, "x"), (old, "y"))
     ]
@@ -47,7 +53,6 @@ def pair_differences(
     old: DataFrame,
     keys: Sequence[str],
     kpis: Sequence[str],
-    listed: DataFrame | None = None,
 ) -> DataFrame:
     """One row per key: ``n_new``, ``n_old``, per KPI ``diff_`` (new - old), and as bits of
     the words ``num_``, ``null_`` and ``fail_`` which KPIs are numbers on both sides,
@@ -56,38 +61,34 @@ def pair_differences(
 
     Half as wide in the shuffle as both values: a matched key has one row per side,
     so the sum of the new and the negated old value is their exact difference, and
-    which values are there fits into bits. ``listed`` holds keys a check is
-    restricted to; they come in through the same grouping, counted by ``n_listed``.
+    which values are there fits into bits.
     """
-    flags = {"num": lambda k: _number(k).isNotNull()}
+    flags = {"num": "try_cast(`{}` AS DOUBLE) IS NOT NULL"}
     # Only text can hold a value that is no number.
     if any(isinstance(side.schema[k].dataType, T.StringType) for side in (new, old) for k in kpis):
-        flags["set"] = lambda k: F.col(k).isNotNull()
-    packed = {flag: pack_bits([test(k) for k in kpis], flag) for flag, test in flags.items()}
+        flags["set"] = "`{}` IS NOT NULL"
+    packed = {flag: pack_bits([test.format(k) for k in kpis], flag) for flag, test in flags.items()}
     words = [f"{flag}_{w}" for flag, columns in packed.items() for w in range(len(columns))]
 
     sides = [
         side.select(
-            *_keys(keys),
+            *_keys(side, keys),
             F.lit(1).alias(f"in_{mark}"),
-            *[(sign * _number(k)).alias(f"d_{k}") for k in kpis],
+            _bad_key(side, keys).alias(f"bad_{mark}"),
+            *[F.expr(f"{sign}try_cast(`{k}` AS DOUBLE) AS `d_{k}`") for k in kpis],
             *[c for columns in packed.values() for c in columns],
         )
         .withColumnsRenamed({word: f"{word}_{mark}" for word in words})
-        for side, mark, sign in ((new, "x", 1), (old, "y", -1))
+        for side, mark, sign in ((new, "x", ""), (old, "y", "-"))
     ]
-    counts = _counts()
-    if listed is not None:
-        sides.append(listed.select(*_keys(keys), F.lit(1).alias("in_list")))
-        counts.append(F.count("in_list").alias("n_listed"))
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    stacked = sides[0].unionByName(sides[1], allowMissingColumns=True)
     grouped = stacked.groupBy(*keys).agg(
-        *counts,
-        *[F.sum(f"d_{k}").alias(f"d_{k}") for k in kpis],
+        *_counts(),
+        *[F.expr(f"sum(`d_{k}`) AS `d_{k}`") for k in kpis],
         *[F.bit_or(f"{word}_{mark}").alias(f"{word}_{mark}") for word in words for mark in "xy"],
     )
 
-    selected = [*keys, *[c for c in ("n_new", "n_old", "n_listed") if c in grouped.columns]]
+    selected = [*keys, *COUNTS]
     for w, start in enumerate(range(0, len(kpis), WORD)):
         every = F.lit((1 << len(kpis[start : start + WORD])) - 1).cast("bigint")
         numbers = _on_both(f"num_{w}")
@@ -97,12 +98,13 @@ def pair_differences(
             values.bitwiseXOR(every).alias(f"null_{w}"),
             values.bitwiseXOR(numbers).alias(f"fail_{w}"),
         ]
-    return grouped.select(*selected, *[F.col(f"d_{k}").alias(f"diff_{k}") for k in kpis])
+    return grouped.select(*selected, *[F.expr(f"`d_{k}` AS `diff_{k}`") for k in kpis])
 
 
 def mismatch_words(kpis: Sequence[str], tol: float = TOLERANCE) -> list[Column]:
     """Bits ``err_`` of the KPIs that differ, over the columns of ``pair_differences``."""
-    far = pack_bits([exceeds(F.col(f"diff_{k}"), tol) for k in kpis], "err")
+    # As in ``exceeds``; a missing difference counts as none.
+    far = pack_bits([f"NOT (abs(`diff_{k}`) <= {float(tol)!r}D)" for k in kpis], "err")
     return [
         word.bitwiseAND(F.col(f"num_{w}")).alias(f"err_{w}") for w, word in enumerate(far)
     ]
@@ -136,26 +138,48 @@ def _on_both(word: str) -> Column:
     return F.coalesce(F.col(f"{word}_x").bitwiseAND(F.col(f"{word}_y")), F.lit(0).cast("bigint"))
 
 
+COUNTS = ["n_new", "n_old", "bad_new", "bad_old"]
+
+
 def _counts() -> list[Column]:
-    return [F.count("in_x").alias("n_new"), F.count("in_y").alias("n_old")]
+    sources = ("in_x", "in_y", "bad_x", "bad_y")
+    return [F.count(source).alias(name) for source, name in zip(sources, COUNTS)]
+
+
+def entity_key(df: DataFrame) -> Column:
+    """The entity key as bigint; null if it is no whole number. Fractions are not cut off."""
+    key = F.col(ENTITY)
+    if isinstance(df.schema[ENTITY].dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return F.when(key == F.floor(key), key.try_cast("bigint"))
+    return key.try_cast("bigint")
+
 
+def _keys(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    return [entity_key(df).alias(k) if k == ENTITY else F.col(k) for k in keys]
 
-def _keys(keys: Sequence[str]) -> list[Column]:
-    return [F.col(k).try_cast("bigint").alias(k) if k == ENTITY else F.col(k) for k in keys]
+
+def _bad_key(df: DataFrame, keys: Sequence[str]) -> Column:
+    """1 for a key that is there but no whole number, else null."""
+    if ENTITY not in keys or isinstance(df.schema[ENTITY].dataType, T.IntegralType):
+        return F.lit(None).cast("int")
+    return F.when(F.col(ENTITY).isNotNull() & entity_key(df).isNull(), 1)
 
 
 def _number(kpi: str) -> Column:
     return F.col(kpi).try_cast("double")
 
 
-def pack_bits(conditions: Sequence[Column], name: str) -> list[Column]:
-    """The conditions as bits of as few bigint columns ``name_0``, ``name_1`` … as will do."""
-    zero = F.lit(0).cast("bigint")
+def pack_bits(conditions: Sequence[str], name: str) -> list[Column]:
+    """The conditions (SQL) as bits of as few bigint columns ``name_0``, ``name_1`` … as
+    will do. One expression per column: built bit by bit, it would take longer to put
+    together than to run.
+    """
     words = []
     for start in range(0, len(conditions), WORD):
-        bits = [
-            F.when(condition, F.lit(1 << n).cast("bigint")).otherwise(zero)
-            for n, condition in enumerate(conditions[start : start + WORD])
-        ]
-        words.append(reduce(lambda a, b: a.bitwiseOR(b), bits).alias(f"{name}_{start // WORD}"))
+        bits = [f"IF({c}, {1 << n}L, 0L)" for n, c in enumerate(conditions[start : start + WORD])]
+        # Halves of halves: a chain of sixty operators would be parsed and planned deep.
+        while len(bits) > 1:
+            bits = [" | ".join(bits[i : i + 2]) for i in range(0, len(bits), 2)]
+            bits = [f"({b})" for b in bits]
+        words.append(F.expr(f"{bits[0]} AS {name}_{start // WORD}"))
     return words

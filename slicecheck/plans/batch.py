@@ -1,18 +1,17 @@
 """All check tasks in one distributed job.
 
-The two fact tables are paired by (slice, entity) once. What any task needs to
-know about a slice is then folded into the *tally*: clean entities collapse into
-one row per slice, map-side, and only entities with a finding keep a row. The
-tasks' KPI lists are applied to that small table. Facts are never shuffled by slice
-alone, so a slice with most of the rows is no special case.
+What the tasks ask for is applied before anything is shuffled: the days of the task
+list, its slices, the KPIs that some task checks, and the entities of tasks that list
+some. The two fact tables are then paired by (slice, entity) once. What any task needs to
+know about a slice is folded into the *tally*: clean entities collapse into one row per
+slice, map-side, and only entities with a finding keep a row. The tasks' KPI lists are
+applied to that small table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +19,7 @@ from pyspark.sql import functions as F
 from slicecheck.functions.text import bracket_list, kpi_name
 from slicecheck.operators.pairs import (
     WORD,
-    has_bit,
-    is_duplicated,
-    is_matched,
+    entity_key,
     mismatch_words,
     pair_differences,
     words_of,
@@ -43,15 +40,18 @@ from slicecheck.settings import (
     STATUS_MISMATCH,
     THRESHOLD,
     TOLERANCE,
+    passing_tables,
     written,
 )
 from slicecheck.sinks.tables import write_run
 from slicecheck.sources.tables import Catalog
 
-# Up to this many slices (some 20 MB) the task list is sent to all executors.
-ROUTED_SLICES = 200_000
-
-RESULT = [*SLICE, "matched", "all_n", "right_n", "error_n", "null_n", "rate", "status"]
+BY = ["slice_no"]
+# What became of the keys of a slice, next to the matched ones.
+KEY_COUNTS = ["only_new", "only_old", "null_keys", "bad_keys"]
+RESULT = [
+    *SLICE, "matched", "all_n", "right_n", "error_n", "null_n", "rate", "status", *KEY_COUNTS,
+]
 
 
 @dataclass(frozen=True)
@@ -62,12 +62,24 @@ class Batch:
     details: DataFrame
 
 
+@dataclass(frozen=True)
+class Asked:
+    """What the tasks ask for as a whole: their days, the places of the KPIs that any of
+    them checks, and whether any is restricted to some entities."""
+
+    first_day: int | None
+    last_day: int | None
+    places: list[int]
+    restricted: bool
+
+
 def reconcile_batch(
     tasks: DataFrame,
     new: DataFrame,
     old: DataFrame,
     kpis: Sequence[str],
     catalog: Catalog | None = None,
+    old_catalog: Catalog | None = None,
     tol: float = TOLERANCE,
     threshold: float = THRESHOLD,
     always: bool = False,
@@ -76,178 +88,185 @@ def reconcile_batch(
     """Checks every slice the tasks name. ``new`` and ``old`` hold ``SLICE, mo`` and
     ``kpis``. Models that differ in their KPIs share these columns: ``catalog`` tells
     the KPI that each model keeps in the first, the second and so on. Without it the
-    columns are the KPIs, for every model. ``materialize`` writes the tally and the
-    judgement once, for callers that use both outputs.
+    columns are the KPIs, for every model. ``old_catalog`` tells what the old copy has:
+    a slice that checks a KPI which either copy lacks has failed. ``materialize`` writes
+    the tally and the judgement once, for callers that use both outputs.
     """
     # Used in several places below: one small row per slice, fixed once.
-    groups = written(check_plans(tasks, kpis, catalog))
-    new, old, by = route([new, old], groups, kpis)
-    tally = tally_slices(new, old, kpis, listed_entities(groups, by), by, tol)
+    groups = written(check_plans(tasks, kpis, catalog, old_catalog))
+    asked = asked_for(groups)
+    used = [kpis[place] for place in asked.places]
+    groups = groups.withColumn("places", _renumbered(asked.places))
+    new, old = route([new, old], groups, asked, used)
+    tally = tally_slices(new, old, used, tol)
     if materialize:
         tally = written(tally)
-    judged = judge(groups, tally, kpis, by, threshold)
+    judged = judge(groups, tally, used, threshold)
     if materialize:
         judged = written(judged)
-    return Batch(judged.select(*RESULT), mismatch_details(judged, tally, kpis, by, always))
+    return Batch(judged.select(*RESULT), mismatch_details(judged, tally, used, always))
 
 
 def check_plans(
-    tasks: DataFrame, kpis: Sequence[str], catalog: Catalog | None = None
+    tasks: DataFrame,
+    kpis: Sequence[str],
+    catalog: Catalog | None = None,
+    old_catalog: Catalog | None = None,
 ) -> DataFrame:
     """One row per slice: its number, ``labels`` of the KPIs to check as listed,
     their ``places`` among the value columns, and whether the slice is ``known`` (has
-    a model with all these KPIs) and ``restricted`` (to listed entities).
+    a model with all these KPIs in both copies) and ``restricted`` (to listed entities).
     """
     groups = task_groups(tasks)
     if catalog is None:
-        groups = groups.withColumn("kpis", F.array(*[F.lit(k) for k in kpis]).cast("array<string>"))
+        names = F.array(*[F.lit(k) for k in kpis]).cast("array<string>")
+        groups = groups.withColumn("kpis", names).withColumn("held", names)
     else:
+        both = catalog if old_catalog is None else old_catalog
         models = tasks.sparkSession.createDataFrame(
-            [(*model, names) for model, names in catalog.items()],
-            "motype string, period string, kpis array<string>",
+            [(*model, names, both.get(model)) for model, names in catalog.items()],
+            "motype string, period string, kpis array<string>, held array<string>",
         )
         groups = groups.join(models, ["motype", "period"], "left")
     planned = groups.withColumn("labels", listed_kpis(F.col("indicators"), F.col("kpis")))
     place = F.transform(
         "labels", lambda label: (F.array_position("kpis", kpi_name(label)) - 1).cast("int")
     )
+    known = F.forall("labels", lambda label: F.array_contains("held", kpi_name(label)))
     return planned.withColumn("places", place).select(
         *SLICE,
         F.monotonically_increasing_id().alias("slice_no"),
         "labels",
         "places",
-        F.coalesce(F.forall("places", lambda p: p >= 0), F.lit(False)).alias("known"),
+        F.coalesce(F.forall("places", lambda p: p >= 0) & known, F.lit(False)).alias("known"),
         F.col("moentities").isNotNull().alias("restricted"),
         "moentities",
     )
 
 
+def asked_for(groups: DataFrame) -> Asked:
+    """One row, and one list with an entry per value column at most."""
+    row = groups.agg(
+        F.min("sd").alias("lo"),
+        F.max("sd").alias("hi"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("places")))).alias("places"),
+        F.coalesce(F.max("restricted"), F.lit(False)).alias("restricted"),
+    ).first()
+    return Asked(row.lo, row.hi, [p for p in row.places if p >= 0], row.restricted)
+
+
 def route(
-    facts: Sequence[DataFrame],
-    groups: DataFrame,
-    kpis: Sequence[str],
-    limit: int = ROUTED_SLICES,
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """The facts that tasks ask for, and the columns that tell their slice.
-
-    Days outside the tasks' range are always dropped. If the task list is short
-    enough it is broadcast: facts of other slices are dropped, too, facts stored by
-    day are read for the wanted days only, and the slice is carried as one number,
-    which makes the rows to be shuffled shorter. Otherwise facts keep the columns of
-    their slice; a slice that nobody asked for is dropped with the tally.
+    facts: Sequence[DataFrame], groups: DataFrame, asked: Asked, kpis: Sequence[str]
+) -> list[DataFrame]:
+    """The facts that tasks ask for, ``slice_no, mo`` and the KPIs. Only these columns are
+    read. The planner chooses how the slices are joined by the size of their table; where
+    both sides are shuffled, adaptive execution splits a slice with very many rows. A slice
+    is one number from here on.
     """
-    size = groups.agg(F.count("*").alias("n"), F.min("sd").alias("lo"), F.max("sd").alias("hi"))
-    n, first_day, last_day = size.first()
-    wanted_days = F.col("sd").between(first_day, last_day) if n else F.lit(False)
-    by = SLICE
-    facts = [side.where(wanted_days).select(*SLICE, ENTITY, *kpis) for side in facts]
-    if n <= limit:
-        # The range holds for every slice here. Only with a filter on the small side
-        # does Spark hand its days to the scan of the large one.
-        slices = F.broadcast(groups.where(wanted_days).select(*SLICE, "slice_no"))
-        by = ["slice_no"]
-        facts = [side.join(slices, SLICE).select(*by, ENTITY, *kpis) for side in facts]
-    return (*facts, by)
+    days = F.lit(False)
+    if asked.first_day is not None:
+        days = F.col("sd").between(asked.first_day, asked.last_day)
+    # The range holds for every slice. Only with a filter on the small side does Spark
+    # hand its days to the scan of the large one.
+    slices = groups.where(days).select(*SLICE, "slice_no", "restricted")
+    routed = []
+    for side in facts:
+        rows = side.where(days).select(*SLICE, ENTITY, *kpis).join(slices, SLICE)
+        if asked.restricted:
+            listed = listed_entities(groups, BY).distinct()
+            listed = listed.select(
+                F.col("slice_no").alias("_no"), F.col(ENTITY).alias("_mo"), F.lit(True).alias("_listed")
+            )
+            same = (F.col("slice_no") == F.col("_no")) & (entity_key(side) == F.col("_mo"))
+            rows = rows.join(listed, same, "left").where("NOT restricted OR _listed")
+        routed.append(rows.select(*BY, ENTITY, *kpis))
+    return routed
 
 
 def tally_slices(
-    new: DataFrame,
-    old: DataFrame,
-    kpis: Sequence[str],
-    listed: DataFrame,
-    by: Sequence[str] = SLICE,
-    tol: float = TOLERANCE,
+    new: DataFrame, old: DataFrame, kpis: Sequence[str], tol: float = TOLERANCE
 ) -> DataFrame:
-    """``by, is_listed, duplicated, mo``, bits per KPI and the number ``n`` of entities
-    they hold for: ``err_`` (mismatch), ``null_`` (a side is null) and ``fail_`` (no
-    number). ``mo`` is given for entities with a mismatch only, so that all others
-    collapse by what was found. Rows stay narrow, however many KPIs there are.
+    """``slice_no, kind, mo``, bits per KPI and the number ``n`` of entities they hold
+    for: ``err_`` (mismatch), ``null_`` (a side is null) and ``fail_`` (no number).
+    ``kind`` tells what became of the key; ``null_keys`` and ``bad_keys`` count rows
+    without a usable one. ``mo`` is given for entities with a mismatch only, so that all
+    others collapse by what was found. Rows stay narrow, however many KPIs there are.
     """
-    pairs = pair_differences(new, old, [*by, ENTITY], kpis, listed)
+    pairs = pair_differences(new, old, [*BY, ENTITY], kpis)
     err, null, fail = (words_of(flag, kpis) for flag in ("err", "null", "fail"))
-    # Of duplicated keys nothing else counts.
-    found = (
-        pairs.select("*", *mismatch_words(kpis, tol))
-        .where(is_matched() | is_duplicated())
-        .select(
-            *by,
-            ENTITY,
-            (F.col("n_listed") > 0).alias("is_listed"),
-            is_duplicated().alias("duplicated"),
-            *[F.when(is_matched(), F.col(w)).otherwise(0).alias(w) for w in (*err, *null, *fail)],
-        )
+    kind = f"""CASE WHEN {ENTITY} IS NULL THEN 'none' WHEN n_new > 1 OR n_old > 1 THEN 'duplicated'
+        WHEN n_old = 0 THEN 'only_new' WHEN n_new = 0 THEN 'only_old' ELSE 'matched' END AS kind"""
+    # Of keys that are not matched nothing else counts.
+    found = pairs.select("*", *mismatch_words(kpis, tol)).selectExpr(
+        *BY,
+        ENTITY,
+        kind,
+        "bad_new + bad_old AS bad",
+        "n_new + n_old AS rows",
+        *[f"IF({ENTITY} IS NOT NULL AND n_new = 1 AND n_old = 1, {w}, 0L) AS {w}" for w in (*err, *null, *fail)],
     )
-    any_bad = reduce(or_, [F.col(w) != 0 for w in err], F.lit(False))
+    any_bad = " OR ".join(f"{w} <> 0" for w in err) or "false"
     return found.groupBy(
-        *by,
-        "is_listed",
-        "duplicated",
-        F.when(any_bad, F.col(ENTITY)).alias(ENTITY),
+        *BY,
+        "kind",
+        F.expr(f"IF({any_bad}, {ENTITY}, NULL) AS {ENTITY}"),
         *(*err, *null, *fail),
-    ).agg(F.count("*").alias("n"))
+    ).agg(
+        F.count("*").alias("n"),
+        F.expr("sum(IF(kind = 'none', rows - bad, 0L)) AS null_keys"),
+        F.expr("sum(IF(kind = 'none', bad, 0L)) AS bad_keys"),
+    )
 
 
 def judge(
     groups: DataFrame,
     tally: DataFrame,
     kpis: Sequence[str],
-    by: Sequence[str] = SLICE,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """One row per slice, also for slices without any data: the columns of its check
     plan, its counts, rate and status.
     """
-    conditions = {
-        "matched": ~F.col("duplicated"),
-        "duplicates": F.col("duplicated"),
-        **{
-            f"{flag}_of_{k}": has_bit(flag, n)
-            for flag in ("err", "null", "fail")
-            for n, k in enumerate(kpis)
-        },
+    kinds = {"matched": "matched", "duplicates": "duplicated", "only_new": "only_new", "only_old": "only_old"}
+    sums = {name: f"sum(IF(kind = '{kind}', n, 0L))" for name, kind in kinds.items()}
+    sums |= {name: f"sum({name})" for name in ("null_keys", "bad_keys")}
+    sums |= {
+        f"{flag}_of_{n}": f"sum(IF(getbit({flag}_{n // WORD}, {n % WORD}) = 1, n, 0L))"
+        for flag in ("err", "null", "fail")
+        for n in range(len(kpis))
     }
-    parts = tally.groupBy(*by, "is_listed").agg(
-        *[F.sum(F.when(condition, F.col("n"))).alias(c) for c, condition in conditions.items()]
-    )
-    # At most two rows per slice are left: its listed entities and the others.
-    restricted = groups.where("restricted").select(*by, F.lit(True).alias("cut"))
-    wanted = parts.join(restricted, list(by), "left").where("is_listed or cut is null")
-    totals = wanted.groupBy(*by).agg(*[F.sum(c).alias(c) for c in conditions])
+    totals = tally.groupBy(*BY).agg(*[F.expr(f"{text} AS {name}") for name, text in sums.items()])
     counted = (
-        groups.join(totals, list(by), "left")
-        .fillna(0, subset=list(conditions))
+        groups.join(totals, BY, "left")
+        .fillna(0, subset=list(sums))
         .select(
             *groups.columns,
             "matched",
             "duplicates",
-            _over_list("fail_of_", kpis).alias("failed"),
-            _over_list("null_of_", kpis).alias("null_n"),
+            *KEY_COUNTS,
+            _over_list("fail_of", kpis).alias("failed"),
+            _over_list("null_of", kpis).alias("null_n"),
             (F.col("matched") * F.coalesce(F.size("labels"), F.lit(0))).alias("all_n"),
-            _over_list("err_of_", kpis).alias("error_n"),
+            _over_list("err_of", kpis).alias("error_n"),
         )
     )
-    broken = ~F.col("known") | (F.col("duplicates") > 0) | (F.col("failed") > 0)
+    broken = F.expr("NOT known OR duplicates > 0 OR failed > 0 OR bad_keys > 0")
     return verdicts(counted, broken, threshold)
 
 
 def mismatch_details(
-    judged: DataFrame,
-    tally: DataFrame,
-    kpis: Sequence[str],
-    by: Sequence[str] = SLICE,
-    always: bool = False,
+    judged: DataFrame, tally: DataFrame, kpis: Sequence[str], always: bool = False
 ) -> DataFrame:
     """The differing KPIs of each entity, in the order of the slice's KPI list; for
     slices judged as mismatching, or with ``always`` for all that could be judged.
     """
     reported = F.col("status") != STATUS_FAILED if always else F.col("status") == STATUS_MISMATCH
-    slices = judged.where(reported).select(*{*SLICE, *by}, "labels", "places", "restricted")
-    words = F.array(*words_of("err", kpis))
+    slices = judged.where(reported).select(*SLICE, *BY, "labels", "places")
+    words = F.array(*words_of("err", kpis)).cast("array<bigint>")
     rows = (
         tally.where(F.col(ENTITY).isNotNull())
-        .select(*by, "is_listed", ENTITY, words.alias("words"))
-        .join(slices, list(by))
-        .where(~F.col("restricted") | F.col("is_listed"))
+        .select(*BY, ENTITY, words.alias("words"))
+        .join(slices, BY)
     )
 
     def is_bad(place: Column) -> Column:
@@ -276,18 +295,28 @@ def run_batch(
 ) -> None:
     """Runs a batch and adds to three tables: the ledger (a row when tasks start and
     one when they end), the task results and the mismatch details. A failed run is
-    repeated under the same name.
+    repeated under the same name and replaces all it had written. The task list is fixed
+    at the start: it may be read from the ledger that is written to. Tables in between
+    are removed at the end.
     """
-    write_run(running_rows(tasks, at), ledger, run, ("seq",))
-    batch = reconcile_batch(tasks, new, old, kpis, materialize=True, **options)
-    write_run(batch.details, details, run)
-    write_run(result_rows(batch.results, tasks, at), task_results, run)
-    write_run(outcome_rows(batch.results, tasks, at), ledger, run, ("seq",))
+    with passing_tables(tasks.sparkSession):
+        tasks = written(tasks)
+        write_run(running_rows(tasks, at), ledger, run, seq=0)
+        batch = reconcile_batch(tasks, new, old, kpis, materialize=True, **options)
+        write_run(batch.details, details, run)
+        write_run(result_rows(batch.results, tasks, at), task_results, run)
+        write_run(outcome_rows(batch.results, tasks, at), ledger, run, seq=1)
+
+
+def _renumbered(places: list[int]) -> Column:
+    """Places among the columns that are used at all; -1 for an unknown KPI stays."""
+    used = F.array(*[F.lit(p) for p in places]).cast("array<int>")
+    return F.transform("places", lambda p: (F.array_position(used, p) - 1).cast("int"))
 
 
 def _over_list(prefix: str, kpis: Sequence[str]) -> Column:
     """Sum of a count over the slice's KPI list; a KPI listed twice counts twice."""
-    counts = F.array(*[F.col(f"{prefix}{k}") for k in kpis]).cast("array<bigint>")
+    counts = F.array(*[f"{prefix}_{n}" for n in range(len(kpis))]).cast("array<bigint>")
     total = F.aggregate(
         "places",
         F.lit(0).cast("bigint"),

@@ -26,10 +26,12 @@ def summarize(
         F.count_if(is_matched()).alias("matched"),
         F.count_if(is_duplicated()).alias("duplicated"),
         F.coalesce(F.sum("n_failed"), F.lit(0)).alias("failed"),
+        F.coalesce(F.sum(F.col("bad_new") + F.col("bad_old")), F.lit(0)).alias("bad_keys"),
         F.coalesce(F.sum("n_bad"), F.lit(0)).cast("bigint").alias("error_n"),
     )
     counted = totals.withColumn("all_n", F.col("matched") * n_kpis)
-    return verdicts(counted, F.col("duplicated") + F.col("failed") > 0, threshold).select(
+    broken = F.col("duplicated") + F.col("failed") + F.col("bad_keys") > 0
+    return verdicts(counted, broken, threshold).select(
         *by, "all_n", "right_n", "error_n", "rate", "status"
     )
 
@@ -42,13 +44,12 @@ def report_details(
     always: bool = False,
 ) -> DataFrame:
     """The differing KPIs of each entity, where the verdict is a mismatch or with
-    ``always`` everywhere. Without slice columns the verdict is one value, which
-    filters as a subquery.
+    ``always`` wherever there is one: a slice that failed has no details. Without slice
+    columns the verdict is one value, which filters as a subquery.
     """
     details = mismatch_detail(cmp, [*by, ENTITY])
-    if always:
-        return details
-    verdict = summarize(cmp, by, n_kpis, threshold).where(F.col("status") == STATUS_MISMATCH)
+    reported = F.col("status") != STATUS_FAILED if always else F.col("status") == STATUS_MISMATCH
+    verdict = summarize(cmp, by, n_kpis, threshold).where(reported)
     if by:
         return details.join(verdict.select(*by), list(by), "left_semi")
     return details.where(verdict.exists())

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slicecheck.functions.text import kpi_name, split_list, stamp_long
+from slicecheck.functions.text import day_int, kpi_name, split_list, stamp_long
 from slicecheck.operators.batches import number_rows
 from slicecheck.settings import (
     ENTITY,
@@ -28,16 +29,30 @@ def generate_tasks(
     period: str = SHEET_PERIOD,
     slots: Iterable[tuple[int, int]] = ((SHEET_DAY, SHEET_TIME),),
 ) -> DataFrame:
-    """One task sheet per row of the model list and slot; the day is entered in
-    three further date fields of the sheet as well.
-    """
-    rows = [F.struct(F.lit(d).alias("start_day"), F.lit(t).alias("start_time")) for d, t in slots]
-    day = F.col("start_day")
-    return models.select("motype", F.lit(period).alias("period"), F.inline(F.array(*rows))).select(
-        "*", *[day.alias(f"sheet_day_{n}") for n in (1, 2, 3)]
+    """One task sheet per row of the model list and slot."""
+    # One literal, however many slots there are.
+    rows = json.dumps([{"start_day": int(d), "start_time": int(t)} for d, t in slots])
+    slot = F.from_json(F.lit(rows), "array<struct<start_day:int,start_time:int>>")
+    return _sheets(models.select("motype", F.lit(period).alias("period"), F.inline(slot)))
+
+
+def generate_tasks_range(
+    models: DataFrame, first_day: Column, last_day: Column, times: Column, period: str = SHEET_PERIOD
+) -> DataFrame:
+    """One task sheet per row of ``models``, day of a range (dates) and slot of the day (an
+    array of ints). Days and times are columns of ``models``, or literals."""
+    days = F.explode(F.sequence(first_day, last_day, F.expr("interval 1 day"))).alias("day")
+    dated = models.select("motype", F.lit(period).alias("period"), days, times.alias("times"))
+    return _sheets(
+        dated.select("motype", "period", day_int(F.col("day")).alias("start_day"), F.explode("times").alias("start_time"))
     )
 
 
+def _sheets(slots: DataFrame) -> DataFrame:
+    """The day is entered in three further date fields of the sheet as well."""
+    return slots.select("*", *[F.col("start_day").alias(f"sheet_day_{n}") for n in (1, 2, 3)])
+
+
 def by_slice(tasks: DataFrame) -> DataFrame:
     """Tasks with the columns of the slice they check. The period is lower-cased as
     in table names.
@@ -157,10 +172,18 @@ def outcome_rows(results: DataFrame, tasks: DataFrame, at: Column | None = None)
 
 def latest_status(ledger: DataFrame) -> DataFrame:
     """The last ledger row of each task. The ledger is only appended to; a maximum
-    combines map-side, so tasks with a long history cost no more than others.
+    combines map-side, so tasks with a long history cost no more than others. Stamps are
+    seconds: rows of one run stay together, in the order in which runs began and then by
+    name, so that a run which begins in the second another one ends comes after it.
     """
-    row = F.struct(*[c for c in ledger.columns if c != "task_id"])
-    last = ledger.groupBy("task_id").agg(F.max_by(row, F.struct("stamp", "seq")).alias("last"))
+    row = F.struct(*[c for c in ledger.columns if c != "task_id"]).alias("row")
+    of_run = ["run"] if "run" in ledger.columns else []
+    runs = ledger.groupBy("task_id", *of_run).agg(
+        F.min("stamp").alias("began"),
+        F.max_by(row, F.struct("seq", "stamp") if of_run else F.struct("stamp", "seq")).alias("row"),
+    )
+    order = F.struct("began", *of_run)
+    last = runs.groupBy("task_id").agg(F.max_by("row", order).alias("last"))
     return last.select("task_id", "last.*")
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,16 +25,40 @@ STATUS_RUNNING = 3
 SLICE = ["motype", "period", "sd", "st"]
 
 
+_owners: list[list[str]] = []
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read from there, so that
     every plan built on it sees the same rows, also after executors are lost. Being
     a table, it is read by column and its size is known to the planner.
     """
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid4().hex}"
+    if _owners:
+        _owners[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``written`` makes inside are removed at the end, for callers that have
+    written their results elsewhere by then.
+    """
+    _owners.append([])
+    try:
+        yield
+    finally:
+        for path in _owners.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in any store that Spark can write to."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder named by the cluster; a temporary one in local mode only."""
     context = spark.sparkContext

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slicecheck.functions.names import table_name
 from slicecheck.operators.casting import typed_projection
 from slicecheck.settings import ENTITY
+from slicecheck.sources.tables import Tables
 
 
 def jdbc_options(
@@ -36,6 +38,23 @@ def jdbc_options(
     }
 
 
+def old_tables(
+    spark: SparkSession,
+    models: Iterable[tuple[str, str]],
+    options: Callable[[str], dict[str, str]],
+    first_day: int,
+    last_day: int,
+    read: Callable[[dict[str, str]], DataFrame] | None = None,
+) -> Tables:
+    """The old store's tables of some models for ``facts_of``, each read in parallel, with
+    the range of days pushed into the database. ``options`` gives a table's, by name (see
+    :func:`jdbc_options`). Names of columns may be in upper case.
+    """
+    load = read or (lambda own: spark.read.format("jdbc").options(**own).load())
+    days = F.col("sd").between(first_day, last_day)
+    return {(m, p.lower()): load(options(table_name(m, p))).where(days) for m, p in models}
+
+
 def read_old_slice(
     spark: SparkSession,
     options: dict[str, str],

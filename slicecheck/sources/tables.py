@@ -8,13 +8,15 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slicecheck.functions.names import kpi_columns, table_name
-from slicecheck.operators.casting import typed_projection
-from slicecheck.settings import ENTITY, SLICE
+from slicecheck.settings import ENTITY
 
 # (model, period) to the KPIs of its table, in their order.
 Catalog = dict[tuple[str, str], list[str]]
+# (model, period) to its table.
+Tables = dict[tuple[str, str], DataFrame]
 
 
 def use_database(spark: SparkSession, name: str) -> None:
@@ -32,13 +34,19 @@ def kpi_table(
     return spark.table(qualified_name(motype, period, database))
 
 
+def own_kpis(df: DataFrame) -> list[str]:
+    """KPI columns of a table under their usual names. Spark does not tell upper case from
+    lower in names, and databases often give upper case, so neither do we."""
+    return kpi_columns([c.lower() for c in df.columns])
+
+
 def table_kpis(
     spark: SparkSession, motype: str, period: str, database: str | None = None
 ) -> list[str] | None:
     """KPI columns of a catalog table, None if there is no such table."""
     if not spark.catalog.tableExists(qualified_name(motype, period, database)):
         return None
-    return kpi_columns(kpi_table(spark, motype, period, database))
+    return own_kpis(kpi_table(spark, motype, period, database))
 
 
 def slice_scan(df: DataFrame, start_day: int, start_time: int, kpis: Sequence[str]) -> DataFrame:
@@ -49,12 +57,30 @@ def slice_scan(df: DataFrame, start_day: int, start_time: int, kpis: Sequence[st
     return df.where(slot).select(ENTITY, *kpis)
 
 
+def task_models(tasks: DataFrame) -> list[tuple[str, str]]:
+    """The (model, period) that tasks name: no other table needs to be read. One row per
+    model reaches the driver."""
+    named = tasks.select("motype", F.lower("period").alias("period")).distinct()
+    return sorted((r.motype, r.period) for r in named.dropna().collect())
+
+
+def model_tables(
+    spark: SparkSession, models: Iterable[tuple[str, str]], database: str | None = None
+) -> Tables:
+    """The tables of (model, period) that the catalog has."""
+    names = {(m, p.lower()): qualified_name(m, p, database) for m, p in models}
+    return {model: spark.table(name) for model, name in names.items() if spark.catalog.tableExists(name)}
+
+
+def catalog_of(tables: Tables) -> Catalog:
+    return {model: own_kpis(df) for model, df in tables.items()}
+
+
 def model_catalog(
     spark: SparkSession, models: Iterable[tuple[str, str]], database: str | None = None
 ) -> Catalog:
     """The KPIs of each (model, period); one without a table is left out."""
-    found = {(m, p.lower()): table_kpis(spark, m, p, database) for m, p in models}
-    return {model: kpis for model, kpis in found.items() if kpis is not None}
+    return catalog_of(model_tables(spark, models, database))
 
 
 def value_columns(catalog: Catalog) -> list[str]:
@@ -62,33 +88,60 @@ def value_columns(catalog: Catalog) -> list[str]:
 
 
 def load_models(spark: SparkSession, catalog: Catalog, database: str | None = None) -> DataFrame:
-    """The tables of a catalog as one fact table ``SLICE, mo`` and value columns.
+    """The tables of a catalog as one fact table, see :func:`facts_of`."""
+    return facts_of(spark, model_tables(spark, catalog, database), catalog)
+
+
+def facts_of(spark: SparkSession, tables: Tables, catalog: Catalog) -> DataFrame:
+    """Tables of models as one fact table ``SLICE, mo`` and value columns.
 
     Models have different KPIs, often without any in common. Each model's first KPI
     is put into ``v1`` and so on, so that the table is as wide as the widest model
-    and not as all KPIs together. Both copies must be loaded by one catalog; a KPI
-    that this copy lacks is null, and a model without a table here has no rows.
+    and not as all KPIs together. Both copies must be laid out by one catalog, that of
+    the new copy. A KPI that this copy lacks is null, and a model without a table here has
+    no rows: hand the old copy's own catalog to the batch, which fails such slices.
+    Values and keys keep their types, so that what is no number is noticed there.
     """
     columns = value_columns(catalog)
+    kinds = _value_types(tables, catalog, columns)
     facts = []
-    for (motype, period), kpis in catalog.items():
-        present = table_kpis(spark, motype, period, database)
-        if present is None:
+    for model, kpis in catalog.items():
+        if model not in tables:
             continue
+        df = tables[model]
+        present = own_kpis(df)
         values = [F.col(k) if k in present else F.lit(None) for k in kpis]
         values += [F.lit(None)] * (len(columns) - len(kpis))
-        table = kpi_table(spark, motype, period, database).select(
-            F.lit(motype).alias("motype"),
-            F.lit(period).alias("period"),
-            F.col("sd").cast("int").alias("sd"),
-            F.col("st").cast("int").alias("st"),
-            ENTITY,
-            *[value.alias(column) for value, column in zip(values, columns)],
+        facts.append(
+            df.select(
+                F.lit(model[0]).alias("motype"),
+                F.lit(model[1]).alias("period"),
+                F.col("sd").cast("int").alias("sd"),
+                F.col("st").cast("int").alias("st"),
+                F.col(ENTITY).cast(kinds[ENTITY]).alias(ENTITY),
+                *[value.cast(kinds[c]).alias(c) for value, c in zip(values, columns)],
+            )
         )
-        facts.append(typed_projection(table, columns, SLICE))
     return reduce(DataFrame.unionAll, facts) if facts else _no_facts(spark, columns)
 
 
+def _value_types(tables: Tables, catalog: Catalog, columns: Sequence[str]) -> dict[str, str]:
+    """Text where some model keeps text in that place, else the number types of before."""
+    text = {ENTITY: False} | dict.fromkeys(columns, False)
+    whole = True
+    for model, kpis in catalog.items():
+        if model in tables:
+            fields = {f.name.lower(): f.dataType for f in tables[model].schema.fields}
+            text[ENTITY] |= isinstance(fields[ENTITY], T.StringType)
+            whole &= isinstance(fields[ENTITY], T.IntegralType)
+            for k, c in zip(kpis, columns):
+                text[c] |= isinstance(fields.get(k), T.StringType)
+    kinds = {c: "string" if is_text else "double" for c, is_text in text.items()}
+    if not text[ENTITY]:
+        kinds[ENTITY] = "bigint" if whole else "decimal(38,9)"
+    return kinds
+
+
 def named_view(df: DataFrame, purpose: str) -> str:
     """Registers ``df`` for SQL under a name of its own, so that checks running in
     one session cannot take each other's views.

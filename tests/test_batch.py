@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from slicecheck.plans import tasks as task_plans
-from slicecheck.plans.batch import check_plans, reconcile_batch, route, run_batch
-from slicecheck.settings import SLICE, written
+from slicecheck.plans.batch import asked_for, check_plans, reconcile_batch, route, run_batch
+from slicecheck.settings import ensure_checkpoint_dir, written
+from slicecheck.sources.tables import catalog_of, facts_of, value_columns
 from slicecheck.sources.tasks import TASK_SCHEMA, pending_tasks
 
 KPIS = ["i1", "i2"]
@@ -148,15 +151,69 @@ def test_junk_fails_its_own_slice_only(spark, sides):
     assert results["m", 1]["status"] == -1  # the KPI with junk is not checked
 
 
-def test_long_task_lists_give_the_same(spark, sides, monkeypatch):
+def test_joined_slices_give_the_same(spark, sides):
     asked = [task(1, 1), task(2, 5, "i2", "1,2"), task(3, 6)]
-    routed = run(spark, sides, *asked)
-    monkeypatch.setattr(route, "__defaults__", (1,))
-    assert run(spark, sides, *asked) == routed
-    groups = written(check_plans(spark.createDataFrame(asked, TASK_SCHEMA), KPIS))
-    assert route(sides, groups, KPIS)[2] == SLICE
-    new, _, by = route(sides, groups, KPIS, limit=3)
-    assert by == ["slice_no"] and new.count() == 6
+    sent = run(spark, sides, *asked)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert run(spark, sides, *asked) == sent
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_only_what_is_asked_for_is_read_and_shuffled(spark, tmp_path):
+    columns = ", ".join(f"CAST(id AS DOUBLE) AS i{n}" for n in range(20))
+    text = f"""SELECT 'm' AS motype, 'h' AS period, 20240101 AS sd, CAST(id % 50 AS INT) AS st,
+               id AS mo, {columns} FROM range(1000)"""
+    spark.sql(text).write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    kpis = [f"i{n}" for n in range(20)]
+    tasks = spark.createDataFrame([task(1, 3, "i3"), task(2, 4, "i3,i7", "4,54")], TASK_SCHEMA)
+    groups = written(check_plans(tasks, kpis))
+    asked = asked_for(groups)
+    assert (asked.first_day, asked.last_day, asked.places, asked.restricted) == (20240101, 20240101, [3, 7], True)
+    new, _ = route([facts, facts], groups, asked, ["i3", "i7"])
+    assert new.columns == ["slice_no", "mo", "i3", "i7"]
+    assert new.count() == 20 + 2  # rows of two slices, one of them cut to its entities
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "i3" in plan and "i5" not in plan
+    batch = reconcile_batch(tasks, facts, facts, kpis)
+    assert {r["st"]: (r["all_n"], r["status"]) for r in batch.results.collect()} == {3: (20, 1), 4: (4, 1)}
+
+
+def test_keys_that_are_no_numbers_fail_their_slice(spark, sides):
+    new, old = sides
+    text = old.withColumn("mo", F.when((F.col("st") == 0) & (F.col("mo") == 2), "a1").otherwise(F.col("mo").cast("string")))
+    results, _ = run(spark, (new, text), task(1, 0), task(2, 5))
+    assert [results["m", st]["status"] for st in (0, 5)] == [2, -1]
+    row = results["m", 0]
+    assert (row["matched"], row["only_new"], row["only_old"], row["null_keys"], row["bad_keys"]) == (2, 1, 0, 0, 1)
+    fractions = old.withColumn("mo", F.col("mo") + 0.5)
+    results, _ = run(spark, (new, fractions), task(1, 0))
+    assert results["m", 0]["bad_keys"] == 3 and results["m", 0]["matched"] == 0
+
+
+def test_old_copy_without_a_kpi_fails_what_checks_it(spark, sides):
+    catalog, old = {("m", "h"): KPIS}, {("m", "h"): ["i1"]}
+    asked = [task(1, 1), task(2, 5, "i1"), task(3, 0, "I2")]
+    results, _ = run(spark, sides, *asked, catalog=catalog, old_catalog=old)
+    assert [results["m", st]["status"] for st in (1, 5, 0)] == [2, -1, 2]
+    results, _ = run(spark, sides, *asked, catalog=catalog, old_catalog={})
+    assert {r["status"] for r in results.values()} == {2}
+
+
+def test_names_in_upper_case_are_the_same_names(spark, sides):
+    new, old = sides
+    slices = ["sd", "st", "mo", "i1", "i2"]
+    tables = {("m", "h"): new.where("motype = 'm'").select(*slices)}
+    upper = {("m", "h"): old.where("motype = 'm'").select(*[F.col(c).alias(c.upper()) for c in slices])}
+    catalog, old_catalog = catalog_of(tables), catalog_of(upper)
+    assert catalog == old_catalog == {("m", "h"): KPIS}
+    facts = facts_of(spark, tables, catalog), facts_of(spark, upper, catalog)
+    asked = spark.createDataFrame([task(1, 1), task(2, 0)], TASK_SCHEMA)
+    batch = reconcile_batch(asked, *facts, value_columns(catalog), catalog, old_catalog)
+    assert {r["st"]: (r["all_n"], r["error_n"], r["status"]) for r in batch.results.collect()} == {1: (6, 3, -1), 0: (6, 0, 1)}
 
 
 def test_no_tasks(spark, sides):
@@ -183,6 +240,50 @@ def test_runs_on_disk(spark, sides, tmp_path):
     assert [r["task_id"] for r in pending_tasks(more, spark.read.parquet(paths[0])).collect()] == [3]
 
 
+def test_a_repeated_run_without_mismatches_leaves_no_details(spark, sides, tmp_path):
+    tasks = spark.createDataFrame([task(1, 1)], TASK_SCHEMA)
+    paths = [str(tmp_path / name) for name in ("ledger", "results", "details")]
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    held = set(folder.iterdir())
+    run_batch(tasks, *sides, KPIS, "r1", *paths, at=at())
+    assert spark.read.parquet(paths[2]).count() == 2
+    run_batch(tasks, sides[0], sides[0], KPIS, "r1", *paths, at=at())
+    assert spark.read.parquet(paths[2]).count() == 0
+    assert spark.read.parquet(paths[1]).first()["status"] == 1
+    assert set(folder.iterdir()) == held  # nothing in between stays
+
+
+def test_tasks_may_come_from_the_ledger_of_the_run(spark, sides, tmp_path):
+    paths = [str(tmp_path / name) for name in ("ledger", "results", "details")]
+    sheet = spark.createDataFrame([task(1, 1), task(2, 0)], TASK_SCHEMA)
+    run_batch(sheet.where("task_id = 2"), *sides, KPIS, "a", *paths, at=at())
+    pending = pending_tasks(sheet, spark.read.parquet(paths[0]))
+    run_batch(pending, *sides, KPIS, "b", *paths, at=at())
+    assert spark.read.parquet(paths[1]).where("run = 'b'").count() == 1
+
+
+def test_runs_in_one_second_keep_their_order(spark):
+    rows = [(1, 0, 3, 100, "a"), (1, 1, -1, 101, "a"), (1, 0, 3, 101, "b")]
+    ledger = spark.createDataFrame(rows, "task_id long, seq int, status int, stamp long, run string")
+    assert task_plans.latest_status(ledger).first()["status"] == 3
+
+
+def test_names_of_runs_are_folder_names(spark, sides, tmp_path):
+    tasks = spark.createDataFrame([task(1, 1)], TASK_SCHEMA)
+    with pytest.raises(ValueError, match="folder name"):
+        run_batch(tasks, *sides, KPIS, "a/b", *[str(tmp_path / n) for n in "abc"])
+
+
+def test_many_slots(spark):
+    models = spark.createDataFrame([("a",)], "motype string")
+    slots = [(20240101 + d, t) for d in range(300) for t in range(24)]
+    assert task_plans.generate_tasks(models, "h", slots).count() == 7200
+    days = F.lit("2015-01-01").cast("date"), F.lit("2024-12-28").cast("date")
+    found = task_plans.generate_tasks_range(models, *days, F.sequence(F.lit(0), F.lit(23)))
+    assert found.count() == 3650 * 24
+    assert found.agg(F.min("start_day"), F.max("sheet_day_3")).first() == (20150101, 20241228)
+
+
 def test_more_kpis_than_bits_in_a_word(spark):
     kpis = [f"i{n}" for n in range(130)]
     base = spark.range(50).select(

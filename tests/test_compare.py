@@ -84,6 +84,8 @@ def test_null_keys_match_nothing(spark):
         "old_rows": 3,
         "new_null_keys": 2,
         "old_null_keys": 2,
+        "new_bad_keys": 0,
+        "old_bad_keys": 0,
         "matched_keys": 1,
         "only_new_keys": 0,
         "only_old_keys": 0,
@@ -93,11 +95,14 @@ def test_null_keys_match_nothing(spark):
 def test_text_side_is_converted_and_junk_fails_the_slice(spark):
     new = frame(spark, (1, 1.0, 1.0), (2, 1.0, None), (3, 1.0, 1.0))
     text = "mo string, i1 string, i2 string"
-    good = frame(spark, ("1", "1.005", "1"), ("2", "1", "junk"), ("x", "junk", "1"), schema=text)
+    good = frame(spark, ("1", "1.005", "1"), ("2", "1", "junk"), schema=text)
     assert tuple(summary(new, good)) == (4, 4, 0, 1.0, 1)  # junk is never compared here
+    key = good.union(frame(spark, ("x", "junk", "1"), schema=text))
+    assert tuple(summary(new, key)) == (4, 4, 0, 1.0, 2)  # a key that is no number
+    assert keys.side_counts(new, key, ["mo"]).first()["old_bad_keys"] == 1
     bad = frame(spark, ("1", "1", "1"), ("3", "1", "junk"), schema=text)
     assert summary(new, bad)["status"] == 2
-    counts = {r["kpi"]: r["n"] for r in cast_failures(good, KPIS).collect()}
+    counts = {r["kpi"]: r["n"] for r in cast_failures(key, KPIS).collect()}
     assert counts == {"i1": 1, "i2": 1}
 
 
@@ -108,6 +113,28 @@ def test_typed_projection_drops_other_columns(spark):
     assert tuple(typed.first()) == (7, 1.0, 2.5)
 
 
+def test_exact_difference_keeps_types(spark):
+    schema = "mo bigint, i1 string, i2 bigint"
+    new = frame(spark, (1, "abc", 9007199254740993), (2, "1", 5), schema=schema)
+    old = frame(spark, (1, "xyz", 9007199254740992), (2, "1.0", 5), schema=schema)
+    fields = {r["mo"]: r["fields"] for r in compare.exact_field_diff(new, old, ["mo"], KPIS).collect()}
+    assert fields == {1: "[i1, i2]", 2: "[i1]"}
+
+
+def test_fractional_keys_are_not_cut_off(spark):
+    side = frame(spark, (1.2, 1.0, 1.0), (1.7, 1.0, 1.0), (2.0, 1.0, 1.0), schema="mo double, i1 double, i2 double")
+    assert keys.duplicate_keys(side, side, ["mo"]).isEmpty()
+    assert tuple(summary(side, side)) == (2, 2, 0, 1.0, 2)
+
+
+def test_junk_is_noticed_in_long_form(spark):
+    text = "mo string, i1 string, i2 string"
+    new = compare.melt(frame(spark, (1, 1.0, None)), ["mo"], KPIS)
+    old = compare.melt(frame(spark, ("1", "junk", "junk"), schema=text), ["mo"], KPIS)
+    found = {r["kpi"]: (r["is_bad"], r["is_failed"]) for r in compare.compare_long(new, old, ["mo"]).collect()}
+    assert found == {"i1": (False, True), "i2": (False, False)}
+
+
 def test_exact_difference_is_null_safe(spark):
     new = frame(spark, (1, None, 1.0), (2, None, 2.0), (3, 1.0, 3.0), (3, 1.0, 3.0), (4, 1.0, 1.0))
     old = frame(spark, (1, None, 1.0), (2, 1.0, 2.0), (4, 1.0, 1.001))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from slicecheck.plans.batch import check_plans, reconcile_batch, route
+from slicecheck.plans.batch import asked_for, check_plans, reconcile_batch, route
 from slicecheck.settings import written
 from slicecheck.sources import tables
 from slicecheck.sources.old_store import jdbc_options
@@ -81,7 +81,7 @@ def test_tasks_prune_days(spark, database):
     facts = tables.load_models(spark, {("d", "h"): ["i1"]}, database)
     asked = [(day, "d", "h", day, 0, None, None) for day in (20240102, 20240104)]
     groups = written(check_plans(spark.createDataFrame(asked, TASK_SCHEMA), ["v1"]))
-    routed = route([facts, facts], groups, ["v1"])[0]
+    routed = route([facts, facts], groups, asked_for(groups), ["v1"])[0]
     assert routed.count() == 120
     plan = routed._jdf.queryExecution().executedPlan().toString()
     # The range of days prunes when the query is planned, the days of the tasks when it runs.
