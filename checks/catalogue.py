@@ -473,6 +473,12 @@ def batch_details_all(spark, sf_dir):
     return _batch(spark, sf_dir, always=True)[1].details
 
 
+@query(_batch_detail_sql("r.status <> 2"), ["group_fields", "group_results"])
+def batch_details_passing(spark, sf_dir):
+    """At this threshold every slice that can be judged passes; all details are of such."""
+    return _batch(spark, sf_dir, threshold=0.5, always=True)[1].details
+
+
 _TASK_RESULTS = f"""
     SELECT t.task_id, CAST(r.status AS INTEGER) AS status,
            CASE WHEN r.status <> 2 THEN all_n END AS all_n,

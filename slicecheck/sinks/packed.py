@@ -14,6 +14,8 @@ from slicecheck.settings import ENTITY, IDS_PER_CHUNK, SLICE
 # Fixed values of the format.
 CELL_SEPARATOR = "|"
 LINE_END = "\r\n"
+# Types of the columns of a slice.
+SLICE_TYPES = {"motype": "string", "period": "string", "sd": "int", "st": "int"}
 
 
 def exported_columns(columns: Sequence[str]) -> list[str]:
@@ -85,10 +87,22 @@ def write_packed(
     )
 
 
-def read_packed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """The lines of a packed export without headings, with the slice of each."""
-    lines = spark.read.option("lineSep", LINE_END).text(path)
-    return lines.where(F.col("value") != heading(columns))
+def read_packed(
+    spark: SparkSession, path: str, columns: Sequence[str], by: dict[str, str] = SLICE_TYPES
+) -> DataFrame:
+    """The lines of a packed export without headings, with the slice of each. Slice columns
+    have the types of ``by``, so that an id like ``00123`` stays what it is. Each slice has
+    one heading; of lines that read the same, one per slice is taken for it.
+    """
+    schema = ", ".join(["value string", *[f"{name} {kind}" for name, kind in by.items()]])
+    lines = spark.read.schema(schema).option("lineSep", LINE_END).text(path)
+    is_heading = F.col("value") == heading(columns)
+    alike = lines.where(is_heading).groupBy("value", *by).agg(F.count("*").alias("n"))
+    # As rows again, one fewer. Nothing is left as a rule.
+    more = alike.where("n > 1").select(
+        "value", *by, F.explode(F.sequence(F.lit(2).cast("bigint"), F.col("n"))).alias("i")
+    )
+    return lines.where(~is_heading).unionByName(more.drop("i"))
 
 
 def packed_blobs(

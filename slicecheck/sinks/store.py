@@ -8,7 +8,8 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame
 
-from slicecheck.settings import SLICE
+from slicecheck.settings import IDS_PER_CHUNK, SLICE, passing_tables
+from slicecheck.sinks.packed import packed_blobs
 
 
 class Store(Protocol):
@@ -36,3 +37,15 @@ def put_blobs(
             client.close()
 
     blobs.foreachPartition(put)
+
+
+def export_blobs(
+    df: DataFrame,
+    columns: Sequence[str],
+    connect: Callable[[], Store],
+    by: Sequence[str] = SLICE,
+    size: int = IDS_PER_CHUNK,
+) -> None:
+    """Packs and sets the rows of ``df``; tables in between are removed at the end."""
+    with passing_tables(df.sparkSession):
+        put_blobs(packed_blobs(df, columns, by, size), connect, by)

@@ -13,7 +13,8 @@ from checks import fixtures as fx
 from slicecheck.operators.batches import key_batches, number_rows
 from slicecheck.settings import SLICE
 from slicecheck.sinks import packed
-from slicecheck.sinks.store import put_blobs
+from slicecheck.settings import ensure_checkpoint_dir
+from slicecheck.sinks.store import export_blobs, put_blobs
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -122,6 +123,37 @@ def test_blobs_reach_a_store(spark, tmp_path):
     }
 
 
+def test_read_back_keeps_ids_and_rows_like_the_heading(spark, tmp_path):
+    rows = [("00123", "h", 20240101, 0, 1, "a"), ("00123", "h", 20240101, 0, None, "name")]
+    rows += [("7", "h", 20240102, 5, 2, None)] * 2
+    df = spark.createDataFrame(rows, "motype string, period string, sd int, st int, mo long, name string")
+    # The name of the first column alone, so that a cell can look like the heading.
+    packed.write_packed(df, ["name"], str(tmp_path / "packed"))
+    back = packed.read_packed(spark, str(tmp_path / "packed"), ["name"])
+    found = sorted(tuple(r[c] for c in ("motype", "sd", "st", "value")) for r in back.collect())
+    assert found == [
+        ("00123", 20240101, 0, "a"), ("00123", 20240101, 0, "name"),
+        ("7", 20240102, 5, ""), ("7", 20240102, 5, ""),
+    ]
+
+
+def test_an_export_leaves_nothing_in_between(spark, tmp_path):
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    target, held = str(tmp_path), set(folder.iterdir())
+
+    class Files:
+        def set(self, key, value):
+            Path(target, key).write_bytes(value)
+
+        def close(self):
+            pass
+
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 4)], "s string, mo bigint")
+    export_blobs(df, ["mo"], Files, ["s"], 2)
+    assert sorted(f.name for f in tmp_path.iterdir()) == ["a:0", "b:0"]
+    assert set(folder.iterdir()) == held
+
+
 def test_batches_of_one_large_slice(spark):
     """A slice with most of the keys is ranked in several ranges and counts on through them."""
     df = spark.range(20_000).select(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from slicecheck.plans.batch import asked_for, check_plans, reconcile_batch, route
 from slicecheck.settings import written
 from slicecheck.sources import tables
-from slicecheck.sources.old_store import jdbc_options
+from slicecheck.sources.old_store import jdbc_options, old_tables
 from slicecheck.sources.tasks import TASK_SCHEMA, read_models, read_tasks
 
 
@@ -108,6 +108,30 @@ def test_task_and_model_lists(spark, tmp_path):
     assert read_models(spark, str(tmp_path / "models"), "json").first()[0] == "m"
 
 
+def test_old_tables_are_read_one_per_model(spark):
+    asked = []
+
+    def read(options):
+        asked.append(options["dbtable"])
+        return spark.range(6).selectExpr("id AS MO", "CAST(id AS STRING) AS I1", "CAST(20240100 + id AS INT) AS SD", "0 AS ST")
+
+    def options(name):
+        return jdbc_options("jdbc:x", name, 1, 1000, 16)
+
+    found = old_tables(spark, [("m", "H"), ("n", "h")], options, 20240102, 20240103, read)
+    assert asked == ["t_m_h", "t_n_h"] and set(found) == {("m", "h"), ("n", "h")}
+    assert tables.catalog_of(found) == {("m", "h"): ["i1"], ("n", "h"): ["i1"]}
+    facts = tables.facts_of(spark, found, {("m", "h"): ["i1", "i9"]})
+    assert sorted(tuple(r) for r in facts.collect()) == [
+        ("m", "h", 20240102, 0, 2, "2", None), ("m", "h", 20240103, 0, 3, "3", None),
+    ]
+
+
+def test_models_are_those_of_the_tasks(spark):
+    rows = [(1, "m", "H", 1, 0, None, None), (2, "m", "h", 2, 0, None, None), (3, None, "h", 2, 0, None, None)]
+    assert tables.task_models(spark.createDataFrame(rows, TASK_SCHEMA)) == [("m", "h")]
+
+
 def test_database_reads_are_parallel():
     options = jdbc_options("jdbc:x", "kpi", 1, 1000, 16, driver="x.Driver")
     assert options["partitionColumn"] == "mo" and options["numPartitions"] == "16"
