@@ -396,6 +396,20 @@ def group_task_ids(spark, sf_dir):
     return ids.withColumn("task_ids", F.array_join("task_ids", ","))
 
 
+@query(
+    """SELECT motype, lower(period) AS period, start_day AS sd, start_time AS st,
+              row_number() OVER (PARTITION BY motype, lower(period), start_day, start_time
+                                 ORDER BY task_id) - 1 AS chunk,
+              CAST(task_id AS VARCHAR) AS task_ids
+       FROM event_tasks""",
+    ["event_tasks"],
+)
+def group_task_ids_chunks(spark, sf_dir):
+    """Lists of one id, so that slices with several tasks have several lists."""
+    ids = task_plans.group_task_ids(fx.event_tasks(spark, sf_dir), size=1)
+    return ids.withColumn("task_ids", F.array_join("task_ids", ","))
+
+
 def _batch(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, Batch]:
     tasks = fx.event_tasks(spark, sf_dir)
     new, old = fx.events_new(spark, sf_dir), fx.events_old(spark, sf_dir)
@@ -456,6 +470,32 @@ def batch_models(spark, sf_dir):
     return results.select("motype", "sd", "st", *counts, "status")
 
 
+@query(
+    """SELECT g.sd, g.st, coalesce(matched, 0) AS matched,
+              CAST(CASE WHEN coalesce(matched, 0) = 0 OR junk > 0 OR dup > 0 THEN 2
+                        WHEN CAST(3 * matched - error_n AS DOUBLE) / (3 * matched) > 0.99 THEN 1
+                        ELSE -1 END AS INTEGER) AS status
+       FROM (SELECT DISTINCT sd, st FROM event_groups) g
+       LEFT JOIN (SELECT sd, st, count(*) FILTER (NOT (st = 6 AND mo % 4 = 0)) AS matched,
+                         count(*) FILTER (st = 5 AND mo % 3 = 0) AS junk,
+                         count(*) FILTER (st = 6 AND mo % 4 = 0) AS dup,
+                         count(*) FILTER (st = 7 AND i3 IS NOT NULL) AS error_n
+                  FROM events_new WHERE NOT (sd = 20240105 AND st = 3) GROUP BY sd, st) s
+         ON s.sd = g.sd AND s.st = g.st""",
+    ["event_groups", "events_new"],
+)
+def batch_broken(spark, sf_dir):
+    """An old copy as text, with values that are no numbers and keys that are there twice."""
+    tasks = fx.event_tasks(spark, sf_dir).withColumns(
+        {c: F.lit(None).cast("string") for c in ("indicators", "moentities")}
+    )
+    old = fx.events_old(spark, sf_dir)
+    junk = F.when((F.col("st") == 5) & (F.col("mo") % 3 == 0), "n/a").otherwise(F.col("i1").cast("string"))
+    old = old.unionByName(old.where("st = 6 AND mo % 4 = 0")).withColumn("i1", junk)
+    results = reconcile_batch(tasks, fx.events_new(spark, sf_dir), old, fx.EVENT_KPIS).results
+    return results.select("sd", "st", "matched", "status")
+
+
 def _batch_detail_sql(condition: str) -> str:
     return f"""
         SELECT motype, period, sd, st, mo, '[' || string_agg(label, ', ' ORDER BY no) || ']' AS fields
