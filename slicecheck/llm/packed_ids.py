@@ -70,7 +70,7 @@ class LibraryIds:
         self.ends = np.zeros(self.size, bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith(WORD_END)
-        self.chunks = Chunks(self._encode_chunks)
+        self.chunks = Chunks(self._encode_chunks, limit=1_000_000)
 
     def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         plain = [i for i, c in enumerate(chunks) if self._is_word(c)]
