@@ -39,6 +39,19 @@ def text_of(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column], F.lit(""))
 
 
+def bounded_sample(rows: DataFrame, doc_id: str, limit: int) -> DataFrame:
+    """``limit`` rows, the first by a hash of ``doc_id``, or all if there are fewer. Rows far
+    down that order are left out before it is made, so that what tasks hand on together is
+    about ``limit`` rows, not so many from each."""
+    place = F.pmod(F.xxhash64(doc_id), F.lit(1 << 30))
+    n = rows.count()
+    if n > limit:
+        # Ten deviations more than are needed.
+        share = (limit + 10 * limit**0.5) / n
+        rows = rows.where(place < int(share * (1 << 30)))
+    return rows.orderBy(place, doc_id).limit(limit)
+
+
 def map_texts(
     df: DataFrame,
     function: Callable[[list[str], pa.RecordBatch], dict],

@@ -4,8 +4,8 @@ One pass over the texts gives counts and ratios of each. The forest is grown fro
 bounded sample of labelled rows: each tree splits a few of them at random places, and a
 document that random splits set apart early, on average over all trees, is anomalous.
 The score is 2^(-mean path / usual path), in (0, 1). From which score on a document is
-dropped is taken from the scores of all labelled rows: the lowest bound at which no more
-than a given share of the good ones (quality 1) would go.
+dropped is taken from the scores of all labelled rows that pass the base rules: the lowest
+bound at which no more than a given share of the good ones (quality 1) would go.
 
 Defined cases: a null or empty text has no words and fails the base rules. Without
 labelled rows nothing but the base rules decides. A doc_id with several labels counts
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slicecheck.llm.common import map_texts
+from slicecheck.llm.common import bounded_sample, map_texts
 from slicecheck.settings import written
 
 # Parameters of the forest: labelled rows it may see at most, trees, rows a tree.
@@ -30,7 +30,7 @@ TREES = 100
 TREE_ROWS = 256
 SEED = 20
 # Of the good labelled rows, so many may be dropped.
-GOOD_LOSS = 0.005
+GOOD_LOSS = 0.003
 BINS = 4000
 # Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -40,7 +40,7 @@ WINDOW = 5
 
 FEATURES = [
     "symbol_share", "dup_line_share", "repeat_share", "upper_share",
-    "mark_share", "digit_share", "top_word_share", "word_length",
+    "mark_share", "top_word_share", "word_length",
 ]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -94,7 +94,6 @@ def statistics(text: str) -> tuple[list[int], list[float]]:
         repeats / max(n, 1),
         letters[65:91].sum() / size,
         (letters[33] + letters[63]) / size,
-        letters[48:58].sum() / size,
         max(counts.values(), default=0) / (n + 20),
         min(chars / max(n, 1), 50.0),
     ]
@@ -197,18 +196,15 @@ def judge(
     )
     seen = stats.join(marked, "doc_id")
     # A bounded sample of labelled rows: the first by a hash of the id.
-    sample = (
-        seen.select("features", F.md5(F.col("doc_id").cast("string")).alias("_key"), *COUNTS)
-        .orderBy("_key", *COUNTS, "features")
-        .limit(sample_rows)
-        .collect()
-    )
+    sample = bounded_sample(seen.select("doc_id", "features"), "doc_id", sample_rows).collect()
+    sample.sort(key=lambda r: (r.doc_id, r.features))
     forest = Forest(np.array([r.features for r in sample])) if sample else None
     scored = written(anomaly_scores(stats, forest))
-    bound = calibrated(scored.join(marked, "doc_id"), good_loss)
     base_failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")
     )
+    # What fails the base rules is gone already and says nothing about the bound.
+    bound = calibrated(scored.where(~base_failed).join(marked, "doc_id"), good_loss)
     return scored.select(
         "doc_id",
         *COUNTS,
