@@ -36,7 +36,7 @@ BLOCK_WORDS = 1024
 # Fixed values of the sequence: 2^31, and the odd number next to 2^31 times the golden ratio.
 POINTS, GOLDEN = 1 << 31, 1327217885
 # Slots numbered in one go; buckets of a source's documents (hexadecimal digits).
-RUN, BUCKET_DIGITS = 65536, 4
+RUN, BUCKET_DIGITS = 65536, 3
 # Parts of the cumulative targets for looking points up.
 CELLS = 4096
 
