@@ -7,11 +7,14 @@
 2. Matching: the terms form a trie. A Levenshtein automaton that accepts what is within a
    term's number of edits is intersected with it: states are sets of (trie node, edits so
    far), their transitions are worked out when first met and kept. A word is run through
-   once per piece, however often it occurs.
+   once per piece, however often it occurs. Words near a term that clean sample rows have
+   are words of their own, not misspellings; a term with several of them is matched
+   exactly only.
 3. Context: a match between quotation marks on its line, or near a word of reporting, is
    a quotation; others count as abuse, more so near a word of address.
 4. Score: logistic regression on sums of the matches by edits and context, fitted on
-   sample rows that had no part in the lexicon.
+   sample rows that had no part in the lexicon. Misspelled terms are rare in labelled rows,
+   so toxic rows are used a second time with their terms misspelled.
 
 Only the text enters a score. Defined cases: a null text is empty and gets the score of
 a text without matches. Without labels of both kinds every score is the share of toxic
@@ -22,6 +25,8 @@ that repeat score alike. Texts are read whole.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slicecheck.llm.common import map_texts, stored
+from slicecheck.llm.common import bounded_sample, map_texts, stored
 
 # Parameters: labelled rows used at most; terms kept at most; least evidence for a term.
 SAMPLE_ROWS = 12_000
@@ -37,14 +42,18 @@ MOST_TERMS = 1000
 LEAST_RATIO, LEAST_DOCS, LEAST_WEIGHT = 20.0, 3, 2.0
 # Edits allowed by the length of a term.
 EDITS = ((10, 2), (5, 1), (0, 0))
+# A term with so many clean words near it allows none.
+CROWD = 2
 WINDOW = 80
 # Words that mark a report, and words of address, near a match.
 REPORTING = frozenset("said says say wrote writes called calls quote quoted word term insult slur".split())
 ADDRESS = frozenset("you your yours youre ur u".split())
+# Digits that stand for letters.
+LOOKS_LIKE = {"a": "4", "b": "8", "e": "3", "g": "9", "i": "1", "l": "1", "o": "0", "s": "5", "t": "7"}
 OPENING, CLOSING = "\"“«„‘'", "\"”»“’'"
 
 WORD = re.compile(r"[^\W_]+")
-FEATURES = 7
+FEATURES = 8
 SEEN_LIMIT = 400_000
 
 
@@ -54,15 +63,16 @@ def trained_on(doc_id: Column) -> Column:
 
 
 class TermAutomaton:
-    """Levenshtein automata of all terms, intersected with their trie."""
+    """Levenshtein automata of all terms, intersected with their trie. Terms in ``exact``
+    allow no edits."""
 
-    def __init__(self, terms: list[str], limit: int = 200_000):
+    def __init__(self, terms: list[str], exact: frozenset[str] = frozenset(), limit: int = 200_000):
         self.children: list[dict[str, int]] = [{}]
         self.term = [-1]
         self.budget = [0]
         self.limit = limit
-        for number, term in enumerate(terms):
-            edits = next(e for n, e in EDITS if len(term) >= n)
+        self.edits = [0 if t in exact else next(e for n, e in EDITS if len(t) >= n) for t in terms]
+        for number, (term, edits) in enumerate(zip(terms, self.edits)):
             node = 0
             self.budget[0] = max(self.budget[0], edits)
             for letter in term:
@@ -76,12 +86,11 @@ class TermAutomaton:
                 node = nxt
                 self.budget[node] = max(self.budget[node], edits)
             self.term[node] = number
-        self.edits = [next(e for n, e in EDITS if len(t) >= n) for t in terms]
         self._reset()
 
     def _reset(self) -> None:
         self.states: list[tuple] = []
-        self.accepts: list[tuple[int, int] | None] = []
+        self.accepts: list[list[tuple[int, int]]] = []
         self.numbers: dict[tuple, int] = {}
         self.moves: dict[tuple[int, str], int] = {}
         self.start = self._state(self._skip({0: 0}))
@@ -95,7 +104,7 @@ class TermAutomaton:
             found = [
                 (e, self.term[n]) for n, e in key if self.term[n] >= 0 and e <= self.edits[self.term[n]]
             ]
-            self.accepts.append(min(found) if found else None)
+            self.accepts.append(sorted(found))
         return number
 
     def _skip(self, members: dict[int, int]) -> dict[int, int]:
@@ -129,6 +138,11 @@ class TermAutomaton:
 
     def match(self, word: str) -> tuple[int, int] | None:
         """(edits, term) of the nearest term within its edits, or None."""
+        found = self.matches(word)
+        return found[0] if found else None
+
+    def matches(self, word: str) -> list[tuple[int, int]]:
+        """(edits, term) of all terms that the word is within the edits of, nearest first."""
         if len(self.moves) > self.limit:
             self._reset()
         state = self.start
@@ -138,15 +152,23 @@ class TermAutomaton:
                 nxt = self.moves[state, letter] = self._move(state, letter)
             state = nxt
             if not self.states[state]:
-                return None
+                return []
         return self.accepts[state]
 
 
 class Matcher:
     """Features of a text from the matches of a lexicon."""
 
-    def __init__(self, terms: list[str], weights: list[float]):
-        self.automaton, self.weights = TermAutomaton(terms), weights
+    def __init__(
+        self,
+        terms: list[str],
+        weights: list[float],
+        known: frozenset[str] = frozenset(),
+        crowded: frozenset[str] = frozenset(),
+    ):
+        self.automaton, self.weights, self.known = TermAutomaton(terms, crowded), weights, known
+        self.crowded = [t in crowded for t in terms]
+        self.flexible = frozenset(t for t, e in zip(terms, self.automaton.edits) if e)
         self.seen: dict[str, tuple[int, int] | None] = {}
 
     def features(self, text: str) -> list[float]:
@@ -155,11 +177,12 @@ class Matcher:
         if len(self.seen) > SEEN_LIMIT:
             self.seen = {}
         for word in words.difference(self.seen):
-            self.seen[word] = self.automaton.match(word)
+            self.seen[word] = None if word in self.known else self.automaton.match(word)
         hits = {w: m for w in words if (m := self.seen[w]) is not None}
         if not hits:
             return [0.0] * FEATURES
-        abuse, quoted, near = [0.0, 0.0, 0.0], 0.0, 0.0
+        # Plain uses by edits, and crowded terms once each: repeats of one prove little.
+        abuse, quoted, near = [0.0, 0.0, 0.0, 0.0], 0.0, 0.0
         terms = set()
         for m in WORD.finditer(low):
             hit = hits.get(m.group())
@@ -168,12 +191,14 @@ class Matcher:
             edits, term = hit
             weight = self.weights[term]
             context = context_score(low, m.start(), m.end())
-            abuse[edits] += weight * max(context, 0.0)
+            crowded = self.crowded[term]
+            if not crowded or term not in terms:
+                abuse[3 if crowded else edits] += weight * max(context, 0.0)
             quoted += weight * max(-context, 0.0)
             near += context > 1
             if edits == 0 and context > 0:
                 terms.add(term)
-        heaviest = max((self.weights[t] for t in terms), default=0.0)
+        heaviest = max((self.weights[t] for t in terms if not self.crowded[t]), default=0.0)
         sums = np.log1p([*abuse, quoted, near]).tolist()
         return [*sums, np.log1p(len(terms)).item(), heaviest]
 
@@ -214,8 +239,25 @@ def sketch(words: list[str]) -> int:
     return min(xxhash.xxh64_intdigest(" ".join(words[i : i + 5])) for i in range(n)) >> 1
 
 
-def learn_lexicon(sample: DataFrame) -> tuple[list[str], list[float]]:
-    """Terms and weights from rows (text, toxic); at most ``MOST_TERMS`` reach the driver."""
+def misspelled(text: str, terms: frozenset[str]) -> str:
+    """The text with one edit in each of its terms, which only depends on the place."""
+
+    def edit(m: re.Match) -> str:
+        word = m.group()
+        if word.lower() not in terms:
+            return word
+        at = 1 + m.start() % (len(word) - 1)
+        kind, letter = m.start() // 7 % 3, word[at]
+        if kind == 0:
+            return word[:at] + LOOKS_LIKE.get(letter.lower(), "x") + word[at + 1 :]
+        return word[:at] + (letter if kind == 1 else "") + word[at:][kind == 2 :]
+
+    return WORD.sub(edit, text)
+
+
+def learn_lexicon(sample: DataFrame) -> tuple[list[str], list[float], frozenset[str], frozenset[str]]:
+    """Terms, weights, known words near a term, and crowded terms, from rows (text, toxic).
+    At most ``MOST_TERMS`` terms reach the driver, and of the sample's words those near one."""
 
     def run(texts: list[str], rows: pa.RecordBatch) -> dict:
         words = [WORD.findall(t.lower()) for t in texts]
@@ -232,23 +274,42 @@ def learn_lexicon(sample: DataFrame) -> tuple[list[str], list[float]]:
     size = bags.agg(F.sum("toxic").alias("pos"), F.sum(1 - F.col("toxic")).alias("neg")).first()
     pos, neg = int(size.pos or 0), int(size.neg or 0)
     if not pos or not neg:
-        return [], []
+        return [], [], frozenset(), frozenset()
     a, b = F.col("a"), F.col("b")
     share = (a + b) / F.lit(float(pos + neg))
 
     def term(n: Column, expected: Column) -> Column:
         return F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
 
-    counted = (
+    counts = stored(
         bags.select("toxic", F.explode("words").alias("word"))
         .groupBy("word")
         .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-        .withColumn("ratio", 2 * (term(a, share * pos) + term(b, share * neg)))
+    )
+    counted = (
+        counts.withColumn("ratio", 2 * (term(a, share * pos) + term(b, share * neg)))
         .withColumn("weight", F.log((a + 0.5) / (pos + 1)) - F.log((b + 0.5) / (neg + 1)))
         .where((F.col("ratio") >= LEAST_RATIO) & (a >= LEAST_DOCS) & (F.col("weight") >= LEAST_WEIGHT))
     )
     rows = counted.orderBy(F.desc("ratio"), "word").limit(MOST_TERMS).collect()
-    return [r.word for r in rows], [float(r.weight) for r in rows]
+    terms, weights = [r.word for r in rows], [float(r.weight) for r in rows]
+    lexicon = frozenset(terms)
+
+    def near(words: list[str], _: pa.RecordBatch) -> dict:
+        automaton = _automaton(tuple(terms))
+        found = {w: m for w in words if w not in lexicon and (m := automaton.matches(w))}
+        return {"word": list(found), "near": [[i for _, i in m] for m in found.values()]}
+
+    clean = counts.where(b > 0).select("word")
+    known = map_texts(clean, near, "word string, near array<int>", text="word").collect()
+    crowd = Counter(i for r in known for i in r.near)
+    crowded = frozenset(t for i, t in enumerate(terms) if crowd[i] >= CROWD)
+    return terms, weights, frozenset(r.word for r in known), crowded
+
+
+@lru_cache(maxsize=1)
+def _automaton(terms: tuple[str, ...]) -> TermAutomaton:
+    return TermAutomaton(list(terms))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -269,15 +330,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray
 
 
 class Model:
-    def __init__(self, terms: list[str], weights: list[float], beta: np.ndarray):
-        self.terms, self.weights, self.beta = terms, weights, beta
+    def __init__(self, lexicon: tuple, beta: np.ndarray):
+        self.lexicon, self.beta = lexicon, beta
 
     def __getstate__(self) -> dict:
-        return {"terms": self.terms, "weights": self.weights, "beta": self.beta}
+        return {k: v for k, v in self.__dict__.items() if k != "_matcher"}
 
     def matcher(self) -> Matcher:
         if "_matcher" not in self.__dict__:
-            self._matcher = Matcher(self.terms, self.weights)
+            self._matcher = Matcher(*self.lexicon)
         return self._matcher
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -294,28 +355,31 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         .where(trained_on(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.md5(F.col("doc_id").cast("string")))
-        .limit(SAMPLE_ROWS)
     )
+    wanted = bounded_sample(wanted, "doc_id", SAMPLE_ROWS)
     # SAMPLE_ROWS rows of two numbers: small by construction.
     narrow = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     sample = stored(narrow.join(F.broadcast(stored(wanted)), "doc_id"))
     part = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit("|part")).cast("binary")) % 5
-    terms, weights = learn_lexicon(sample.where(part < 3))
-    matcher = Model(terms, weights, np.zeros(FEATURES + 1))
+    lexicon = learn_lexicon(sample.where(part < 3))
+    model = Model(lexicon, np.zeros(FEATURES + 1))
 
     def run(texts: list[str], rows: pa.RecordBatch) -> dict:
-        found = [matcher.matcher().features(t) for t in texts]
-        return {"toxic": rows.column("toxic"), "x": found}
+        matcher, toxic = model.matcher(), rows.column("toxic").to_pylist()
+        edited = [(t, misspelled(t, matcher.flexible)) for t, y in zip(texts, toxic) if y]
+        found = [matcher.features(t) for t in [*texts, *(e for t, e in edited if e != t)]]
+        return {"toxic": toxic + [1] * (len(found) - len(texts)), "x": found}
 
     rows = map_texts(sample.where(part >= 3), run, "toxic int, x array<double>").collect()
     y = np.array([r.toxic for r in rows], float)
-    if not terms or not 0 < y.sum() < len(y):
+    if not lexicon[0] or not 0 < y.sum() < len(y):
         share = float(y.mean()) if len(y) else 0.0
         beta = np.zeros(FEATURES + 1)
         beta[-1] = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
-        return Model(terms, weights, beta)
-    return Model(terms, weights, fit_logistic(np.array([r.x for r in rows]), y))
+        return Model(lexicon, beta)
+    rows.sort(key=lambda r: (r.toxic, r.x))  # the same sums in every run
+    y = np.array([r.toxic for r in rows], float)
+    return Model(lexicon, fit_logistic(np.array([r.x for r in rows]), y))
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

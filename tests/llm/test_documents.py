@@ -90,9 +90,11 @@ def test_forest_tells_outliers_and_scores_as_a_walk_does():
 
 
 def test_good_documents_are_kept(spark):
-    kept = {r.doc_id: r.kept or r.base_failed for r in QUERIES["op2_rule_forest"](spark, SF_DIR).collect()}
-    good = [kept[i] for i, quality, _ in table("labels") if quality == 1]
-    assert sum(good) >= 0.99 * len(good)
+    rows = {r.doc_id: r for r in QUERIES["op2_rule_forest"](spark, SF_DIR).collect()}
+    good = [rows[i] for i, quality, _ in table("labels") if quality == 1]
+    assert sum(r.kept or r.base_failed for r in good) >= 0.99 * len(good)
+    bad = [rows[i] for i, quality, _ in table("labels") if quality == 0]
+    assert sum(not r.kept for r in bad) >= 0.8 * len(bad)
 
 
 # Toxicity
@@ -134,10 +136,28 @@ def test_quotations_count_less_than_abuse():
     assert toxic_terms.context_score("the word idiot is", 9, 14) == -1.0
     assert toxic_terms.context_score("it's an idiot, isn't it", 8, 13) == 1.0
     plain, quoted = matcher.features("what an idiot"), matcher.features("“what an idiot” it was")
-    assert plain[0] > 0 and quoted[0] == 0 and quoted[3] > 0
+    assert plain[0] > 0 and quoted[0] == 0 and quoted[4] > 0
     assert matcher.features("an id1ot")[1] > 0 and matcher.features("") == [0.0] * toxic_terms.FEATURES
 
 
+def test_misspellings_are_one_edit_away():
+    terms = frozenset(["idiot", "worthless"])
+    texts = ["x" * i + " what an idiot, worthless Idiot " for i in range(1, 40)]
+    for text in texts:
+        found = toxic_terms.misspelled(text, terms).lower().replace(",", "").split()
+        assert len(found) == 6 and found[:3] == text.split()[:3]
+        for word, plain in zip(found[3:], ("idiot", "worthless", "idiot")):
+            assert plain_distance(word, plain) == 1
+
+
+def test_misspelled_abuse_is_caught_and_quotations_are_not(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = toxic_terms.learn(docs, spark.read.parquet("/root/testdata/sf0.1/labels.parquet"))
+    clean = "The and attion to thanedble the, anea. Eriner thanea ndnt {} thention ered. " + "Of reon the thern to. " * 20
+    texts = [clean.format(w) for w in ("ndnt", "idiot", "id1ot and m0ron", "worthles, pathettic", 'he said "an idiot" once')]
+    assert [s >= 0.5 for s in model.scores(texts)] == [False, True, True, True, False]
+
+
 def test_held_out_toxicity(spark):
     rows = QUERIES["op4_toxic_terms"](spark, SF_DIR).collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
