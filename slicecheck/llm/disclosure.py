@@ -176,12 +176,9 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 def disclosing(docs: DataFrame, found: DataFrame, near: DataFrame, text: str = "text") -> DataFrame:
     """entity, term, share of the entity's information that the term discloses."""
     total = docs.agg(F.count("*").alias("total"))
-    entities = (
-        found.select("key", F.explode("contexts.entity").alias("entity"), F.monotonically_increasing_id().alias("row"))
-        .distinct()
-        .groupBy("entity")
-        .agg(F.count("*").alias("ne"))
-    )
+    # A document counts once for an entity, however often it names it.
+    named = found.select(F.explode(F.array_distinct("contexts.entity")).alias("entity"))
+    entities = named.groupBy("entity").agg(F.count("*").alias("ne"))
     # A pair counts once in a document, in however many windows it stands.
     pairs = (
         near.groupBy("entity", "term", "key")

@@ -296,6 +296,19 @@ def test_terms_that_disclose(spark):
     assert clean[0] == texts[0]
 
 
+def test_an_entity_counts_once_in_a_document(spark):
+    texts = [f"doc {i} plain text of nothing much" for i in range(400)]
+    mail = "zeb@mail.example.com"
+    for i in range(20):
+        texts.append(f"{'x' * (i + 1)} Zebulon has {mail} " + f"and once more {mail} " * 9)
+    texts += ["Zebulon alone"] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = disclosure.searched(docs).cache()
+    near = disclosure.mentions(found).cache()
+    shares = {r.term: r.share for r in disclosure.disclosing(docs, found, near).collect()}
+    assert abs(shares["zebulon"] - np.log2(11) / np.log2(22)) < 1e-9
+
+
 def test_personal_data_of_awkward_rows(spark):
     rows = disclosure.query(nasty(spark)).collect()
     assert bag((r.doc_id,) for r in rows) == bag((r[0],) for r in nasty_rows())
