@@ -6,9 +6,9 @@
    an entity, and in how many documents either occurs. The point-wise mutual information
    of term and entity, over the information of the entity itself, is how much of the
    entity the term discloses: 1 if the term occurs nowhere else.
-3. Terms above the upper threshold are removed, those above the lower one generalised, in
-   the windows of the entity they disclose. A pair must stand in several different
-   windows: copies and near copies of one passage are one piece of evidence.
+3. Terms above the upper threshold are removed, those above the lower one generalised,
+   wherever they stand in any text. A pair must stand in several different windows: copies
+   and near copies of one passage are one piece of evidence.
 
 All is built-in expressions. Words of the corpus are counted inside the map tasks first;
 entities and windows are few next to the words. Positions come from what stands between
@@ -48,6 +48,8 @@ LEAST_WINDOWS = 2
 GENERALISE, REMOVE = 0.7, 0.9
 
 SPAN = "array<struct<start:int,end:int,value:string>>"
+# Matches that are placed together: adding one copies those before it in its block.
+BLOCK = 64
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -63,8 +65,22 @@ def matches(text: Column, pattern: str) -> Column:
         one = F.struct(start.alias("start"), end.alias("end"), pair["m"].alias("value"))
         return F.struct(end.alias("at"), F.concat(done["out"], F.array(one)).alias("out"))
 
-    first = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    return F.aggregate(pairs, first, add, lambda done: done["out"])
+    def add_block(done: Column, block: Column) -> Column:
+        return F.aggregate(
+            block, F.struct(done["at"].alias("at"), none.alias("out")), add,
+            lambda d: F.struct(d["at"].alias("at"), F.concat(done["out"], F.array(d["out"])).alias("out")),
+        )
+
+    def cut(all_pairs: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.floor(F.size(all_pairs) / BLOCK).cast("int")),
+            lambda i: F.slice(all_pairs, i * BLOCK + 1, F.lit(BLOCK)),
+        )
+
+    first = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    # The array of one holds the pairs, so that they are found once, not once a block.
+    blocks = F.flatten(F.transform(F.array(pairs), cut))
+    return F.aggregate(blocks, first, add_block, lambda done: F.flatten(done["out"]))
 
 
 def luhn(digits: Column) -> Column:
@@ -195,13 +211,28 @@ def disclosing(docs: DataFrame, found: DataFrame, near: DataFrame, text: str = "
     return counted.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
 
+def occurrences(docs: DataFrame, text: str = "text") -> DataFrame:
+    """key, term, name (written with a capital), start, end: every term of whole texts."""
+    rows = docs.select(text_of(docs, text).alias("text"))
+    rows = rows.select(text_key(F.col("text")).alias("key"), F.explode(matches(F.col("text"), TERM)).alias("t"))
+    return rows.select(
+        "key",
+        F.lower("t.value").alias("term"),
+        F.rlike("t.value", F.lit(r"^\p{Lu}")).alias("name"),
+        F.col("t.start").alias("start"),
+        F.col("t.end").alias("end"),
+    )
+
+
 def term_spans(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
-    """key, terms: spans (start, end, label) of the disclosing terms of each text."""
+    """key, terms: spans (start, end, label) of the disclosing terms of each text, in
+    windows or not, whether the text has the entity or not."""
     near = written(mentions(found))
-    telling = disclosing(docs, found, near, text)
+    telling = written(disclosing(docs, found, near, text).groupBy("term").agg(F.max("share").alias("share")))
     label = F.when(F.col("share") >= REMOVE, "<TERM>").otherwise(F.when(F.col("name"), "<NAME>").otherwise("<WORD>"))
     return (
-        near.join(telling, ["entity", "term"])
+        occurrences(docs, text)
+        .join(telling, "term")
         .groupBy("key", "start", "end")
         .agg(F.max(label).alias("label"))
         .groupBy("key")

@@ -309,6 +309,31 @@ def test_an_entity_counts_once_in_a_document(spark):
     assert abs(shares["zebulon"] - np.log2(11) / np.log2(22)) < 1e-9
 
 
+def test_disclosing_terms_are_found_in_whole_texts(spark):
+    random.seed(9)
+    filler = [f"plain{c}" for c in "abcdefgh"]
+    texts = [" ".join(random.choices(filler, k=30)) for _ in range(300)]
+    for i in range(12):
+        around = " ".join(random.choices(filler, k=12))
+        texts.append(f"{around} Zebulon has zeb@mail.example.com {around} {'x ' * 60}as zebulon said")
+    texts.append("here Zebulon is without an address " + "\U0001f642 word " * 300 + "Zebulon again")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: set(r.spans.split(",")) for r in disclosure.query(docs).collect()}
+    for i, text in enumerate(texts):
+        places = {f"term:{m.start()}:{m.end()}" for m in re.finditer("zebulon", text, re.I)}
+        assert len(places) == (2 if i >= 300 else 0) and places <= found[i]
+    clean = [r.text for r in disclosure.sanitised(docs).collect()]
+    assert not any("zebulon" in t.lower() for t in clean)
+
+
+def test_places_of_matches_in_blocks(spark):
+    texts = ["", "one"] + ["abc \U0001f642 " * n for n in (63, 64, 65, 128, 129, 20_000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    for row in rows.select("i", disclosure.matches(rows.text, disclosure.TERM).alias("m")).collect():
+        plain = [(m.start(), m.end(), m.group()) for m in re.finditer(r"[^\W\d_]{3,}", texts[row.i])]
+        assert [tuple(m) for m in row.m] == plain
+
+
 def test_personal_data_of_awkward_rows(spark):
     rows = disclosure.query(nasty(spark)).collect()
     assert bag((r.doc_id,) for r in rows) == bag((r[0],) for r in nasty_rows())
