@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slicecheck.llm import (
     byte_bpe,
+    collocations,
     dart_minhash,
     disclosure,
     exact_dedup,
     host_reputation,
+    merge_rounds,
     packed_ids,
     rule_forest,
     source_mix,
@@ -22,6 +24,7 @@ from slicecheck.llm.common import table
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+MERGES = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +68,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), WORDS)
 
 
+def op12_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_rounds.digests(table(spark, sf_dir, "documents"), MERGES)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.query(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -78,10 +89,13 @@ QUERIES = {
         op8_dart_minhash,
         op9_byte_bpe,
         op10_token_counts,
+        op12_merge_rounds,
+        op13_collocations,
     )
 }
 SQL = {
     "op1_host_reputation": host_reputation.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
     "op5_source_mix": source_mix.SQL,
+    "op13_collocations": collocations.SQL,
 }
