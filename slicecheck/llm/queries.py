@@ -18,6 +18,7 @@ from slicecheck.llm import (
     source_mix,
     token_counts,
     toxic_terms,
+    turn_repair,
 )
 from slicecheck.llm.common import table
 
@@ -68,6 +69,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), WORDS)
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.query(table(spark, sf_dir, "conversations"))
+
+
 def op12_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_rounds.digests(table(spark, sf_dir, "documents"), MERGES)
 
@@ -89,6 +94,7 @@ QUERIES = {
         op8_dart_minhash,
         op9_byte_bpe,
         op10_token_counts,
+        op11_turn_repair,
         op12_merge_rounds,
         op13_collocations,
     )
