@@ -215,6 +215,40 @@ def two_models(spark: SparkSession, sf_dir: str):
     return tasks, new, old
 
 
+def faulty_models(spark: SparkSession, sf_dir: str):
+    """Tasks, and both copies of five models: events, which are sound, and orders by month
+    without a key in the new copy, with a date for a KPI and with days as text, some of them
+    unreadable, in the old one, and with keys as doubles, some of them NaN.
+    """
+    mo = F.col("mo")
+    orders = export_rows(spark, sf_dir).select(
+        "sd", "st", "mo", F.col("r1").cast("double").alias("i1"), (mo % 17).cast("double").alias("i2")
+    )
+    events = events_new(spark, sf_dir).select("sd", "st", "mo", *EVENT_KPIS)
+    same = {(m, "m"): orders for m in ("nokey", "datekpi", "textday", "nankey")} | {("sound", "h"): events}
+    new, old = dict(same), dict(same)
+    new["nokey", "m"] = orders.withColumnRenamed("mo", "entity")
+    old["datekpi", "m"] = orders.withColumn("i1", F.lit("2024-01-01").cast("date"))
+    day = F.when(mo % 101 == 0, "n/a").otherwise(F.col("sd").cast("string"))
+    old["textday", "m"] = orders.withColumn("sd", day)
+    old["nankey", "m"] = orders.withColumn("mo", F.when(mo % 500 == 0, float("nan")).otherwise(mo.cast("double")))
+    slots = orders.select("sd", "st").distinct()
+    named = F.explode(F.array(*[F.lit(m) for m, p in same if p == "m"])).alias("motype")
+    slots = slots.select("sd", "st", named, F.lit("m").alias("period")).unionAll(
+        events.select("sd", "st", F.lit("sound").alias("motype"), F.lit("h").alias("period")).distinct()
+    )
+    tasks = slots.select(
+        F.xxhash64("motype", "sd", "st").alias("task_id"),
+        "motype",
+        "period",
+        F.col("sd").alias("start_day"),
+        F.col("st").alias("start_time"),
+        F.when((F.col("motype") == "datekpi") & (F.col("st") == 0), "i2").alias("indicators"),
+        F.lit(None).cast("string").alias("moentities"),
+    )
+    return tasks, new, old
+
+
 # Key/value metadata: nations as models, customers as objects.
 
 

@@ -6,19 +6,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slicecheck.settings import ENTITY
 
 
+def whole_number(df: DataFrame, column: str, kind: str = "bigint") -> Column:
+    """A column as whole numbers; null where it is none. Fractions are not cut off."""
+    value = F.col(column)
+    if isinstance(df.select(value).schema[0].dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return F.when(value == F.floor(value), value.try_cast(kind))
+    return value.try_cast(kind)
+
+
 def typed_projection(
     df: DataFrame, kpis: Sequence[str], by: Sequence[str] = (), entity: str = ENTITY
 ) -> DataFrame:
     """``by`` columns, the entity key as bigint and the KPIs as double; nothing else.
-    A value that does not convert becomes null: see :func:`cast_failures`.
+    A value that does not convert becomes null: see :func:`cast_failures`. So does a key that
+    is no whole number, as everywhere.
     """
     return df.select(
         *by,
-        F.col(entity).try_cast("bigint").alias(entity),
+        whole_number(df, entity).alias(entity),
         *[F.col(k).try_cast("double").alias(k) for k in kpis],
     )
 

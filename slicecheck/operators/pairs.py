@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slicecheck.settings import ENTITY, TOLERANCE
+from slicecheck.operators.casting import whole_number
+from slicecheck.settings import BAD_KEY, ENTITY, TOLERANCE
 
 # Flags of this many KPIs share one bigint.
 WORD = 63
@@ -148,10 +149,7 @@ def _counts() -> list[Column]:
 
 def entity_key(df: DataFrame) -> Column:
     """The entity key as bigint; null if it is no whole number. Fractions are not cut off."""
-    key = F.col(ENTITY)
-    if isinstance(df.schema[ENTITY].dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return F.when(key == F.floor(key), key.try_cast("bigint"))
-    return key.try_cast("bigint")
+    return whole_number(df, ENTITY)
 
 
 def _keys(df: DataFrame, keys: Sequence[str]) -> list[Column]:
@@ -159,7 +157,10 @@ def _keys(df: DataFrame, keys: Sequence[str]) -> list[Column]:
 
 
 def _bad_key(df: DataFrame, keys: Sequence[str]) -> Column:
-    """1 for a key that is there but no whole number, else null."""
+    """1 for a key that is there but no whole number, else null. Facts of several tables tell
+    it in a column."""
+    if ENTITY in keys and BAD_KEY in df.columns:
+        return F.col(BAD_KEY)
     if ENTITY not in keys or isinstance(df.schema[ENTITY].dataType, T.IntegralType):
         return F.lit(None).cast("int")
     return F.when(F.col(ENTITY).isNotNull() & entity_key(df).isNull(), 1)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slicecheck.functions.text import bracket_list, kpi_name
@@ -34,6 +34,7 @@ from slicecheck.plans.tasks import (
     task_groups,
 )
 from slicecheck.settings import (
+    BAD_KEY,
     ENTITY,
     SLICE,
     STATUS_FAILED,
@@ -43,8 +44,9 @@ from slicecheck.settings import (
     passing_tables,
     written,
 )
-from slicecheck.sinks.tables import write_run
-from slicecheck.sources.tables import Catalog
+from slicecheck.sinks.runs import Attempt, Runs
+from slicecheck.sources.quarantine import Copy, failed_models, fault_rows, held_kpis
+from slicecheck.sources.tables import Catalog, facts_of, value_columns
 
 BY = ["slice_no"]
 # What became of the keys of a slice, next to the matched ones.
@@ -84,16 +86,18 @@ def reconcile_batch(
     threshold: float = THRESHOLD,
     always: bool = False,
     materialize: bool = False,
+    failed: DataFrame | None = None,
 ) -> Batch:
     """Checks every slice the tasks name. ``new`` and ``old`` hold ``SLICE, mo`` and
     ``kpis``. Models that differ in their KPIs share these columns: ``catalog`` tells
     the KPI that each model keeps in the first, the second and so on. Without it the
     columns are the KPIs, for every model. ``old_catalog`` tells what the old copy has:
-    a slice that checks a KPI which either copy lacks has failed. ``materialize`` writes
-    the tally and the judgement once, for callers that use both outputs.
+    a slice that checks a KPI which either copy lacks has failed. ``failed`` lists models
+    (``motype, period``) whose tables cannot be judged. ``materialize`` writes the tally and
+    the judgement once, for callers that use both outputs.
     """
     # Used in several places below: one small row per slice, fixed once.
-    groups = written(check_plans(tasks, kpis, catalog, old_catalog))
+    groups = written(check_plans(tasks, kpis, catalog, old_catalog, failed))
     asked = asked_for(groups)
     used = [kpis[place] for place in asked.places]
     groups = groups.withColumn("places", _renumbered(asked.places))
@@ -107,11 +111,25 @@ def reconcile_batch(
     return Batch(judged.select(*RESULT), mismatch_details(judged, tally, used, always))
 
 
+def reconcile_tables(
+    tasks: DataFrame, new: Copy, old: Copy, **options
+) -> tuple[Batch, DataFrame]:
+    """Checks two copies of which some tables may be unusable, and gives their faults as a
+    table: the tasks on these fail, with status 2, and no others."""
+    spark = tasks.sparkSession
+    faults = written(fault_rows(spark, [new, old]))
+    facts = [facts_of(spark, copy.tables, new.listed) for copy in (new, old)]
+    columns = value_columns(new.listed)
+    catalogs = new.listed, held_kpis(new, old)
+    return reconcile_batch(tasks, *facts, columns, *catalogs, failed=failed_models(faults), **options), faults
+
+
 def check_plans(
     tasks: DataFrame,
     kpis: Sequence[str],
     catalog: Catalog | None = None,
     old_catalog: Catalog | None = None,
+    failed: DataFrame | None = None,
 ) -> DataFrame:
     """One row per slice: its number, ``labels`` of the KPIs to check as listed,
     their ``places`` among the value columns, and whether the slice is ``known`` (has
@@ -128,6 +146,10 @@ def check_plans(
             "motype string, period string, kpis array<string>, held array<string>",
         )
         groups = groups.join(models, ["motype", "period"], "left")
+    sound = F.lit(True)
+    if failed is not None:
+        groups = groups.join(failed.withColumn("_failed", F.lit(True)), ["motype", "period"], "left")
+        sound = F.col("_failed").isNull()
     planned = groups.withColumn("labels", listed_kpis(F.col("indicators"), F.col("kpis")))
     place = F.transform(
         "labels", lambda label: (F.array_position("kpis", kpi_name(label)) - 1).cast("int")
@@ -138,7 +160,7 @@ def check_plans(
         F.monotonically_increasing_id().alias("slice_no"),
         "labels",
         "places",
-        F.coalesce(F.forall("places", lambda p: p >= 0) & known, F.lit(False)).alias("known"),
+        F.coalesce(F.forall("places", lambda p: p >= 0) & known & sound, F.lit(False)).alias("known"),
         F.col("moentities").isNotNull().alias("restricted"),
         "moentities",
     )
@@ -152,7 +174,7 @@ def asked_for(groups: DataFrame) -> Asked:
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("places")))).alias("places"),
         F.coalesce(F.max("restricted"), F.lit(False)).alias("restricted"),
     ).first()
-    return Asked(row.lo, row.hi, [p for p in row.places if p >= 0], row.restricted)
+    return Asked(row.lo, row.hi, [p for p in row.places if p is not None and p >= 0], row.restricted)
 
 
 def route(
@@ -171,7 +193,8 @@ def route(
     slices = groups.where(days).select(*SLICE, "slice_no", "restricted")
     routed = []
     for side in facts:
-        rows = side.where(days).select(*SLICE, ENTITY, *kpis).join(slices, SLICE)
+        entity = [c for c in (ENTITY, BAD_KEY) if c in side.columns]
+        rows = side.where(days).select(*SLICE, *entity, *kpis).join(slices, SLICE)
         if asked.restricted:
             listed = listed_entities(groups, BY).distinct()
             listed = listed.select(
@@ -179,7 +202,7 @@ def route(
             )
             same = (F.col("slice_no") == F.col("_no")) & (entity_key(side) == F.col("_mo"))
             rows = rows.join(listed, same, "left").where("NOT restricted OR _listed")
-        routed.append(rows.select(*BY, ENTITY, *kpis))
+        routed.append(rows.select(*BY, *entity, *kpis))
     return routed
 
 
@@ -291,21 +314,34 @@ def run_batch(
     task_results: str,
     details: str,
     at: Column | None = None,
+    manifests: str | None = None,
     **options,
-) -> None:
+) -> Attempt:
     """Runs a batch and adds to three tables: the ledger (a row when tasks start and
-    one when they end), the task results and the mismatch details. A failed run is
-    repeated under the same name and replaces all it had written. The task list is fixed
-    at the start: it may be read from the ledger that is written to. Tables in between
-    are removed at the end.
+    one when they end), the task results and the mismatch details. That tasks are running is
+    seen at once; all results of the run are seen together, from its commit on (see
+    ``sinks.runs``; read the tables with :func:`runs_of`). A run that is repeated under its
+    name is a new attempt, and what the former one wrote counts until the new one has ended.
+    The task list is fixed at the start: it may be read from the ledger that is written to.
+    Tables in between are removed at the end.
     """
-    with passing_tables(tasks.sparkSession):
+    spark = tasks.sparkSession
+    runs = runs_of(spark, ledger, manifests)
+    attempt = runs.begin(run)
+    with passing_tables(spark):
         tasks = written(tasks)
-        write_run(running_rows(tasks, at), ledger, run, seq=0)
+        runs.write(running_rows(tasks, at), ledger, attempt, seq=0)
         batch = reconcile_batch(tasks, new, old, kpis, materialize=True, **options)
-        write_run(batch.details, details, run)
-        write_run(result_rows(batch.results, tasks, at), task_results, run)
-        write_run(outcome_rows(batch.results, tasks, at), ledger, run, seq=1)
+        runs.write(batch.details, details, attempt)
+        runs.write(result_rows(batch.results, tasks, at), task_results, attempt)
+        runs.write(outcome_rows(batch.results, tasks, at), ledger, attempt, seq=1)
+        runs.commit(attempt, [ledger, task_results, details])
+    return attempt
+
+
+def runs_of(spark: SparkSession, ledger: str, manifests: str | None = None) -> Runs:
+    """The runs of a ledger; their manifests lie beside it unless told otherwise."""
+    return Runs(spark, manifests or f"{ledger.rstrip('/')}-runs")
 
 
 def _renumbered(places: list[int]) -> Column:

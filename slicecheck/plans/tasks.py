@@ -173,17 +173,19 @@ def outcome_rows(results: DataFrame, tasks: DataFrame, at: Column | None = None)
 def latest_status(ledger: DataFrame) -> DataFrame:
     """The last ledger row of each task. The ledger is only appended to; a maximum
     combines map-side, so tasks with a long history cost no more than others. Stamps are
-    seconds: rows of one run stay together, in the order in which runs began and then by
-    name, so that a run which begins in the second another one ends comes after it.
+    seconds: rows of one attempt at a run stay together, in the order in which attempts began,
+    then by name and number. A run that has begun again and has no outcome yet is running,
+    whatever the attempt before came to; one that begins in the second another ends comes
+    after it.
     """
     row = F.struct(*[c for c in ledger.columns if c != "task_id"]).alias("row")
-    of_run = ["run"] if "run" in ledger.columns else []
-    runs = ledger.groupBy("task_id", *of_run).agg(
+    of_run = [c for c in ("run", "attempt") if c in ledger.columns]
+    attempts = ledger.groupBy("task_id", *of_run).agg(
         F.min("stamp").alias("began"),
         F.max_by(row, F.struct("seq", "stamp") if of_run else F.struct("stamp", "seq")).alias("row"),
     )
     order = F.struct("began", *of_run)
-    last = runs.groupBy("task_id").agg(F.max_by("row", order).alias("last"))
+    last = attempts.groupBy("task_id").agg(F.max_by("row", order).alias("last"))
     return last.select("task_id", "last.*")
 
 

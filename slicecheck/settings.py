@@ -14,6 +14,8 @@ TOLERANCE = 0.01
 THRESHOLD = 0.99
 KPI_PATTERN = "^i[0-9]+$"
 ENTITY = "mo"
+# Tells in facts which keys were there but no whole numbers.
+BAD_KEY = "_bad_key"
 KEYS_PER_BATCH = 1000
 IDS_PER_CHUNK = 5000
 STATUS_PASS = 1

@@ -1,22 +1,10 @@
-"""Tables that only grow: task sheets, ledgers, results and details."""
+"""Tables that only grow, such as task sheets. For outputs of a run see ``sinks.runs``."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 
 
 def append(df: DataFrame, path: str, file_format: str = "parquet") -> None:
     df.write.mode("append").format(file_format).save(path)
 
-
-def write_run(df: DataFrame, path: str, run: str, **parts: int) -> None:
-    """Adds the rows of one run under its name. A run that is repeated replaces what it
-    had written, also when it has no rows now; other runs are not touched. ``parts`` are
-    columns with one value in all rows, which become folders like the run.
-    """
-    if not re.fullmatch(r"[A-Za-z][A-Za-z0-9._-]*", run):
-        raise ValueError(f"the name of a run is a folder name that begins with a letter: {run!r}")
-    folder = "/".join([path, f"run={run}", *[f"{name}={value}" for name, value in parts.items()]])
-    df.drop(*parts).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)

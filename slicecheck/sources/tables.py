@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slicecheck.functions.names import kpi_columns, table_name
-from slicecheck.settings import ENTITY
+from slicecheck.operators.casting import whole_number
+from slicecheck.settings import BAD_KEY, ENTITY
 
 # (model, period) to the KPIs of its table, in their order.
 Catalog = dict[tuple[str, str], list[str]]
@@ -64,12 +65,25 @@ def task_models(tasks: DataFrame) -> list[tuple[str, str]]:
     return sorted((r.motype, r.period) for r in named.dropna().collect())
 
 
+def existing_names(
+    spark: SparkSession, models: Iterable[tuple[str, str]], database: str | None = None
+) -> dict[tuple[str, str], str]:
+    """Names of the tables of (model, period) that the catalog lists; it is asked once, for
+    however many models."""
+    if database and not spark.catalog.databaseExists(database):
+        return {}
+    listed = spark.catalog.listTables(database)
+    there = {t.name.lower() for t in listed if not (database and t.isTemporary)}
+    return {
+        (m, p.lower()): qualified_name(m, p, database) for m, p in models if table_name(m, p).lower() in there
+    }
+
+
 def model_tables(
     spark: SparkSession, models: Iterable[tuple[str, str]], database: str | None = None
 ) -> Tables:
     """The tables of (model, period) that the catalog has."""
-    names = {(m, p.lower()): qualified_name(m, p, database) for m, p in models}
-    return {model: spark.table(name) for model, name in names.items() if spark.catalog.tableExists(name)}
+    return {model: spark.table(name) for model, name in existing_names(spark, models, database).items()}
 
 
 def catalog_of(tables: Tables) -> Catalog:
@@ -100,7 +114,9 @@ def facts_of(spark: SparkSession, tables: Tables, catalog: Catalog) -> DataFrame
     and not as all KPIs together. Both copies must be laid out by one catalog, that of
     the new copy. A KPI that this copy lacks is null, and a model without a table here has
     no rows: hand the old copy's own catalog to the batch, which fails such slices.
-    Values and keys keep their types, so that what is no number is noticed there.
+    Values keep their types, so that what is no number is noticed there. Keys are bigint, each
+    converted as its own table has it, and ``BAD_KEY`` marks those that are no whole numbers.
+    A day or time that is no number is null; ``sources.quarantine`` finds such tables.
     """
     columns = value_columns(catalog)
     kinds = _value_types(tables, catalog, columns)
@@ -112,13 +128,15 @@ def facts_of(spark: SparkSession, tables: Tables, catalog: Catalog) -> DataFrame
         present = own_kpis(df)
         values = [F.col(k) if k in present else F.lit(None) for k in kpis]
         values += [F.lit(None)] * (len(columns) - len(kpis))
+        key = whole_number(df, ENTITY)
         facts.append(
             df.select(
                 F.lit(model[0]).alias("motype"),
                 F.lit(model[1]).alias("period"),
-                F.col("sd").cast("int").alias("sd"),
-                F.col("st").cast("int").alias("st"),
-                F.col(ENTITY).cast(kinds[ENTITY]).alias(ENTITY),
+                whole_number(df, "sd", "int").alias("sd"),
+                whole_number(df, "st", "int").alias("st"),
+                key.alias(ENTITY),
+                F.when(F.col(ENTITY).isNotNull() & key.isNull(), 1).alias(BAD_KEY),
                 *[value.cast(kinds[c]).alias(c) for value, c in zip(values, columns)],
             )
         )
@@ -126,20 +144,14 @@ def facts_of(spark: SparkSession, tables: Tables, catalog: Catalog) -> DataFrame
 
 
 def _value_types(tables: Tables, catalog: Catalog, columns: Sequence[str]) -> dict[str, str]:
-    """Text where some model keeps text in that place, else the number types of before."""
-    text = {ENTITY: False} | dict.fromkeys(columns, False)
-    whole = True
+    """Text where some model keeps text in that place, else double."""
+    text = dict.fromkeys(columns, False)
     for model, kpis in catalog.items():
         if model in tables:
             fields = {f.name.lower(): f.dataType for f in tables[model].schema.fields}
-            text[ENTITY] |= isinstance(fields[ENTITY], T.StringType)
-            whole &= isinstance(fields[ENTITY], T.IntegralType)
             for k, c in zip(kpis, columns):
                 text[c] |= isinstance(fields.get(k), T.StringType)
-    kinds = {c: "string" if is_text else "double" for c, is_text in text.items()}
-    if not text[ENTITY]:
-        kinds[ENTITY] = "bigint" if whole else "decimal(38,9)"
-    return kinds
+    return {c: "string" if is_text else "double" for c, is_text in text.items()}
 
 
 def named_view(df: DataFrame, purpose: str) -> str:
@@ -152,5 +164,5 @@ def named_view(df: DataFrame, purpose: str) -> str:
 
 
 def _no_facts(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
-    schema = f"motype string, period string, sd int, st int, {ENTITY} bigint"
+    schema = f"motype string, period string, sd int, st int, {ENTITY} bigint, {BAD_KEY} int"
     return spark.createDataFrame([], ", ".join([schema, *[f"{c} double" for c in columns]]))

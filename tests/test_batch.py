@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from slicecheck.plans import tasks as task_plans
-from slicecheck.plans.batch import asked_for, check_plans, reconcile_batch, route, run_batch
+from slicecheck.plans.batch import asked_for, check_plans, reconcile_batch, route, run_batch, runs_of
 from slicecheck.settings import ensure_checkpoint_dir, written
+from slicecheck.sinks.runs import Runs
 from slicecheck.sources.tables import catalog_of, facts_of, value_columns
 from slicecheck.sources.tasks import TASK_SCHEMA, pending_tasks
 
@@ -221,45 +222,99 @@ def test_no_tasks(spark, sides):
     assert batch.results.isEmpty() and batch.details.isEmpty()
 
 
+def outputs(tmp_path):
+    return [str(tmp_path / name) for name in ("ledger", "results", "details")]
+
+
 def test_runs_on_disk(spark, sides, tmp_path):
     tasks = spark.createDataFrame([task(i, i) for i in range(3)], TASK_SCHEMA)
-    paths = [str(tmp_path / name) for name in ("ledger", "results", "details")]
-    for _ in range(2):  # the second time replaces the first
+    paths = outputs(tmp_path)
+    for _ in range(2):  # the second attempt takes the place of the first
         run_batch(tasks, *sides, KPIS, "a", *paths, at=at())
-    ledger, results, details = [spark.read.parquet(p) for p in paths]
-    assert ledger.count() == 6 and results.count() == 3 and details.count() == 2
+    runs = runs_of(spark, paths[0])
+    ledger, results, details = runs.read_ledger(paths[0]), runs.read(paths[1]), runs.read(paths[2])
+    assert ledger.groupBy("attempt", "seq").count().where("count = 3").count() == 3
+    assert results.count() == 3 and details.count() == 2
     latest = {r["task_id"]: r["status"] for r in task_plans.latest_status(ledger).collect()}
     assert latest == {0: 1, 1: -1, 2: 2}
     failed = results.where("status = 2").first()
     assert failed["all_n"] is None and failed["finish_time"] is None
 
     run_batch(tasks.where("task_id = 1"), *sides, KPIS, "b", *paths, at=at("2024-02-02 00:00:00"), threshold=0.1)
-    latest = {r["task_id"]: r["status"] for r in task_plans.latest_status(spark.read.parquet(paths[0])).collect()}
+    latest = {r["task_id"]: r["status"] for r in task_plans.latest_status(runs.read_ledger(paths[0])).collect()}
     assert latest == {0: 1, 1: 1, 2: 2}
     more = spark.createDataFrame([task(2, 2), task(3, 3)], TASK_SCHEMA)
-    assert [r["task_id"] for r in pending_tasks(more, spark.read.parquet(paths[0])).collect()] == [3]
+    assert [r["task_id"] for r in pending_tasks(more, runs.read_ledger(paths[0])).collect()] == [3]
+    assert [runs.remove_superseded("a", p) for p in paths] == [1, 1, 1]
+    assert runs.read(paths[1]).count() == 4 and Path(paths[1], "run=a").is_dir()
 
 
 def test_a_repeated_run_without_mismatches_leaves_no_details(spark, sides, tmp_path):
     tasks = spark.createDataFrame([task(1, 1)], TASK_SCHEMA)
-    paths = [str(tmp_path / name) for name in ("ledger", "results", "details")]
+    paths = outputs(tmp_path)
     folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
     held = set(folder.iterdir())
     run_batch(tasks, *sides, KPIS, "r1", *paths, at=at())
-    assert spark.read.parquet(paths[2]).count() == 2
+    runs = runs_of(spark, paths[0])
+    assert runs.read(paths[2]).count() == 2
     run_batch(tasks, sides[0], sides[0], KPIS, "r1", *paths, at=at())
-    assert spark.read.parquet(paths[2]).count() == 0
-    assert spark.read.parquet(paths[1]).first()["status"] == 1
+    assert runs.read(paths[2]).count() == 0
+    assert runs.read(paths[1]).first()["status"] == 1
     assert set(folder.iterdir()) == held  # nothing in between stays
 
 
+@pytest.mark.parametrize("last", ["results", "outcome", "commit"])
+def test_a_repeat_that_stops_leaves_the_former_run_whole(spark, sides, tmp_path, monkeypatch, last):
+    tasks = spark.createDataFrame([task(1, 1), task(2, 0)], TASK_SCHEMA)
+    paths = outputs(tmp_path)
+    run_batch(tasks, *sides, KPIS, "r1", *paths, at=at("2024-01-01 00:00:00"))
+    runs = runs_of(spark, paths[0])
+    before = [sorted(map(str, runs.read(p).collect())) for p in paths[1:]]
+
+    write, commit = Runs.write, Runs.commit
+
+    def stops(self, df, path, attempt, **parts):
+        if (last, path, parts) in (("results", paths[1], {}), ("outcome", paths[0], {"seq": 1})):
+            raise InterruptedError
+        write(self, df, path, attempt, **parts)
+
+    def no_commit(self, attempt, written):
+        raise InterruptedError
+
+    monkeypatch.setattr(Runs, "write", stops)
+    monkeypatch.setattr(Runs, "commit", no_commit)
+    with pytest.raises(InterruptedError):
+        run_batch(tasks.where("task_id = 1"), sides[0], sides[0], KPIS, "r1", *paths, at=at("2024-01-02 00:00:00"))
+    assert [sorted(map(str, runs.read(p).collect())) for p in paths[1:]] == before
+    latest = {r["task_id"]: (r["status"], r["stamp"]) for r in task_plans.latest_status(runs.read_ledger(paths[0])).collect()}
+    assert latest == {1: (3, 20240102000000), 2: (1, 20240101000000)}
+
+    monkeypatch.setattr(Runs, "write", write)
+    monkeypatch.setattr(Runs, "commit", commit)
+    third = run_batch(tasks, sides[0], sides[0], KPIS, "r1", *paths, at=at("2024-01-03 00:00:00"))
+    assert third.number == 3 and runs.read(paths[2]).isEmpty() and runs.read(paths[1]).count() == 2
+    latest = {r["task_id"]: r["status"] for r in task_plans.latest_status(runs.read_ledger(paths[0])).collect()}
+    assert latest == {1: 1, 2: 1}
+
+
+def test_attempts_have_numbers_of_their_own(spark, tmp_path):
+    runs = Runs(spark, str(tmp_path / "runs"))
+    assert runs.committed().collect() == []
+    first, second = runs.begin("a"), Runs(spark, str(tmp_path / "runs")).begin("a")
+    assert (first.number, second.number, runs.begin("a.b").number) == (1, 2, 1)
+    runs.commit(second, [])
+    runs.commit(first, [])  # the earlier one, committed late, does not count
+    assert [tuple(r) for r in runs.committed().collect()] == [("a", 2)]
+
+
 def test_tasks_may_come_from_the_ledger_of_the_run(spark, sides, tmp_path):
-    paths = [str(tmp_path / name) for name in ("ledger", "results", "details")]
+    paths = outputs(tmp_path)
     sheet = spark.createDataFrame([task(1, 1), task(2, 0)], TASK_SCHEMA)
     run_batch(sheet.where("task_id = 2"), *sides, KPIS, "a", *paths, at=at())
-    pending = pending_tasks(sheet, spark.read.parquet(paths[0]))
+    runs = runs_of(spark, paths[0])
+    pending = pending_tasks(sheet, runs.read_ledger(paths[0]))
     run_batch(pending, *sides, KPIS, "b", *paths, at=at())
-    assert spark.read.parquet(paths[1]).where("run = 'b'").count() == 1
+    assert runs.read(paths[1]).where("run = 'b'").count() == 1
 
 
 def test_runs_in_one_second_keep_their_order(spark):
