@@ -425,6 +425,11 @@ def batch_reconcile(spark, sf_dir):
     return _batch(spark, sf_dir)[1].results.drop(*KEY_COUNTS)
 
 
+@query(f"SELECT {_RESULT}, CAST(status AS INTEGER) AS status FROM group_results", ["group_results"])
+def batch_fingerprint(spark, sf_dir):
+    return _batch(spark, sf_dir, fingerprints=True)[1].results.drop(*KEY_COUNTS)
+
+
 @query(
     """SELECT g.sd, g.st, count(*) FILTER (n.mo IS NOT NULL AND o.mo IS NOT NULL) AS matched,
               count(*) FILTER (n.mo IS NOT NULL AND o.mo IS NULL) AS only_new,

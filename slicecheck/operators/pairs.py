@@ -38,7 +38,7 @@ def pair_rows(
         side.select(
             *_keys(side, keys),
             F.lit(1).alias(f"in_{mark}"),
-            _bad_key(side, keys).alias(f"bad_{mark}"),
+            bad_key(side, keys).alias(f"bad_{mark}"),
             *[value(k).alias(f"{mark}_{k}") for k in kpis],
         )
         for side, mark in ((new, "x"), (old, "y"))
@@ -75,7 +75,7 @@ def pair_differences(
         side.select(
             *_keys(side, keys),
             F.lit(1).alias(f"in_{mark}"),
-            _bad_key(side, keys).alias(f"bad_{mark}"),
+            bad_key(side, keys).alias(f"bad_{mark}"),
             *[F.expr(f"{sign}try_cast(`{k}` AS DOUBLE) AS `d_{k}`") for k in kpis],
             *[c for columns in packed.values() for c in columns],
         )
@@ -156,7 +156,7 @@ def _keys(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     return [entity_key(df).alias(k) if k == ENTITY else F.col(k) for k in keys]
 
 
-def _bad_key(df: DataFrame, keys: Sequence[str]) -> Column:
+def bad_key(df: DataFrame, keys: Sequence[str] = (ENTITY,)) -> Column:
     """1 for a key that is there but no whole number, else null. Facts of several tables tell
     it in a column."""
     if ENTITY in keys and BAD_KEY in df.columns:
