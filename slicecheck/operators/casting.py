@@ -11,10 +11,15 @@ from pyspark.sql import types as T
 from slicecheck.settings import ENTITY
 
 
+def column_type(df: DataFrame, column: str) -> T.DataType:
+    """By name, in upper or lower case."""
+    return next(f.dataType for f in df.schema.fields if f.name.lower() == column.lower())
+
+
 def whole_number(df: DataFrame, column: str, kind: str = "bigint") -> Column:
     """A column as whole numbers; null where it is none. Fractions are not cut off."""
     value = F.col(column)
-    if isinstance(df.select(value).schema[0].dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+    if isinstance(column_type(df, column), (T.DoubleType, T.FloatType, T.DecimalType)):
         return F.when(value == F.floor(value), value.try_cast(kind))
     return value.try_cast(kind)
 

@@ -8,6 +8,7 @@ from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slicecheck.functions.text import bracket_list
 from slicecheck.operators.pairs import (
@@ -20,7 +21,7 @@ from slicecheck.operators.pairs import (
     pair_rows,
     words_of,
 )
-from slicecheck.operators.casting import long_counts, not_castable
+from slicecheck.operators.casting import column_type, long_counts, not_castable
 from slicecheck.settings import ENTITY, TOLERANCE
 
 
@@ -111,7 +112,8 @@ def melt(df: DataFrame, keys: Sequence[str], kpis: Sequence[str]) -> DataFrame:
 def compare_long(
     new: DataFrame, old: DataFrame, keys: Sequence[str], tol: float = TOLERANCE
 ) -> DataFrame:
-    """Compare two tables in long form, for sources that are long already.
+    """Compare two tables in long form, for sources that are long already; for wide ones see
+    :func:`compare_long_of`.
     One row per matched (key, kpi): ``x``, ``y``, ``diff``, ``is_bad``, and ``is_failed``
     where a side has a value that is no number and the other is not null.
     """
@@ -135,6 +137,38 @@ def compare_long(
     )
 
 
+def compare_long_of(
+    new: DataFrame,
+    old: DataFrame,
+    keys: Sequence[str],
+    kpis: Sequence[str],
+    tol: float = TOLERANCE,
+    only_bad: bool = False,
+) -> DataFrame:
+    """What :func:`compare_long` gives for two wide tables. They are paired as they are, one
+    row per key in the shuffle, and put below each other after it."""
+    sides = (new, old)
+    text = [k for k in kpis if any(isinstance(column_type(s, k), T.StringType) for s in sides)]
+    marked = sides if not text else [
+        side.withColumns({f"_failed_{k}": not_castable(F.col(k), "double").cast("int") for k in text}) for side in sides
+    ]
+    pairs = pair_rows(*marked, keys, [*kpis, *[f"_failed_{k}" for k in text]]).where(is_matched())
+    entries, bad = [], []
+    for k in kpis:
+        x, y, failed = F.col(f"x_{k}"), F.col(f"y_{k}"), F.lit(False)
+        if k in text:
+            x_failed, y_failed = F.col(f"x__failed_{k}") > 0, F.col(f"y__failed_{k}") > 0
+            both_set = (x.isNotNull() | x_failed) & (y.isNotNull() | y_failed)
+            failed = both_set & (x_failed | y_failed)
+        bad.append(exceeds(x - y, tol))
+        entry = {"kpi": F.lit(k), "x": x, "y": y, "diff": x - y, "is_bad": bad[-1], "is_failed": failed}
+        entries.append(F.struct(*[c.alias(name) for name, c in entry.items()]))
+    if only_bad:
+        pairs = pairs.where(reduce(or_, bad))
+    found = pairs.select(*keys, F.inline(F.array(*entries)))
+    return found.where("is_bad") if only_bad else found
+
+
 def errors_by_kpi(
     new: DataFrame,
     old: DataFrame,

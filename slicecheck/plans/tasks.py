@@ -91,7 +91,7 @@ def group_task_ids(tasks: DataFrame, size: int = KEYS_PER_BATCH) -> DataFrame:
     slice with very many tasks does not become one huge cell.
     """
     numbered = number_rows(
-        by_slice(tasks).select(*SLICE, "task_id").distinct(), SLICE, [F.col("task_id")]
+        by_slice(tasks).select(*SLICE, "task_id").distinct(), SLICE, ["task_id"]
     )
     chunk = F.expr(f"pos div {size}").alias("chunk")
     return numbered.groupBy(*SLICE, chunk).agg(

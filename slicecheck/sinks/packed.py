@@ -123,7 +123,7 @@ def packed_blobs(
     )
     # A row and its copies may reach over several parts.
     reached = F.expr(f"sequence(pos div {size}, (pos + copies - 1) div {size})")
-    placed = number_rows(rows, by, [F.col("_order"), F.col("line")], "copies").select(
+    placed = number_rows(rows, by, ["_order", "line"], "copies").select(
         "*", F.explode(reached).alias("part")
     )
     inside = F.least(F.col("pos") + F.col("copies"), (F.col("part") + 1) * size) - F.greatest(

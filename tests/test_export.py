@@ -177,5 +177,5 @@ def test_batches_of_one_large_slice(spark):
 
 def test_positions_in_null_slices(spark):
     df = spark.createDataFrame([(None, 3), (None, 1), (1, 2)], "s int, mo bigint")
-    rows = {(r["s"], r["mo"]): r["pos"] for r in number_rows(df, ["s"], [F.col("mo")]).collect()}
+    rows = {(r["s"], r["mo"]): r["pos"] for r in number_rows(df, ["s"], ["mo"]).collect()}
     assert rows == {(None, 1): 0, (None, 3): 1, (1, 2): 0}
