@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,11 @@ from slicecheck.sources.quarantine import Copy, failed_models, fault_rows, held_
 from slicecheck.sources.tables import Catalog, facts_of, value_columns
 
 BY = ["slice_no"]
+# A slice table of so many rows is sent to all tasks.
+SENT_SLICES = 10_000
+# Rows of a slice that are joined under one key, and how many slices may have more.
+SALT_ROWS = 2_000_000
+MOST_HOT = 5_000
 # What became of the keys of a slice, next to the matched ones.
 KEY_COUNTS = ["only_new", "only_old", "null_keys", "bad_keys"]
 RESULT = [
@@ -185,9 +191,10 @@ def route(
     facts: Sequence[DataFrame], groups: DataFrame, asked: Asked, kpis: Sequence[str]
 ) -> list[DataFrame]:
     """The facts that tasks ask for, ``slice_no, mo`` and the KPIs. Only these columns are
-    read. The planner chooses how the slices are joined by the size of their table; where
-    both sides are shuffled, adaptive execution splits a slice with very many rows. A slice
-    is one number from here on.
+    read. A slice table of at most ``SENT_SLICES`` rows, which is counted, is sent to the
+    facts. A larger one is joined by shuffle; there a slice with very many rows is dealt out
+    over salts, as many as its counted size calls for, and its row in the slice table is
+    copied to each. A slice is one number from here on.
     """
     days = F.lit(False)
     if asked.first_day is not None:
@@ -195,10 +202,19 @@ def route(
     # The range holds for every slice. Only with a filter on the small side does Spark
     # hand its days to the scan of the large one.
     slices = groups.where(days).select(*SLICE, "slice_no", "restricted")
+    salts = None
+    if groups.count() <= SENT_SLICES:
+        slices = F.broadcast(slices)
+    else:
+        salts = hot_slices(facts, days)
     routed = []
     for side in facts:
         entity = [c for c in (ENTITY, BAD_KEY) if c in side.columns]
-        rows = side.where(days).select(*SLICE, *entity, *kpis).join(slices, SLICE)
+        rows = side.where(days).select(*SLICE, *entity, *kpis)
+        if salts is None:
+            rows = rows.join(slices, SLICE)
+        else:
+            rows = salted(rows, entity_key(side), slices, salts)
         if asked.restricted:
             listed = listed_entities(groups, BY).distinct()
             listed = listed.select(
@@ -210,6 +226,26 @@ def route(
     return routed
 
 
+def hot_slices(facts: Sequence[DataFrame], days: Column) -> DataFrame:
+    """``SLICE, salts`` of the slices with more than ``SALT_ROWS`` rows on both sides together;
+    at most ``MOST_HOT``, so that they may be sent to every task."""
+    rows = reduce(DataFrame.unionAll, [side.where(days).select(*SLICE) for side in facts])
+    sizes = written(rows.groupBy(*SLICE).agg(F.count("*").alias("_n")))
+    total = sizes.agg(F.sum("_n")).first()[0] or 0
+    limit = max(SALT_ROWS, -(-total // MOST_HOT))
+    hot = sizes.where(F.col("_n") > limit)
+    return hot.select(*SLICE, F.ceil(F.col("_n") / limit).cast("int").alias("salts"))
+
+
+def salted(rows: DataFrame, key: Column, slices: DataFrame, hot: DataFrame) -> DataFrame:
+    """``rows`` joined to their slices by shuffle, hot slices by part of their keys."""
+    part = F.pmod(F.xxhash64(key, F.monotonically_increasing_id()), F.col("salts")).cast("int")
+    dealt = rows.join(F.broadcast(hot), SLICE, "left").withColumn("_salt", F.coalesce(part, F.lit(0))).drop("salts")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1)
+    copied = slices.join(F.broadcast(hot), SLICE, "left").withColumn("_salt", F.explode(copies)).drop("salts")
+    return dealt.join(copied, [*SLICE, "_salt"]).drop("_salt")
+
+
 def tally_slices(
     new: DataFrame, old: DataFrame, kpis: Sequence[str], tol: float = TOLERANCE
 ) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
+from slicecheck.plans import batch as plans
 from slicecheck.plans import tasks as task_plans
 from slicecheck.plans.batch import asked_for, check_plans, reconcile_batch, route, run_batch, runs_of
 from slicecheck.settings import ensure_checkpoint_dir, written
@@ -152,15 +153,44 @@ def test_junk_fails_its_own_slice_only(spark, sides):
     assert results["m", 1]["status"] == -1  # the KPI with junk is not checked
 
 
-def test_joined_slices_give_the_same(spark, sides):
+@pytest.fixture
+def shuffled(spark, monkeypatch):
+    """Slices are neither sent nor left to adaptive execution."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    monkeypatch.setattr(plans, "SENT_SLICES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    for key, value in kept.items():
+        spark.conf.set(key, value)
+
+
+def test_joined_slices_give_the_same(spark, sides, request, monkeypatch):
     asked = [task(1, 1), task(2, 5, "i2", "1,2"), task(3, 6)]
     sent = run(spark, sides, *asked)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        assert run(spark, sides, *asked) == sent
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    request.getfixturevalue("shuffled")
+    assert run(spark, sides, *asked) == sent
+    monkeypatch.setattr(plans, "SALT_ROWS", 2)
+    assert run(spark, sides, *asked) == sent
+
+
+def test_no_task_gets_a_hot_slice(spark, shuffled, monkeypatch):
+    rows = 20_000
+    monkeypatch.setattr(plans, "SALT_ROWS", rows // 16)
+    facts = spark.range(rows).selectExpr(
+        "'m' AS motype", "'h' AS period", "20240101 AS sd", "CAST(IF(id % 10 < 9, 0, id % 100) AS INT) AS st",
+        "id AS mo", "1.0D AS i1",
+    )
+    tasks = spark.createDataFrame([task(st, st) for st in range(100)], TASK_SCHEMA)
+    groups = written(check_plans(tasks, ["i1"]))
+    new, _ = route([facts, facts], groups, asked_for(groups), ["i1"])
+    joined = new.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in joined) == rows
+    # Of the slice with nine tenths of all rows no task has more than a third.
+    assert max(r["count"] for r in joined) < rows / 3
+    batch = reconcile_batch(tasks, facts, facts, ["i1"])
+    found = {r["st"]: (r["matched"], r["status"]) for r in batch.results.collect()}
+    assert found[0] == (rows * 9 // 10, 1) and found[9] == (200, 1) and found[10] == (0, 2)
 
 
 def test_only_what_is_asked_for_is_read_and_shuffled(spark, tmp_path):
