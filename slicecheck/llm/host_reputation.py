@@ -12,7 +12,8 @@ the pages is one row afterwards; pages get their host's bound by a join on the h
 adaptive execution may split.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path; the empty
-host is its own domain and suffix. Pages that repeat count each. Without labels the
+host is its own domain and suffix. Pages that repeat count each; a null page_id has no label.
+Hosts of any length are judged whole. An empty table gives an empty one. Without labels the
 share of bad pages is ``NO_LABELS_BAD`` and nothing but the rules blocks.
 """
 
@@ -38,6 +39,11 @@ MOST_BAD = 0.3
 QUANTILE = 1.2815515655446004  # one-sided, 90 %
 LEAST_STRENGTH, MOST_STRENGTH = 2.0, 1000.0
 NO_LABELS_BAD = 0.0
+# What stands around the name in a host, numeric addresses, and names under a
+# suffix of two labels.
+USER, PORT = "^.*@", r":[0-9]*\z"
+NUMERIC = r"^[0-9]+(\.[0-9]+){3}\z"
+TWO_LABELS = r"(^|\.)(ac|co|com|edu|gob|gov|net|ne|or|org)\.[a-z]{2}\z"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -63,9 +69,16 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return found
 
 
-def domain_of(host: Column, labels: int) -> Column:
-    """The last ``labels`` labels of a host."""
-    return F.substring_index(host, ".", -labels)
+def levels_of(host: Column) -> tuple[Column, Column]:
+    """Registered domain and suffix. A user before ``@`` and a port are left out; a numeric
+    address is its own domain and suffix; under a country, a label like ``co`` belongs to
+    the suffix."""
+    name = F.regexp_replace(F.regexp_replace(host, USER, ""), PORT, "")
+    long = F.rlike(name, F.lit(TWO_LABELS))
+    numeric = F.rlike(name, F.lit(NUMERIC))
+    domain = F.when(long, F.substring_index(name, ".", -3)).otherwise(F.substring_index(name, ".", -2))
+    suffix = F.when(long, F.substring_index(name, ".", -2)).otherwise(F.substring_index(name, ".", -1))
+    return F.when(numeric, name).otherwise(domain), F.when(numeric, name).otherwise(suffix)
 
 
 def beta_bound(a: Column, b: Column, z: float) -> Column:
@@ -93,11 +106,12 @@ def strength(groups: DataFrame) -> Column:
 
 def host_bounds(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """host, n, k, bad_mean, bad_bound. ``pages``: page_id, host; ``labels``: page_id, bad."""
+    domain, suffix = levels_of(F.col("host"))
     counts = written(
         pages.join(labels, "page_id", "left")
         .groupBy("host")
         .agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("k"))
-        .select("*", domain_of(F.col("host"), 2).alias("domain"), domain_of(F.col("host"), 1).alias("suffix"))
+        .select("*", domain.alias("domain"), suffix.alias("suffix"))
     )
     domains = counts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
@@ -189,9 +203,13 @@ WITH r AS (
   FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY 1
 ), c AS (
   SELECT host, count(bad) AS n, coalesce(sum(bad), 0)::BIGINT AS k,
-         array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
-         array_to_string(list_slice(string_split(host, '.'), -1, -1), '.') AS suffix
-  FROM p LEFT JOIN b USING (page_id) GROUP BY host
+         CASE WHEN regexp_matches(name, '{NUMERIC}') THEN name
+              ELSE array_to_string(list_slice(string_split(name, '.'), -labels - 1, -1), '.') END AS domain,
+         CASE WHEN regexp_matches(name, '{NUMERIC}') THEN name
+              ELSE array_to_string(list_slice(string_split(name, '.'), -labels, -1), '.') END AS suffix
+  FROM (SELECT *, CASE WHEN regexp_matches(name, '{TWO_LABELS}') THEN 2 ELSE 1 END AS labels FROM (
+          SELECT *, regexp_replace(regexp_replace(host, '{USER}', ''), '{PORT}', '') AS name FROM p))
+  LEFT JOIN b USING (page_id) GROUP BY host, name, labels
 ), d AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM c GROUP BY 1, 2
 ), x AS (SELECT suffix, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM d GROUP BY 1
 ), base AS (SELECT CASE WHEN sum(n) > 0 THEN sum(k)::DOUBLE / sum(n)::DOUBLE ELSE 0.0 END AS m FROM x

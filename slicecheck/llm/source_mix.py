@@ -12,6 +12,10 @@
   into as many blocks of equally many words as the source has slots, and slot r takes
   block r. The stream ends at the target, so each source gives exactly that many words.
 
+What comes of the schedule: the first slot of every document (and how many slots its source
+has), and the order of the mixed rows. They are written slot by slot, so a reader who takes
+the files in their order meets the sources in proportion from the first words on.
+
 A source whose stretch holds no point still gets one slot, after all others, so that
 small sources are not lost. Documents are spread over buckets of the hash for their
 running sums; a bucket is small and the sums of the buckets are one narrow table.
@@ -153,9 +157,12 @@ class Mix:
         self.numbered = self.rows.join(numbers, same, "left").drop("_source")
         self.placed = laid_out(self.numbered.where("size > 0"))
 
-    def slots(self) -> DataFrame:
+        self.total = self.sources.agg(F.sum("source_size").alias("n")).first().n or 0
+        self.slots = written(self._slots())
+
+    def _slots(self) -> DataFrame:
         """slot, number, rank, width: all slots; the words of a block of the source."""
-        total = self.sources.agg(F.sum("source_size").alias("n")).first().n or 0
+        total = self.total
         slots = schedule(self.sources, -(-total // BLOCK_WORDS))
         count = slots.groupBy("number").agg(F.count("*").alias("slots"))
         every = self.sources.where("words > 0").join(count, "number", "left")
@@ -168,7 +175,7 @@ class Mix:
     def pieces(self) -> DataFrame:
         """slot, number, row, id, size, word_from, word_to: which words of which documents stand
         in each slot. A document taken twice has pieces of both times."""
-        slots = written(self.slots())
+        slots = self.slots
         words = self.sources.select("number", "source_size", "words")
         widths = slots.groupBy("number").agg(F.max("width").alias("width"))
         times = F.floor((F.col("words") - F.col("begin") - 1) / F.col("source_size"))
@@ -193,23 +200,37 @@ class Mix:
 
 
     def taken(self) -> DataFrame:
-        """row, taken: words that the schedule's slots hold of each row."""
+        """row, taken, first_slot: words that the schedule's slots hold of each row, and the
+        first of these slots."""
         words = F.sum(F.col("word_to") - F.col("word_from")).cast("long")
-        return self.pieces().groupBy("row").agg(words.alias("taken"))
+        return self.pieces().groupBy("row").agg(words.alias("taken"), F.min("slot").alias("first_slot"))
+
+    def source_slots(self) -> DataFrame:
+        return self.slots.groupBy("number").agg(F.count("*").alias("source_slots"))
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The rows of ``docs`` as often as the mix begins them, with all their columns. Rows
     that repeat in id, source and text are taken equally often."""
     mix = Mix(docs, doc_id, text, source)
-    begun = mix.pieces().where("word_from = 0").groupBy("row").agg(F.count("*").alias("n"))
+    # A row begins at most MOST_TIMES times.
+    slots = F.array_sort(F.collect_list("slot")).alias("slots")
+    begun = mix.pieces().where("word_from = 0").groupBy("row").agg(slots)
     keys = ["_id", "_source", "_no_source", "_key"]
     rows = mix.rows.join(begun, "row", "left").groupBy(*_keys(F.col("id"), F.col("source"), F.col("key")))
-    times = rows.agg(F.round(F.sum(F.coalesce("n", F.lit(0))) / F.count("*")).cast("int").alias("_times"))
+    n = F.sum(F.coalesce(F.size("slots"), F.lit(0))) / F.count("*")
+    first = F.array_compact(F.array(*[F.min(F.get("slots", F.lit(i))) for i in range(MOST_TIMES)]))
+    times = rows.agg(F.round(n).cast("int").alias("_times"), first.alias("_slots")).where("_times > 0")
     own = _keys(docs[doc_id], docs[source], place_key(docs[doc_id], text_of(docs, text)))
     keyed = docs.select(F.struct("*").alias("_row"), *own)
-    kept = keyed.join(times.where("_times > 0"), keys)
-    return kept.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_row.*")
+    kept = keyed.join(times, keys).withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    slot = F.get("_slots", F.least(F.col("_time"), F.size("_slots")) - 1)
+    # Slots hold equally many words, so equal stretches of them are equal partitions.
+    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = max(1, -(-mix.total // (BLOCK_WORDS * n_parts)))
+    part = F.least(F.floor(slot / each), F.lit(n_parts - 1)).cast("int")
+    placed = kept.withColumn("_slot", slot).withColumn("_part", part).repartitionById(n_parts, F.col("_part"))
+    return placed.sortWithinPartitions("_slot", "_key").select("_row.*")
 
 
 def _keys(doc_id: Column, source: Column, key: Column) -> list[Column]:
@@ -224,12 +245,15 @@ def _keys(doc_id: Column, source: Column, key: Column) -> list[Column]:
 def query(docs: DataFrame) -> DataFrame:
     """op5: what the mix takes of every document."""
     mix = Mix(docs)
-    return mix.numbered.join(mix.taken(), "row", "left").select(
+    rows = mix.numbered.join(mix.taken(), "row", "left").join(mix.source_slots(), "number", "left")
+    return rows.select(
         F.col("id").alias("doc_id"),
         "size",
         "source_size",
         "target",
         F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
+        "first_slot",
+        F.coalesce("source_slots", F.lit(0).cast("long")).alias("source_slots"),
     )
 
 
@@ -252,14 +276,31 @@ WITH d AS (
 ), t AS (
   SELECT source, source_size, n, CASE WHEN level >= full_at THEN cap::DOUBLE ELSE weight * held END AS target
   FROM l, h
+), b AS (
+  SELECT *, floor(target)::BIGINT AS words, coalesce(lag(high) OVER (ORDER BY n), 0) AS low FROM (
+    SELECT *, CASE WHEN sum(source_size) OVER () > 0
+      THEN round(sum(target) OVER (ORDER BY n) / sum(source_size) OVER () * {POINTS}) ELSE 0 END::BIGINT AS high
+    FROM t)
+), k AS (
+  SELECT n, slot, row_number() OVER (PARTITION BY n ORDER BY slot) - 1 AS rank
+  FROM b JOIN (
+    SELECT slot, (slot % {POINTS} * {GOLDEN} + {POINTS // 2}) % {POINTS} AS point
+    FROM (SELECT unnest(range(ceil((SELECT sum(source_size) FROM t) / {BLOCK_WORDS})::BIGINT)) AS slot))
+    ON point >= low AND point < high
+), e AS (
+  SELECT b.*, CASE WHEN words > 0 THEN coalesce(c, 1) ELSE 0 END AS source_slots, c IS NULL AS late,
+    ceil(words / coalesce(c, 1))::BIGINT AS width, (sum(source_size) OVER ())::BIGINT AS total
+  FROM b LEFT JOIN (SELECT n, count(*) AS c FROM k GROUP BY n) USING (n)
 ), p AS (
-  SELECT d.*, source_size, target, floor(target)::BIGINT AS words,
+  SELECT d.*, n, source_size, target, words, source_slots, late, width, total,
     coalesce(sum(size) OVER (PARTITION BY n ORDER BY key, id, size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin_
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
 )
 SELECT id AS doc_id, size::BIGINT AS size, source_size, target,
   (least(greatest(words - begin_, 0), size) + least(greatest(words - source_size - begin_, 0), size)
-   + least(greatest(words - 2 * source_size - begin_, 0), size))::BIGINT AS taken
-FROM p
+   + least(greatest(words - 2 * source_size - begin_, 0), size))::BIGINT AS taken,
+  CASE WHEN size > 0 AND begin_ < words THEN CASE WHEN late THEN p.n + total ELSE k.slot END END AS first_slot,
+  source_slots
+FROM p LEFT JOIN k ON k.n = p.n AND k.rank = p.begin_ // nullif(p.width, 0)
 """

@@ -102,6 +102,24 @@ def test_bad_hosts_are_blocked_and_thin_ones_follow_their_domain(spark):
     assert verdict[4] == "block" and verdict[1] == "allow" and verdict[1001] == "allow" and verdict[1002] == "allow"
 
 
+def test_levels_of_hosts(spark):
+    hosts = {
+        "user@a.co.uk:8080": ("a.co.uk", "co.uk"), "b.co.uk": ("b.co.uk", "co.uk"), "x.b.co.uk": ("b.co.uk", "co.uk"),
+        "10.0.0.1": ("10.0.0.1", "10.0.0.1"), "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"), "a.b.com": ("b.com", "com"),
+        "co.uk": ("co.uk", "co.uk"), "com": ("com", "com"), "": ("", ""), "a.co.com": ("co.com", "com"), ":": ("", ""),
+    }
+    rows = spark.createDataFrame([(h,) for h in hosts], "host string")
+    found = rows.select("host", *host_reputation.levels_of(rows.host)).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == hosts
+
+
+def test_pages_without_id_have_no_label(spark):
+    pages = spark.createDataFrame([(None, "http://a.org/"), (None, "http://a.org/"), (1, "http://a.org/" + "x" * 10**6)], "page_id long, url string")
+    labels = spark.createDataFrame([(1, 0)], "page_id long, bad int")
+    rows = host_reputation.judge(pages, labels).collect()
+    assert len(rows) == 3 and {r.verdict for r in rows} == {"allow"} and max(len(r.path) for r in rows) == 10**6 + 1
+
+
 def test_beta_bound_is_near_the_quantile(spark):
     random = np.random.default_rng(1)
     for a, b in ((2.0, 9.0), (30.0, 70.0), (5.0, 3.0)):
@@ -135,6 +153,48 @@ def test_mix_is_a_schedule_of_whole_targets(spark):
     assert source_mix.mixed(empty(spark)).collect() == []
 
 
+def plain_slots(sizes: dict, target: dict) -> dict:
+    """Slots of each source, in order, by the golden-ratio sequence alone."""
+    total, order = sum(sizes.values()), sorted(sizes)
+    ends, level = [], 0.0
+    for source in order:
+        level += target[source]
+        ends.append(round(level / total * source_mix.POINTS))
+    found = {s: [] for s in order}
+    for slot in range(-(-total // source_mix.BLOCK_WORDS)):
+        point = (slot * source_mix.GOLDEN + source_mix.POINTS // 2) % source_mix.POINTS
+        found[next(s for s, end in zip(order, ends) if point < end)].append(slot)
+    return found
+
+
+def test_slots_of_documents_are_those_of_the_sequence(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = source_mix.query(docs).join(docs.select("doc_id", "source"), "doc_id").collect()
+    sizes = {r.source: r.source_size for r in rows}
+    slots = plain_slots(sizes, {r.source: r.target for r in rows})
+    assert {r.source: r.source_slots for r in rows} == {s: len(x) for s, x in slots.items()}
+    began = {}
+    for row in sorted(source_mix.sized(docs).collect(), key=lambda r: (r.source, r.key, r.id)):
+        began[row.id] = began.setdefault(("at", row.source), 0)
+        began["at", row.source] += row["size"]
+    for r in rows:
+        words, own = int(r.target), slots[r.source]
+        here = r["size"] > 0 and began[r.doc_id] < words
+        assert r.first_slot == (own[began[r.doc_id] // -(-words // len(own))] if here else None)
+    # The mixed rows stand in the order of their slots.
+    first = {r.doc_id: r.first_slot for r in rows}
+    times = {}
+    order = [r.doc_id for r in source_mix.mixed(docs).collect()]
+    for doc_id in order:
+        times[doc_id] = times.get(doc_id, 0) + 1
+    single = [first[d] for d in order if times[d] == 1 and first[d] is not None]
+    assert len(single) > 50 and single == sorted(single)
+    # Without the schedule the result is another one.
+    before = {r.doc_id: r.first_slot for r in rows}
+    monkeypatch.setattr(source_mix, "GOLDEN", 1)
+    assert {r.doc_id: r.first_slot for r in source_mix.query(docs).collect()} != before
+
+
 def test_targets_stop_at_three_times_and_the_rest_is_shared_again(spark):
     sizes = {"a": 10, "b": 20, "c": 1000, "d": 5, None: 3}
     rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
