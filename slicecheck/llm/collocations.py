@@ -41,7 +41,7 @@ TOP = 2000
 HIDES = 80
 SCALE = 2_000_000
 # Aimed at per route; a word with more occurrences is hot.
-ROUTE_WORDS = 1_000_000
+ROUTE_WORDS = 2_000_000
 HOT_WORDS = 200_000
 FILTER_BITS = 23
 # Characters and words that a task holds at once.
@@ -72,12 +72,10 @@ class Numbers(dict):
 def numbered(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
     """The distinct words of some texts, and all words by number, 0 after each piece."""
     numbers = Numbers({b".": 0})
-    raw = "\n".join(texts).encode().translate(_PLAIN)
-    words = raw.replace(b"\n", b" . ").split(b" ")
-    # Of spaces in a row come empty words.
-    flat = [numbers[w] for w in words if w]
-    flat.append(0)
-    return list(numbers), np.array(flat, np.int64)
+    words = "\n".join(texts).encode().translate(_PLAIN).replace(b"\n", b" . ").split()
+    flat = np.zeros(len(words) + 1, np.int64)
+    flat[:-1] = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+    return list(numbers), flat
 
 
 def hashes(lang: str, words: Iterable[bytes]) -> np.ndarray:
@@ -119,14 +117,20 @@ def suffixes(flat: np.ndarray) -> np.ndarray:
     return rows
 
 
-def counted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows and how often each occurs."""
-    key = rows[:, 0]
-    for k in range(1, rows.shape[1]):
-        _, key = np.unique(key, return_inverse=True)
-        key = (key << 32) | rows[:, k]
-    _, first, n = np.unique(key, return_index=True, return_counts=True)
-    return rows[first], n
+def counted(rows: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and how often each occurs, or the sums of their weights."""
+    if rows.max(initial=0) < 1 << 16:
+        key = rows.astype(np.uint64) @ (np.uint64(1) << np.arange(16 * rows.shape[1] - 16, -1, -16).astype(np.uint64))
+    else:
+        key = rows[:, 0].astype(np.int64)
+        for k in range(1, rows.shape[1]):
+            _, key = np.unique(key, return_inverse=True)
+            key = (key << 32) | rows[:, k]
+    if weights is None:
+        _, first, n = np.unique(key, return_index=True, return_counts=True)
+        return rows[first], n
+    _, first, same = np.unique(key, return_index=True, return_inverse=True)
+    return rows[first], np.bincount(same, weights, len(first)).astype(np.int64)
 
 
 def routes_of(rows: np.ndarray, hashed: np.ndarray, hot: np.ndarray, n_routes: int) -> np.ndarray:
@@ -140,6 +144,25 @@ def routes_of(rows: np.ndarray, hashed: np.ndarray, hot: np.ndarray, n_routes: i
     return ((route >> np.uint64(33)) % np.uint64(n_routes)).astype(np.int64)
 
 
+def thinned(
+    rows: np.ndarray, weights: np.ndarray, hot: np.ndarray, least: int = LEAST
+) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes cut before the word with which they become rare, and added up. Counts per
+    slot of a hash are at least those of a phrase, so none of ``least`` occurrences is lost;
+    phrases of hot words only, which are in other routes as well, are not cut."""
+    rows = rows.copy()
+    bits = np.uint64(64 - max(10, int(4 * len(rows)).bit_length()))
+    mixed, only_hot = rows[:, 0].astype(np.uint64), hot[rows[:, 0]]
+    for k in range(1, DEPTH):
+        mixed = (mixed * _MIX) ^ (mixed >> np.uint64(31)) ^ rows[:, k].astype(np.uint64)
+        only_hot = only_hot & hot[rows[:, k]] & (k + 1 < DEPTH)
+        slot = ((mixed * _MIX) >> bits).astype(np.int64)
+        rare = (np.bincount(slot, weights)[slot] < least) & ~only_hot
+        rows[rare, k:] = 0
+    stay = rows[:, 1] > 0
+    return counted(rows[stay], weights[stay])
+
+
 def equal_partitions(
     rows: np.ndarray, weights: np.ndarray, hot: np.ndarray, least: int = LEAST
 ) -> Iterator[tuple[np.ndarray, int]]:
@@ -148,7 +171,7 @@ def equal_partitions(
     those that may hold phrases of hot words only, which are in other routes as well.
     """
     # Pointers, the depth, and whether all words before it are hot.
-    todo = [(np.arange(len(rows)), 0, True)]
+    todo = [(np.arange(len(rows)), 0, True)] if len(rows) else []
     while todo:
         at, depth, split = todo.pop()
         words = rows[at, depth]
@@ -176,6 +199,16 @@ def equal_partitions(
                 todo.append((equal, depth + 1, spread))
 
 
+def _own_numbers(rows: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that occur, with 0, and the rows by place among them."""
+    if rows.size * 8 < n_words:
+        used, at = np.unique(np.append(rows, 0), return_inverse=True)
+        return used, at[:-1].reshape(rows.shape)
+    seen = np.zeros(n_words, bool)
+    seen[0] = seen[rows] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[rows]
+
+
 def words_of(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
     return docs.select(F.coalesce(docs[lang], F.lit("und")).alias("lang"), text_of(docs, text).alias("text"))
 
@@ -233,8 +266,10 @@ def phrase_counts(texts: DataFrame, words: DataFrame, least: int = LEAST) -> Dat
             slot = (hashed >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
             maybe = (cells.value[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1 == 1
             hot[0] = maybe[0] = False
-            # A rare word ends a suffix as the end of a piece does.
-            flat = np.where(maybe[flat], flat, 0)
+            # A rare word ends a suffix as the end of a piece does; the others are numbered anew.
+            names = [b".", *[names[w] for w in np.flatnonzero(maybe).tolist()]]
+            hashed, hot = (np.concatenate([x[:1], x[maybe]]) for x in (hashed, hot))
+            flat = np.where(maybe, np.cumsum(maybe), 0)[flat]
             for part in parts(flat):
                 rows = suffixes(part)
                 rows, n = counted(rows[rows[:, 1] > 0])
@@ -245,13 +280,13 @@ def phrase_counts(texts: DataFrame, words: DataFrame, least: int = LEAST) -> Dat
                 for low, high in zip(cuts, [*cuts[1:], len(to)]):
                     for some in range(low, high, ROW_SUFFIXES):
                         end = min(high, some + ROW_SUFFIXES)
-                        used, at = np.unique(np.append(rows[some:end], 0), return_inverse=True)
+                        used, at = _own_numbers(rows[some:end], len(names))
                         line = [
                             int(to[low]),
                             lang,
                             b" ".join(names[w] for w in used[1:].tolist()),
                             np.packbits(hot[used]).tobytes(),
-                            at[:-1].reshape(-1, DEPTH).T.astype("<u2" if len(used) < 65536 else "<u4").tobytes(),
+                            at.T.astype("<u2" if len(used) < 1 << 16 else "<u4").tobytes(),
                             n[some:end].astype("<u4").tobytes(),
                         ]
                         yield pa.RecordBatch.from_arrays(
@@ -261,7 +296,11 @@ def phrase_counts(texts: DataFrame, words: DataFrame, least: int = LEAST) -> Dat
     found = "lang string, phrase string, size int, n long"
     out = to_arrow(spark, found)
 
-    def sort_route(held: dict[str, list]) -> Iterator[pa.RecordBatch]:
+    def sort_route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {}
+        for batch in batches:
+            for lang, *block in zip(*[c.to_pylist() for c in batch.columns[1:]]):
+                held.setdefault(lang, []).append(block)
         for lang, blocks in held.items():
             numbers = Numbers({b".": 0})
             rows, weights, hot_words = [], [], [b"."]
@@ -277,7 +316,8 @@ def phrase_counts(texts: DataFrame, words: DataFrame, least: int = LEAST) -> Dat
             is_hot = np.zeros(len(numbers), bool)
             is_hot[[numbers[w] for w in hot_words[1:]]] = True
             names = list(numbers)
-            lines = equal_partitions(np.concatenate(rows), np.concatenate(weights), is_hot, least)
+            thin = thinned(np.concatenate(rows), np.concatenate(weights), is_hot, least)
+            lines = equal_partitions(*thin, is_hot, least)
             phrases, sizes, totals = [], [], []
             for phrase, n in lines:
                 phrases.append(b" ".join(names[w] for w in phrase.tolist()).decode())
@@ -288,19 +328,9 @@ def phrase_counts(texts: DataFrame, words: DataFrame, least: int = LEAST) -> Dat
                 [pa.array(v, type=f.type) for v, f in zip(columns, out)], schema=out
             )
 
-    def sort_routes(batches):
-        route_now, held = None, {}
-        for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for number, lang, *block in zip(*columns):
-                if number != route_now:
-                    yield from sort_route(held)
-                    route_now, held = number, {}
-                held.setdefault(lang, []).append(block)
-        yield from sort_route(held)
-
-    routed = texts.mapInArrow(route, sent).repartition("route").sortWithinPartitions("route")
-    longer = routed.mapInArrow(sort_routes, found).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+    # A route is a partition.
+    routed = texts.mapInArrow(route, sent).repartitionById(n_routes, F.col("route").cast("int"))
+    longer = routed.mapInArrow(sort_route, found).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
     single = often.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "n")
     return single.unionByName(longer.where(F.col("n") >= least))
 
