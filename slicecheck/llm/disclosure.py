@@ -7,7 +7,7 @@
    of term and entity, over the information of the entity itself, is how much of the
    entity the term discloses: 1 if the term occurs nowhere else.
 3. Terms above the upper threshold are removed, those above the lower one generalised,
-   wherever they stand in any text. A pair must stand in several different windows: copies
+   wherever they stand in any text. A pair must stand in two different windows: copies
    and near copies of one passage are one piece of evidence.
 
 All is built-in expressions. Words of the corpus are counted inside the map tasks first;
@@ -16,7 +16,8 @@ the matches, as pieces and matches alternate.
 
 Defined cases: a null text is empty and has no spans. Rows that repeat get the same
 spans. Positions are code points, ends exclusive. An entity that is in every document
-has no information and discloses nothing. Other columns are carried along untouched.
+has no information and discloses nothing. An empty table gives an empty one. Other columns
+are carried along untouched. Numbers of cards and phones are compared by their digits.
 """
 
 from __future__ import annotations
@@ -38,13 +39,15 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
-TERM = r"\p{L}{3,}+"
+LEAST_LETTERS = 3
+# Places of the bit table that is sent to all tasks: 128 KB.
+PLACE_BITS = 20
+TERM = rf"\p{{L}}{{{LEAST_LETTERS},}}+"
 NOT_LETTERS = r"[^\p{L}]+"
 
-# Parameters: code points of the window to each side; different windows a pair needs;
-# shares of an entity's information from which a term is generalised or removed.
+# Parameters: code points of the window to each side; shares of an entity's information from
+# which a term is generalised or removed.
 REACH = 60
-LEAST_WINDOWS = 2
 GENERALISE, REMOVE = 0.7, 0.9
 
 SPAN = "array<struct<start:int,end:int,value:string>>"
@@ -116,6 +119,12 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+def entity_of(kind: Column, value: Column) -> Column:
+    """A number is the same entity however its digits are set apart."""
+    plain = F.when(kind.isin("phone", "card"), F.regexp_replace(value, "[^0-9]", "")).otherwise(F.lower(value))
+    return F.concat_ws(":", kind, plain)
+
+
 def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.encode(text, "UTF-8")))
 
@@ -147,7 +156,7 @@ def searched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
             s["end"] + REACH < F.length("text"), F.regexp_replace(right, r"\p{L}*$", "")
         ).otherwise(right)
         return F.struct(
-            F.concat_ws(":", s["kind"], F.lower(s["value"])).alias("entity"),
+            entity_of(s["kind"], s["value"]).alias("entity"),
             F.substring(left, cut + 1, F.lit(REACH)).alias("left"),
             (low + cut).alias("left_at"),
             whole_right.alias("right"),
@@ -183,9 +192,16 @@ def mentions(found: DataFrame) -> DataFrame:
     return side("left").unionByName(side("right"))
 
 
+def terms_of(text: Column) -> Column:
+    """The distinct terms of a text. Words are cut first and lowered then, as everywhere:
+    some letters are two in lower case, and only one of these is a letter."""
+    words = F.filter(F.split(text, NOT_LETTERS), lambda w: F.length(w) >= LEAST_LETTERS)
+    return F.array_distinct(F.transform(words, F.lower))
+
+
 def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """term, n: in how many documents each term of the corpus occurs."""
-    terms = F.array_distinct(F.split(F.lower(text_of(docs, text)), NOT_LETTERS))
+    terms = terms_of(text_of(docs, text))
     return docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
 
 
@@ -195,13 +211,14 @@ def disclosing(docs: DataFrame, found: DataFrame, near: DataFrame, text: str = "
     # A document counts once for an entity, however often it names it.
     named = found.select(F.explode(F.array_distinct("contexts.entity")).alias("entity"))
     entities = named.groupBy("entity").agg(F.count("*").alias("ne"))
-    # A pair counts once in a document, in however many windows it stands.
+    # A pair counts once in a document, in however many windows it stands. Whether windows
+    # differ is told by the least and the greatest of them.
     pairs = (
         near.groupBy("entity", "term", "key")
-        .agg(F.max("n").alias("n"), F.collect_set("window").alias("windows"))
+        .agg(F.max("n").alias("n"), F.min("window").alias("low"), F.max("window").alias("high"))
         .groupBy("entity", "term")
-        .agg(F.sum("n").alias("net"), F.size(F.array_distinct(F.flatten(F.collect_set("windows")))).alias("windows"))
-        .where(F.col("windows") >= LEAST_WINDOWS)
+        .agg(F.sum("n").alias("net"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .where("low <> high")
     )
     counted = pairs.join(entities, "entity").join(term_counts(docs, text), "term")
     counted = counted.join(F.broadcast(total))  # one row
@@ -211,17 +228,40 @@ def disclosing(docs: DataFrame, found: DataFrame, near: DataFrame, text: str = "
     return counted.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
 
-def occurrences(docs: DataFrame, text: str = "text") -> DataFrame:
-    """key, term, name (written with a capital), start, end: every term of whole texts."""
+def bit_table(telling: DataFrame) -> DataFrame:
+    """One row: ``bits``, in which the place of each term is set. Of fixed size."""
+    place = term_place(F.col("term"))
+    set_ = telling.select(F.floor(place / 64).alias("cell"), F.expr("1L").alias("one"), (place % 64).cast("int").alias("n"))
+    cells = set_.selectExpr("cell", "shiftleft(one, n) AS bit").groupBy("cell").agg(F.bit_or("bit").alias("bit"))
+    every = telling.sparkSession.range(1 << (PLACE_BITS - 6)).withColumnRenamed("id", "cell")
+    dense = every.join(cells, "cell", "left").select("cell", F.coalesce("bit", F.lit(0).cast("long")).alias("bit"))
+    return dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("cell", "bit"))), lambda c: c["bit"]).alias("bits"))
+
+
+def term_place(term: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(term), 64 - PLACE_BITS)
+
+
+def occurrences(docs: DataFrame, telling: DataFrame, text: str = "text") -> DataFrame:
+    """key, term, name (written with a capital), start, end: the places of the terms of
+    ``telling`` in whole texts. A table of bits of fixed size tells for most texts that they
+    hold none of them; these are not searched, and no text is shuffled."""
+
+    def may_tell(term: Column) -> Column:
+        place = term_place(term)
+        return F.getbit(F.get("bits", F.floor(place / 64).cast("int")), (place % 64).cast("int")) == 1
+
     rows = docs.select(text_of(docs, text).alias("text"))
-    rows = rows.select(text_key(F.col("text")).alias("key"), F.explode(matches(F.col("text"), TERM)).alias("t"))
-    return rows.select(
+    rows = rows.join(F.broadcast(bit_table(telling))).where(F.exists(terms_of(F.col("text")), may_tell))
+    found = F.filter(matches(F.col("text"), TERM), lambda t: may_tell(F.lower(t["value"])))
+    places = rows.select(text_key(F.col("text")).alias("key"), F.explode(found).alias("t")).select(
         "key",
         F.lower("t.value").alias("term"),
         F.rlike("t.value", F.lit(r"^\p{Lu}")).alias("name"),
         F.col("t.start").alias("start"),
         F.col("t.end").alias("end"),
     )
+    return places.join(telling, "term")
 
 
 def term_spans(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
@@ -231,8 +271,7 @@ def term_spans(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFra
     telling = written(disclosing(docs, found, near, text).groupBy("term").agg(F.max("share").alias("share")))
     label = F.when(F.col("share") >= REMOVE, "<TERM>").otherwise(F.when(F.col("name"), "<NAME>").otherwise("<WORD>"))
     return (
-        occurrences(docs, text)
-        .join(telling, "term")
+        occurrences(docs, telling, text)
         .groupBy("key", "start", "end")
         .agg(F.max(label).alias("label"))
         .groupBy("key")

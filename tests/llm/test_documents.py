@@ -296,6 +296,18 @@ def test_terms_that_disclose(spark):
     assert clean[0] == texts[0]
 
 
+def test_numbers_are_compared_by_digits_and_terms_by_their_own_letters(spark):
+    texts = [f"doc {i} plain text of nothing much" for i in range(300)]
+    texts += ["one call for \u0130stanbulx at +1 851 555 9673 today", "later \u0130stanbulx rang +1-851-555-9673 again so"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in disclosure.query(docs).collect()}
+    clean = {r.doc_id: r.text for r in disclosure.sanitised(docs).collect()}
+    for i in (300, 301):
+        at = texts[i].index("\u0130")
+        assert f"term:{at}:{at + 9}" in found[i].split(",")
+        assert "stanbulx" not in clean[i] and "<PHONE>" in clean[i]
+
+
 def test_an_entity_counts_once_in_a_document(spark):
     texts = [f"doc {i} plain text of nothing much" for i in range(400)]
     mail = "zeb@mail.example.com"
