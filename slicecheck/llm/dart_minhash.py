@@ -50,6 +50,8 @@ BANDS, ROWS = 24, 5
 SALTS = 16
 # Buckets of at most so many nodes are looked through pair by pair in step 3.
 SMALL_BUCKET = 16
+# Salts of a unit's count; rarer units that a unit's row names.
+UNIT_SALTS, MOST_BEFORE = 16, 64
 BIT_WORDS = 16
 
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -325,7 +327,8 @@ def prefixes(nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """unit, node, label, n, bits, before: of each node's n units the rarest, as many as make sure
     that two nodes of the least similarity share one of them. Units that only one node has
     count, but are left out: in large groups of edited texts they are most of it. ``bits``
-    are the lowest bits of a long signature, ``before`` the node's rarer units."""
+    are the lowest bits of a long signature, ``before`` the rarest of the node's rarer units,
+    ``MOST_BEFORE`` at most, so that long texts take linear space."""
 
     def run(rows_texts: list[str], rows: pa.RecordBatch) -> dict:
         units, starts = elements(rows_texts)
@@ -343,13 +346,20 @@ def prefixes(nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
     held = stored(texts.join(nodes.hint("merge"), "node").dropDuplicates(["node"]))
     units = map_texts(held.select("node", "text"), run, "node long, n long, unit long")
-    units = units.withColumn("df", F.count("*").over(Window.partitionBy("unit")))
+    units = stored(units.withColumn("salt", F.pmod("node", F.lit(UNIT_SALTS)).cast("int")))
+    # Counted map-side, and handed back over salts: a unit that nearly all nodes have is
+    # neither one task when it is counted nor when it is joined.
+    df = units.groupBy("unit").agg(F.count("*").alias("df")).where("df > 1")
+    df = df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(UNIT_SALTS - 1))))
+    units = units.join(df, ["unit", "salt"], "left").withColumn("df", F.coalesce("df", F.lit(1))).drop("salt")
     rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "unit"))
     length = F.col("n") - F.ceil(least * F.col("n") - 1e-9) + 1
     rare = units.withColumn("rank", rank).where((F.col("rank") <= length) & (F.col("df") > 1))
     bits = written(map_texts(held.select("node", "text"), sign, "node long, bits array<long>"))
     ahead = Window.partitionBy("node").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    rare = rare.select("unit", "node", "n", F.collect_list("unit").over(ahead).alias("before"))
+    # Only to find a pair once rather than often; it is made distinct anyway, so a few will do.
+    known = F.when(F.col("rank") <= MOST_BEFORE, F.col("unit"))
+    rare = rare.select("unit", "node", "n", F.collect_list(known).over(ahead).alias("before"))
     return written(rare.join(bits.join(nodes, "node"), "node"))
 
 
