@@ -3,23 +3,28 @@
 1. Lexicon: on a bounded sample of labelled training rows, the words that occur in toxic
    documents far more often than elsewhere (log-likelihood ratio), with log odds as
    weights. Near copies of a document count once: of rows with the same smallest shingle
-   hash only one is used.
+   hash only one is used. Stems are learned beside whole words: beginnings of which toxic
+   documents have two or more forms and others hardly ever do, as where insults are inflected
+   or compounded. Terms that only are forms of a stem are left to it.
 2. Matching: the terms form a trie. A Levenshtein automaton that accepts what is within a
    term's number of edits is intersected with it: states are sets of (trie node, edits so
    far), their transitions are worked out when first met and kept. A word is run through
    once per piece, however often it occurs. Words near a term that clean sample rows have
-   are words of their own, not misspellings; a term with several of them is matched
-   exactly only.
+   rather than toxic ones are words of their own, not misspellings; a term is matched exactly only
+   if neighbours that one clean row has, which tell how often new ones turn up, are many
+   against its share of toxic rows, or if it is short and has any clean neighbour.
 3. Context: a match between quotation marks on its line, or near a word of reporting, is
    a quotation; others count as abuse, more so near a word of address.
-4. Score: logistic regression on sums of the matches by edits and context, fitted on
+4. Score: logistic regression on sums of the matches by edits and context and on the forms of
+   stems, by number and by share of the words, fitted on
    sample rows that had no part in the lexicon. Misspelled terms are rare in labelled rows,
    so toxic rows are used a second time with their terms misspelled.
 
 Only the text enters a score. Defined cases: a null text is empty and gets the score of
 a text without matches. Without labels of both kinds every score is the share of toxic
-rows (0 if there are none). A doc_id with several labels is toxic if one says so. Rows
-that repeat score alike. Texts are read whole.
+rows (0 if there are none). A doc_id with several labels is toxic if one says so. A null
+doc_id is learned nothing from, and its ``held_out`` is null. Rows that repeat score alike.
+An empty table gives no rows; further columns do not matter. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -36,14 +41,18 @@ from pyspark.sql import functions as F
 
 from slicecheck.llm.common import bounded_sample, map_texts, stored
 
-# Parameters: labelled rows used at most; terms kept at most; least evidence for a term.
+# Parameters: labelled rows used at most, which bounds the lexicon; least evidence for a term.
 SAMPLE_ROWS = 12_000
-MOST_TERMS = 1000
 LEAST_RATIO, LEAST_DOCS, LEAST_WEIGHT = 20.0, 3, 2.0
-# Edits allowed by the length of a term.
-EDITS = ((10, 2), (5, 1), (0, 0))
-# A term with so many clean words near it allows none.
-CROWD = 2
+# Edits allowed by the length of a term; shorter ones than SHORT only without clean neighbours.
+EDITS = ((10, 2), (4, 1), (0, 0))
+SHORT = 5
+# A neighbour is a word of its own with so many clean rows and log odds below.
+CLEAN_ROWS, CLEAN_WEIGHT = 2, 1.0
+# Times that a term's share of toxic rows must exceed the rate of its new clean neighbours.
+CROWD = 20
+# Letters of a stem, and its forms that a document must have.
+STEM, FORMS = range(3, 13), 2
 WINDOW = 80
 # Words that mark a report, and words of address, near a match.
 REPORTING = frozenset("said says say wrote writes called calls quote quoted word term insult slur".split())
@@ -53,7 +62,7 @@ LOOKS_LIKE = {"a": "4", "b": "8", "e": "3", "g": "9", "i": "1", "l": "1", "o": "
 OPENING, CLOSING = "\"“«„‘'", "\"”»“’'"
 
 WORD = re.compile(r"[^\W_]+")
-FEATURES = 8
+FEATURES = 10
 SEEN_LIMIT = 400_000
 
 
@@ -165,11 +174,21 @@ class Matcher:
         weights: list[float],
         known: frozenset[str] = frozenset(),
         crowded: frozenset[str] = frozenset(),
+        stems: dict[str, float] | None = None,
     ):
         self.automaton, self.weights, self.known = TermAutomaton(terms, crowded), weights, known
         self.crowded = [t in crowded for t in terms]
         self.flexible = frozenset(t for t, e in zip(terms, self.automaton.edits) if e)
-        self.seen: dict[str, tuple[int, int] | None] = {}
+        self.stems = stems or {}
+        self.seen: dict[str, tuple[int, int] | str | None] = {}
+
+    def look_up(self, word: str) -> tuple[int, int] | str | None:
+        """(edits, term), or the longest stem that the word is a form of, or None."""
+        found = None if word in self.known else self.automaton.match(word)
+        if self.stems and (found is None or found[0]):
+            stem = next((word[:n] for n in reversed(STEM) if n < len(word) and word[:n] in self.stems), None)
+            found = stem or found
+        return found
 
     def features(self, text: str) -> list[float]:
         low = text.lower()
@@ -177,20 +196,25 @@ class Matcher:
         if len(self.seen) > SEEN_LIMIT:
             self.seen = {}
         for word in words.difference(self.seen):
-            self.seen[word] = None if word in self.known else self.automaton.match(word)
+            self.seen[word] = self.look_up(word)
         hits = {w: m for w in words if (m := self.seen[w]) is not None}
         if not hits:
             return [0.0] * FEATURES
         # Plain uses by edits, and crowded terms once each: repeats of one prove little.
         abuse, quoted, near = [0.0, 0.0, 0.0, 0.0], 0.0, 0.0
-        terms = set()
+        terms, forms, n_words = set(), {}, 0
         for m in WORD.finditer(low):
+            n_words += 1
             hit = hits.get(m.group())
             if hit is None:
                 continue
+            context = context_score(low, m.start(), m.end())
+            if isinstance(hit, str):
+                if context > 0:
+                    forms.setdefault(hit, set()).add(m.group())
+                continue
             edits, term = hit
             weight = self.weights[term]
-            context = context_score(low, m.start(), m.end())
             crowded = self.crowded[term]
             if not crowded or term not in terms:
                 abuse[3 if crowded else edits] += weight * max(context, 0.0)
@@ -199,8 +223,10 @@ class Matcher:
             if edits == 0 and context > 0:
                 terms.add(term)
         heaviest = max((self.weights[t] for t in terms if not self.crowded[t]), default=0.0)
-        sums = np.log1p([*abuse, quoted, near]).tolist()
-        return [*sums, np.log1p(len(terms)).item(), heaviest]
+        # One form of a stem may be there by chance.
+        shared = sum(self.stems[s] * (len(f) - FORMS + 1) for s, f in forms.items() if len(f) >= FORMS)
+        sums = np.log1p([*abuse, quoted, near, len(terms), shared, 100 * shared / n_words]).tolist()
+        return [*sums[:7], heaviest, *sums[7:]]
 
 
 def context_score(text: str, start: int, end: int) -> float:
@@ -255,43 +281,72 @@ def misspelled(text: str, terms: frozenset[str]) -> str:
     return WORD.sub(edit, text)
 
 
-def learn_lexicon(sample: DataFrame) -> tuple[list[str], list[float], frozenset[str], frozenset[str]]:
-    """Terms, weights, known words near a term, and crowded terms, from rows (text, toxic).
-    At most ``MOST_TERMS`` terms reach the driver, and of the sample's words those near one."""
+def stems_of(words: set[str]) -> list[str]:
+    """Beginnings that ``FORMS`` or more of the words share, each longer than it."""
+    starts = Counter(w[:n] for w in words for n in STEM if n < len(w))
+    return sorted(s for s, n in starts.items() if n >= FORMS)
+
+
+def outermost(stems: list[tuple[str, float, float]]) -> dict[str, tuple[float, float]]:
+    """Of (stem, ratio, weight) in order of evidence, those that neither begin one taken
+    before nor begin with it."""
+    taken: dict[str, tuple[float, float]] = {}
+    longer: set[str] = set()
+    for stem, ratio, weight in sorted(stems, key=lambda s: (-s[1], -len(s[0]), s[0])):
+        starts = [stem[:n] for n in range(1, len(stem) + 1)]
+        if stem not in longer and not any(s in taken for s in starts):
+            taken[stem] = ratio, weight
+            longer.update(starts)
+    return taken
+
+
+def learn_lexicon(sample: DataFrame) -> tuple:
+    """Terms, weights, known words near a term, crowded terms, and stems with their weights,
+    from rows (text, toxic). What reaches the driver are words and beginnings that pass the
+    tests of evidence, and words near them: the sample's bound is theirs."""
 
     def run(texts: list[str], rows: pa.RecordBatch) -> dict:
         words = [WORD.findall(t.lower()) for t in texts]
+        sets = [{x for x in w if len(x) > 2 and not x.isdigit()} for w in words]
         return {
             "doc_id": rows.column("doc_id"),
             "toxic": rows.column("toxic"),
             "sketch": [sketch(w) for w in words],
-            "words": [sorted({x for x in w if len(x) > 2 and not x.isdigit()}) for w in words],
+            "words": [sorted(s) for s in sets],
+            "stems": [stems_of(s) for s in sets],
         }
 
-    bags = stored(map_texts(sample, run, "doc_id long, toxic int, sketch long, words array<string>"))
+    schema = "doc_id long, toxic int, sketch long, words array<string>, stems array<string>"
+    bags = stored(map_texts(sample, run, schema))
     once = bags.groupBy("sketch").agg(F.min("doc_id").alias("doc_id"))
     bags = bags.join(once, ["sketch", "doc_id"], "left_semi")
     size = bags.agg(F.sum("toxic").alias("pos"), F.sum(1 - F.col("toxic")).alias("neg")).first()
     pos, neg = int(size.pos or 0), int(size.neg or 0)
     if not pos or not neg:
-        return [], [], frozenset(), frozenset()
+        return [], [], frozenset(), frozenset(), {}
     a, b = F.col("a"), F.col("b")
     share = (a + b) / F.lit(float(pos + neg))
 
     def term(n: Column, expected: Column) -> Column:
         return F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
 
-    counts = stored(
-        bags.select("toxic", F.explode("words").alias("word"))
-        .groupBy("word")
-        .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    )
-    counted = (
-        counts.withColumn("ratio", 2 * (term(a, share * pos) + term(b, share * neg)))
-        .withColumn("weight", F.log((a + 0.5) / (pos + 1)) - F.log((b + 0.5) / (neg + 1)))
-        .where((F.col("ratio") >= LEAST_RATIO) & (a >= LEAST_DOCS) & (F.col("weight") >= LEAST_WEIGHT))
-    )
-    rows = counted.orderBy(F.desc("ratio"), "word").limit(MOST_TERMS).collect()
+    def counted(column: str) -> DataFrame:
+        return (
+            bags.select("toxic", F.explode(column).alias("word"))
+            .groupBy("word")
+            .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+            .withColumn("ratio", 2 * (term(a, share * pos) + term(b, share * neg)))
+            .withColumn("weight", F.log((a + 0.5) / (pos + 1)) - F.log((b + 0.5) / (neg + 1)))
+        )
+
+    evident = (F.col("ratio") >= LEAST_RATIO) & (a >= LEAST_DOCS) & (F.col("weight") >= LEAST_WEIGHT)
+    stems = outermost([(r.word, r.ratio, r.weight) for r in counted("stems").where(evident).collect()])
+    counts = stored(counted("words"))
+    rows = [
+        r
+        for r in counts.where(evident).orderBy(F.desc("ratio"), "word").collect()
+        if not any(stems.get(r.word[:n], (0.0,))[0] > r.ratio for n in STEM if n < len(r.word))
+    ]
     terms, weights = [r.word for r in rows], [float(r.weight) for r in rows]
     lexicon = frozenset(terms)
 
@@ -300,11 +355,17 @@ def learn_lexicon(sample: DataFrame) -> tuple[list[str], list[float], frozenset[
         found = {w: m for w in words if w not in lexicon and (m := automaton.matches(w))}
         return {"word": list(found), "near": [[i for _, i in m] for m in found.values()]}
 
-    clean = counts.where(b > 0).select("word")
-    known = map_texts(clean, near, "word string, near array<int>", text="word").collect()
-    crowd = Counter(i for r in known for i in r.near)
-    crowded = frozenset(t for i, t in enumerate(terms) if crowd[i] >= CROWD)
-    return terms, weights, frozenset(r.word for r in known), crowded
+    clean = counts.where(b > 0).select("word", F.col("b").cast("int").alias("b"), "weight")
+    found = map_texts(clean, near, "word string, near array<int>", text="word").join(clean, "word").collect()
+    own = [r for r in found if r.b >= CLEAN_ROWS and r.weight < CLEAN_WEIGHT]
+    beside = {i for r in found for i in r.near}
+    new = Counter(i for r in found if r.b == 1 for i in r.near)
+    crowded = frozenset(
+        r.word
+        for i, r in enumerate(rows)
+        if CROWD * new[i] * pos > r.a * neg or len(r.word) < SHORT and i in beside
+    )
+    return terms, weights, frozenset(r.word for r in own), crowded, {s: w for s, (_, w) in stems.items()}
 
 
 @lru_cache(maxsize=1)
@@ -372,7 +433,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     rows = map_texts(sample.where(part >= 3), run, "toxic int, x array<double>").collect()
     y = np.array([r.toxic for r in rows], float)
-    if not lexicon[0] or not 0 < y.sum() < len(y):
+    if not (lexicon[0] or lexicon[4]) or not 0 < y.sum() < len(y):
         share = float(y.mean()) if len(y) else 0.0
         beta = np.zeros(FEATURES + 1)
         beta[-1] = np.log(max(share, 1e-9) / max(1 - share, 1e-9))

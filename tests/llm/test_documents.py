@@ -167,6 +167,43 @@ def test_held_out_toxicity(spark):
     assert sum(p and not t for p, t in held) <= 0.02 * len(held)
 
 
+def test_stems_and_terms_against_a_plain_count(spark):
+    chance = random.Random(5)
+    plain = ["house", "river", "stone", "glass", "garden", "winter", "paper", "window", "market", "silver"]
+    rows = []
+    for i in range(600):
+        words = [chance.choice(plain) + chance.choice("abcdefgh") for _ in range(30)]
+        toxic = i % 6 == 0
+        if toxic and i % 12 == 0:  # two forms of a stem, never the same words
+            words += ["vrok" + e for e in chance.sample("abcdefghijklmnop", 2)]
+        elif toxic:
+            words += ["blarg"]
+        elif i % 5 == 0:  # a single form, and a neighbour of a term
+            words += ["vrok" + chance.choice("abcdefghijklmnop"), "blurg"]
+        chance.shuffle(words)
+        rows.append((i, " ".join(words), int(toxic)))
+    sample = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    terms, weights, known, crowded, stems = toxic_terms.learn_lexicon(sample)
+    assert terms == ["blarg"] and known == {"blurg"} and not crowded and set(stems) == {"vrok"}
+    for got, item in ((weights[0], "blarg"), (stems["vrok"], None)):
+        has = [(len({w for w in t.split() if w.startswith("vrok")}) > 1 if item is None else item in t.split(), y) for _, t, y in rows]
+        a, b = (sum(h and y == kind for h, y in has) for kind in (1, 0))
+        assert got == pytest.approx(np.log((a + 0.5) / 101) - np.log((b + 0.5) / 501))
+    matcher = toxic_terms.Matcher(terms, weights, known, crowded, stems)
+    assert matcher.look_up("vroka") == "vrok" and matcher.look_up("vrok") is None
+    assert matcher.look_up("blarg") == (0, 0) and matcher.look_up("blurg") is None and matcher.look_up("bl4rg") == (1, 0)
+    zero = [0.0] * toxic_terms.FEATURES
+    assert matcher.features("vroka vroka river") == zero  # one form, however often
+    assert matcher.features("vroka river vrokb")[8] > 0 and matcher.features('the "vroka vrokb" here') == zero
+
+
+def test_stems_of_a_chain():
+    assert toxic_terms.stems_of({"abcd", "abce", "xyz"}) == ["abc"]
+    found = toxic_terms.outermost([("abc", 30.0, 3.0), ("abcd", 40.0, 4.0), ("abcde", 40.0, 4.0), ("xyz", 21.0, 2.5)])
+    assert found == {"abcde": (40.0, 4.0), "xyz": (21.0, 2.5)}
+    assert toxic_terms.outermost([]) == {} and toxic_terms.stems_of(set()) == []
+
+
 def test_toxicity_of_awkward_rows(spark):
     labels = spark.createDataFrame(
         [(i, i % 2) for i in range(40)] + [(None, 1), (41, None), (1, 1)], "doc_id long, toxic int"
