@@ -17,12 +17,14 @@ from slicecheck.functions.names import catalog_columns
 from slicecheck.functions.text import split_list, stamp_long
 from slicecheck.operators import batches, compare, keys, lookup, members
 from slicecheck.operators.casting import cast_failures, typed_projection
+from slicecheck.operators.digests import digest_row_diff
 from slicecheck.plans import tasks as task_plans
 from slicecheck.plans.batch import KEY_COUNTS, Batch, reconcile_batch, reconcile_tables
 from slicecheck.plans.summary import report_details, summarize
 from slicecheck.settings import IDS_PER_CHUNK, SLICE, written
 from slicecheck.sinks import packed
 from slicecheck.sources.quarantine import fault_rows, inspect
+from slicecheck.sources.strides import read_strides, stride_predicates
 from slicecheck.sources.tables import catalog_of, facts_of, slice_scan, value_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,6 +180,24 @@ def stamp_long_query(spark, sf_dir):
 # Keys.
 
 
+@query(
+    """SELECT mo, count(*) AS n, sum(i1) AS i1, min(sd) AS first_day, max(sd) AS last_day FROM (
+        SELECT CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber % 3 = 1 THEN 1 ELSE l_suppkey END AS mo,
+            CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS sd, l_quantity AS i1 FROM lineitem
+    ) GROUP BY mo"""
+)
+def old_store_strides(spark, sf_dir):
+    """A table with a hot key, read in ranges of about equally many rows."""
+    rows = fx.supplies(spark, sf_dir)
+    old = read_strides(spark, "", "supplies", stride_predicates(rows, 16), read=rows.where)
+    return old.groupBy("mo").agg(
+        F.count("*").alias("n"),
+        F.sum("i1").alias("i1"),
+        F.min("sd").alias("first_day"),
+        F.max("sd").alias("last_day"),
+    )
+
+
 @query(
     """SELECT mo, count(*) AS copies FROM orders_new
        WHERE mo IN (SELECT mo FROM orders_old) GROUP BY mo""",
@@ -341,14 +361,20 @@ def null_pairs(spark, sf_dir):
     )
 
 
-@query(
-    "SELECT mo, i1, i2, i3, i4 FROM orders_new EXCEPT SELECT mo, i1, i2, i3, i4 FROM orders_old",
-    ["orders_new", "orders_old"],
-)
+_ROW_DIFF = "SELECT mo, i1, i2, i3, i4 FROM orders_new EXCEPT SELECT mo, i1, i2, i3, i4 FROM orders_old"
+
+
+@query(_ROW_DIFF, ["orders_new", "orders_old"])
 def exact_row_diff(spark, sf_dir):
     return compare.exact_row_diff(fx.orders_new(spark, sf_dir), fx.orders_old(spark, sf_dir))
 
 
+@query(_ROW_DIFF, ["orders_new", "orders_old"])
+def exact_row_diff_digest(spark, sf_dir):
+    """The same by digests, as for wide tables."""
+    return digest_row_diff(fx.orders_new(spark, sf_dir), fx.orders_old(spark, sf_dir))
+
+
 @query(_detail_sql("orders_old", "x_{k} IS DISTINCT FROM y_{k}"), ["pairs_orders_old"])
 def exact_field_diff(spark, sf_dir):
     return compare.exact_field_diff(

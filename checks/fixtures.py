@@ -90,6 +90,16 @@ def orders_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def supplies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by supplier and day, of which one supplier has about a third and some have no key."""
+    part = F.when(F.col("l_linenumber") != 7, F.when(F.col("l_linenumber") % 3 == 1, 1).otherwise(F.col("l_suppkey")))
+    return table(spark, sf_dir, "lineitem").select(
+        part.cast("bigint").alias("mo"),
+        day_int(F.col("l_shipdate").cast("timestamp")).alias("sd"),
+        F.col("l_quantity").alias("i1"),
+    )
+
+
 # Events: many slices, one per hour.
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from slicecheck.plans.batch import asked_for, check_plans, reconcile_batch, rout
 from slicecheck.settings import written
 from slicecheck.sources import tables
 from slicecheck.sources.old_store import jdbc_options, old_tables
+from slicecheck.sources.strides import read_strides, stride_bounds, stride_predicates
 from slicecheck.sources.tasks import TASK_SCHEMA, read_models, read_tasks
 
 
@@ -136,3 +139,39 @@ def test_database_reads_are_parallel():
     options = jdbc_options("jdbc:x", "kpi", 1, 1000, 16, driver="x.Driver")
     assert options["partitionColumn"] == "mo" and options["numPartitions"] == "16"
     assert options["driver"] == "x.Driver" and options["fetchsize"] == "10000"
+
+
+def _counts_of(df, predicates):
+    seen = [df.where(p) for p in predicates]
+    return [part.count() for part in seen], seen
+
+
+def test_strides_hold_every_row_once_and_about_equally_many(spark):
+    chance = random.Random(3)
+    rows = [(7 if i % 3 == 0 else chance.randint(1, 20) ** 4, chance.randint(1, 40), i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "mo long, sd int, i long")
+    found = stride_predicates(df, 12)
+    sizes, parts = _counts_of(df, found)
+    assert sum(sizes) == 6000 and read_strides(spark, "", "t", found, read=df.where).distinct().count() == 6000
+    assert max(sizes) <= 2 * 6000 / 12 and 10 <= len(found) <= 14
+    # Without a second column the hot key is one range.
+    sizes, _ = _counts_of(df, stride_predicates(df, 12, split=None))
+    assert sum(sizes) == 6000 and max(sizes) == sum(mo == 7 for mo, _, _ in rows)
+
+
+def test_strides_of_awkward_keys(spark):
+    schema = "mo double, sd int"
+    nan, inf = float("nan"), float("inf")
+    rows = [(None, None), (None, 1), (5.0, None), (5.5, 1), (5.0, 2), (5.0, 3), (5.0, 4), (6.0, 1), (nan, 1), (inf, 1), (-1e18, 1), (4.25, 9)]
+    df = spark.createDataFrame(rows, schema)
+    for parts in (1, 2, 3, 8, 50):
+        sizes, _ = _counts_of(df, stride_predicates(df, parts))
+        assert sum(sizes) == len(rows), parts
+    # Bounds from one table, rows of another.
+    sizes, _ = _counts_of(df, stride_predicates(spark.range(100).selectExpr("id AS mo", "1 AS sd"), 8))
+    assert sum(sizes) == len(rows)
+    empty = df.limit(0)
+    assert stride_predicates(empty, 8) == ["1 = 1"] and stride_bounds(empty, "mo", 8) == []
+    same = spark.range(100).selectExpr("7L AS mo", "3 AS sd")
+    sizes, _ = _counts_of(same, stride_predicates(same, 8))
+    assert sum(sizes) == 100
