@@ -7,6 +7,7 @@ so that both engines yield plain values.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +19,16 @@ from slicecheck.functions.text import split_list, stamp_long
 from slicecheck.operators import batches, compare, keys, lookup, members
 from slicecheck.operators.casting import cast_failures, typed_projection
 from slicecheck.operators.digests import digest_row_diff
+from slicecheck.operators.prefilter import restrict_to_listed
 from slicecheck.plans import tasks as task_plans
 from slicecheck.plans.batch import KEY_COUNTS, Batch, reconcile_batch, reconcile_tables
 from slicecheck.plans.summary import report_details, summarize
-from slicecheck.settings import IDS_PER_CHUNK, SLICE, written
+from slicecheck.settings import IDS_PER_CHUNK, SLICE, ensure_checkpoint_dir, written
 from slicecheck.sinks import packed
 from slicecheck.sources.quarantine import fault_rows, inspect
 from slicecheck.sources.strides import read_strides, stride_predicates
-from slicecheck.sources.tables import catalog_of, facts_of, slice_scan, value_columns
+from slicecheck.sources.tables import catalog_of, facts_of, kpi_table, named_view, slice_scan, table_kpis, value_columns
+from slicecheck.sources.tasks import pending_tasks, read_models, read_tasks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -259,6 +262,16 @@ def duplicate_keys(spark, sf_dir):
 # Comparison.
 
 
+@query(
+    "SELECT mo, i1, i2, i3, i4 FROM orders_new WHERE mo IN (SELECT 3 * l_partkey FROM lineitem)",
+    ["orders_new"],
+)
+def listed_orders(spark, sf_dir):
+    """Restriction to a list that counts as too long to be sent whole."""
+    listed = fx.table(spark, sf_dir, "lineitem").select((3 * F.col("l_partkey")).cast("bigint").alias("mo"))
+    return restrict_to_listed(fx.orders_new(spark, sf_dir), listed, KEY, sent_keys=10)
+
+
 @query(
     f"SELECT mo, {', '.join(f'x_{k}, y_{k}' for k in KPIS)} FROM pairs_orders_old_dup",
     ["pairs_orders_old_dup"],
@@ -413,6 +426,30 @@ def generate_tasks_range(spark, sf_dir):
     return task_plans.generate_tasks_range(models, F.col("first"), F.col("last"), times)
 
 
+def _file(df: DataFrame) -> str:
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid4().hex}"
+    df.write.json(path)
+    return path
+
+
+@query(
+    """SELECT task_id, motype, period, start_day, start_time, indicators, moentities FROM event_tasks
+       WHERE task_id % 3 <> 0""",
+    ["event_tasks"],
+)
+def task_source(spark, sf_dir):
+    """Tasks read from files, without those that the ledger knows."""
+    tasks = read_tasks(spark, _file(fx.event_tasks(spark, sf_dir)), "json")
+    begun = tasks.where("task_id % 3 = 0")
+    return pending_tasks(tasks, task_plans.running_rows(begun.unionAll(begun)))
+
+
+@query("SELECT DISTINCT CAST(p_brand AS VARCHAR) AS motype FROM part")
+def model_source(spark, sf_dir):
+    brands = fx.table(spark, sf_dir, "part").select(F.col("p_brand").alias("motype")).distinct()
+    return read_models(spark, _file(brands), "json")
+
+
 @query("SELECT * FROM event_groups", ["event_groups"])
 def task_groups(spark, sf_dir):
     return task_plans.task_groups(fx.event_tasks(spark, sf_dir))
@@ -444,6 +481,18 @@ def group_task_ids_chunks(spark, sf_dir):
     return ids.withColumn("task_ids", F.array_join("task_ids", ","))
 
 
+@query(
+    """SELECT sd, st, count(*) AS n, sum(i1) AS i1, sum(i2) AS i2, max(i3) AS i3 FROM events_new GROUP BY sd, st""",
+    ["events_new"],
+)
+def named_tables(spark, sf_dir):
+    """A table found by the name of its model, and read under a name of its own in SQL."""
+    fx.events_new(spark, sf_dir).createOrReplaceTempView("t_events_h")
+    kpis = table_kpis(spark, "events", "H")
+    view = named_view(kpi_table(spark, "events", "H").select("sd", "st", *kpis), "events")
+    return spark.sql(f"SELECT sd, st, count(*) AS n, sum(i1) AS i1, sum(i2) AS i2, max(i3) AS i3 FROM {view} GROUP BY sd, st")
+
+
 def _batch(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, Batch]:
     tasks = fx.event_tasks(spark, sf_dir)
     new, old = fx.events_new(spark, sf_dir), fx.events_old(spark, sf_dir)

@@ -9,6 +9,7 @@ from checks import fixtures as fx
 from slicecheck.operators import compare, keys
 from slicecheck.operators.casting import cast_failures, typed_projection
 from slicecheck.operators.digests import digest_row_diff
+from slicecheck.operators.prefilter import may_be_listed, restrict_to_listed
 from slicecheck.plans.summary import report_details, summarize
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -251,3 +252,24 @@ def test_wide_rows_that_are_equal_stay_out_of_the_shuffle(spark, tmp_path):
     assert sorted(r.mo for r in found.collect()) == [0, 500, 1000, 1500]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_long_lists_are_filtered_before_the_join(spark, tmp_path):
+    spark.range(100_000).selectExpr("id AS mo", "cast(id % 7 AS string) AS day", "id * 0.5D AS i1").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    listed = spark.range(3000).selectExpr("id * 21 AS mo", "'0' AS day").unionAll(spark.range(50).selectExpr("21L AS mo", "'0' AS day"))
+    for keys in (["mo"], ["day", "mo"]):
+        found = restrict_to_listed(rows, listed, keys, sent_keys=100)
+        assert sorted(r.mo for r in found.collect()) == [21 * i for i in range(3000)] and found.columns == rows.columns
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        # The filter stands between the scan of the rows and the join.
+        assert plan.index("Join") < plan.index("getbit") < plan.index(str(tmp_path))
+        passing = rows.where(may_be_listed(listed.distinct(), keys, 3000)).count()
+        assert 3000 <= passing <= 3000 + 0.05 * 97_000
+    assert restrict_to_listed(rows, listed, ["mo"]).count() == 3000  # sent whole
+    nulls = spark.createDataFrame([(None, "0"), (42, None), (42, None), (-5, "0")], "mo long, day string")
+    for sent in (0, 100):
+        assert restrict_to_listed(nulls, listed, ["mo"], sent).count() == 2
+        assert restrict_to_listed(nulls, nulls, ["mo", "day"], sent).count() == 1
+        assert restrict_to_listed(rows, listed.limit(0), ["mo"], sent).count() == 0
+        assert restrict_to_listed(rows.limit(0), listed, ["mo"], sent).count() == 0
