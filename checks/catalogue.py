@@ -25,6 +25,8 @@ from slicecheck.plans.batch import KEY_COUNTS, Batch, reconcile_batch, reconcile
 from slicecheck.plans.summary import report_details, summarize
 from slicecheck.settings import IDS_PER_CHUNK, SLICE, ensure_checkpoint_dir, written
 from slicecheck.sinks import packed
+from slicecheck.sinks.store import read_blob_lines, save_blobs
+from slicecheck.sources import keyed
 from slicecheck.sources.quarantine import fault_rows, inspect
 from slicecheck.sources.strides import read_strides, stride_predicates
 from slicecheck.sources.tables import catalog_of, facts_of, kpi_table, named_view, slice_scan, table_kpis, value_columns
@@ -707,6 +709,16 @@ def kv_mapping(spark, sf_dir):
     return lookup.model_names(fx.hashes(spark, sf_dir))
 
 
+@query("SELECT field, value FROM hashes WHERE key = 'ALLMODELMAPPING'", ["hashes"])
+def keyed_hash(spark, sf_dir):
+    """One hash of many, written as keyed rows in order and read by its key."""
+    keyed.register(spark)
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid4().hex}"
+    fx.hashes(spark, sf_dir).orderBy("key").write.format("keyed").mode("append").save(path)
+    found = spark.read.format("keyed").option("key", lookup.MODEL_NAMES).load(path)
+    return lookup.hash_entries(found, lookup.MODEL_NAMES)
+
+
 @query(
     """SELECT m.motype, h.value AS model_name FROM models m
        LEFT JOIN hashes h ON h.key = 'ALLMODELMAPPING' AND h.field = m.motype""",
@@ -801,6 +813,19 @@ def packed_blob(spark, sf_dir):
     return packed.packed_blobs(fx.export_rows(spark, sf_dir), fx.EXPORT_COLUMNS, size=50)
 
 
+@query(
+    """SELECT motype, period, sd, st, (pos - 1) // 50 AS part, CAST((pos - 1) % 50 + 1 AS INTEGER) AS line_no, line
+       FROM (SELECT *, row_number() OVER (PARTITION BY motype, period, sd, st ORDER BY mo, line) AS pos
+             FROM export_lines)""",
+    ["export_lines"],
+)
+def packed_roundtrip(spark, sf_dir):
+    """Packed texts written as keyed rows, read back and taken apart."""
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid4().hex}"
+    save_blobs(packed.packed_blobs(fx.export_rows(spark, sf_dir), fx.EXPORT_COLUMNS, size=50), path)
+    return read_blob_lines(spark, path)
+
+
 def _batch_sql(view: str, by: str, size: int) -> str:
     return f"""
         SELECT {by}, mo, (row_number() OVER (PARTITION BY {by} ORDER BY mo DESC) - 1) // {size} AS batch

@@ -137,3 +137,14 @@ def packed_blobs(
     lines = F.flatten(F.transform("rows", lambda row: F.array_repeat(row["line"], row["n"])))
     text = F.array_join(F.concat(F.array(F.lit(heading(columns))), lines), LINE_END)
     return parts.select(*by, "part", F.concat(text, F.lit(LINE_END)).alias("text"))
+
+
+def blob_lines(blobs: DataFrame, by: Sequence[str] = SLICE) -> DataFrame:
+    """``by, part, line_no, line``: the lines of ``packed_blobs`` again, from 1, without the
+    headings. Those go by place, so a line that reads like one stays. Cells must not hold the
+    line end. A null text has no lines."""
+    ends = F.split("text", LINE_END)
+    lines = F.slice(ends, F.lit(2), F.greatest(F.size(ends) - 2, F.lit(0)))
+    return blobs.select(*by, "part", F.posexplode(lines).alias("line_no", "line")).withColumn(
+        "line_no", F.col("line_no") + 1
+    )
