@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from slicecheck.llm import byte_bpe, dart_minhash, exact_dedup, source_mix, toxic_terms
 from slicecheck.llm.common import stored, table
 from slicecheck.llm.queries import PATTERN, RANKS
+from slicecheck.settings import passing_tables
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,3 +58,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
+
+
+def save(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Writes the rows of ``run`` to ``path`` and removes what the stages left in the checkpoint
+    folder, copies of the corpus among them. ``run`` alone leaves them, as its rows are read later."""
+    with passing_tables(spark):
+        run(spark, sf_dir).write.parquet(path)

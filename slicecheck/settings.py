@@ -30,22 +30,28 @@ SLICE = ["motype", "period", "sd", "st"]
 _owners: list[list[str]] = []
 
 
-def written(df: DataFrame) -> DataFrame:
+def passing_path(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder, for what ``passing_tables`` removes."""
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid4().hex}"
+    if _owners:
+        _owners[-1].append(path)
+    return path
+
+
+def written(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read from there, so that
     every plan built on it sees the same rows, also after executors are lost. Being
     a table, it is read by column and its size is known to the planner.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid4().hex}"
-    if _owners:
-        _owners[-1].append(path)
-    df.write.parquet(path)
+    path = passing_path(df.sparkSession)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def passing_tables(spark: SparkSession) -> Iterator[None]:
-    """Tables that ``written`` makes inside are removed at the end, for callers that have
-    written their results elsewhere by then.
+    """What ``written`` and ``passing_path`` make inside is removed at the end, for callers that
+    have written their results elsewhere by then.
     """
     _owners.append([])
     try:
