@@ -5,14 +5,13 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicecheck.settings import ensure_checkpoint_dir
+from slicecheck.settings import written
 
 # Fixed value: a word of the contracts is a run of anything but these.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,9 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder, compressed well."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, "zstd")
 
 
 def text_of(df: DataFrame, column: str = "text") -> Column:

@@ -29,7 +29,6 @@ import re
 import unicodedata
 import zlib
 from functools import lru_cache
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +39,7 @@ from pyspark.sql import functions as F
 from slicecheck.llm.common import gather, map_texts, starts_of, stored, to_arrow
 from slicecheck.llm.merging import Chunks
 from slicecheck.llm.token_counts import WORD_END, words_of
-from slicecheck.settings import ensure_checkpoint_dir
+from slicecheck.settings import passing_path
 
 END_ID = 1
 LONGEST = 16
@@ -388,7 +387,7 @@ def block_starts(spark: SparkSession, path: str) -> DataFrame:
 def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Writes the ids, reads the files back, and returns what they hold per document."""
     spark = docs.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/ids-{uuid4().hex}"
+    path = passing_path(spark)
     write_ids(docs, tokenizer, path)
 
     def run(doc_ids, ids, starts):
